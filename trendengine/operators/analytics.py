@@ -67,9 +67,8 @@ def weekly_means(trends: DataFrame) -> DataFrame:
 
 
 def velocity(trends: DataFrame) -> DataFrame:
-    """Change of the weekly mean against the week just before; null where that week is absent."""
+    """Change of the weekly mean against the previous week on record."""
     by_week = W.partitionBy("id", "genres", "location").orderBy("week")
-    consecutive = F.lag("week").over(by_week) == F.date_sub("week", 7)
     change = F.col("avg_score") - F.lag("avg_score").over(by_week)
     return weekly_means(trends).select(
         "id",
@@ -77,7 +76,7 @@ def velocity(trends: DataFrame) -> DataFrame:
         "location",
         "week",
         _rounded(F.col("avg_score"), "avg_score"),
-        _rounded(F.when(consecutive, change), "velocity"),
+        _rounded(change, "velocity"),
     )
 
 

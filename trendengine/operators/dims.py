@@ -6,12 +6,17 @@ never renumbered or renamed, so a second run over the same input adds nothing.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trendengine.functions import genres as G
 from trendengine.functions import text as X
 from trendengine.operators.numbering import number_rows
+from trendengine.schemas import DIM_ARTISTS, DIM_GENRES, DIM_LOCATIONS
 
 ROW_STEP, SEQ_STEP = 10**6, 10**12
 
@@ -27,7 +32,7 @@ def _usable(clean_df: DataFrame) -> DataFrame:
     ).where(F.col("id").isNotNull() & F.col("location").isNotNull())
 
 
-def artist_keys(clean_df: DataFrame, seq="ingest_seq") -> DataFrame:
+def artist_keys(clean_df: DataFrame, seq="ingest_seq", pos: str | None = None) -> DataFrame:
     """Artist ids with first appearance and their last name that is not blank."""
     named = F.col("artist").isNotNull() & (F.col("artist") != "")
     return (
@@ -67,7 +72,7 @@ def genre_keys(clean_df: DataFrame, seq="ingest_seq", pos: str | None = None) ->
     )
 
 
-def location_keys(clean_df: DataFrame, seq="ingest_seq") -> DataFrame:
+def location_keys(clean_df: DataFrame, seq="ingest_seq", pos: str | None = None) -> DataFrame:
     return (
         _usable(clean_df)
         .groupBy(F.col("location").alias("state_code"))
@@ -82,34 +87,51 @@ def valid_dim(existing: DataFrame, id_col: str, key_col: str, standardize=F.trim
     return rows.where(F.col(id_col).isNotNull() & F.col(key_col).isNotNull() & (F.col(key_col) != ""))
 
 
-def new_rows(keys: DataFrame, existing: DataFrame | None, id_col: str, key_col: str, labels=()) -> DataFrame:
-    """Rows to append: keys not on record, numbered after the highest number on record."""
-    start = F.lit(0)
-    if existing is not None:
-        keys = keys.join(existing.select(key_col), key_col, "left_anti")
-        start = existing.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar()
-    numbered = number_rows(keys, "_seq", ["_pos", key_col], "_number")
-    return numbered.select((F.col("_number") + start).alias(id_col), key_col, *labels)
-
-
-def new_artists(clean_df: DataFrame, existing: DataFrame | None = None, seq="ingest_seq") -> DataFrame:
-    if existing is not None:
-        existing = valid_dim(existing, "artist_id", "spotify_id")
-    return new_rows(artist_keys(clean_df, seq), existing, "artist_id", "spotify_id", ["artist_name"])
+@dataclass(frozen=True)
+class Dimension:
+    """How one dimension is keyed, scanned and stored."""
+
+    name: str
+    schema: T.StructType
+    id_col: str
+    key_col: str
+    scan: Callable[..., DataFrame]
+    standardize: Callable[..., Column] = F.trim
+    labels: tuple[str, ...] = ()
+
+    def missing_keys(self, clean_df: DataFrame, existing: DataFrame | None = None, **order) -> DataFrame:
+        """Keys of the rows that are not on record, with their place of first appearance."""
+        keys = self.scan(clean_df, **order)
+        if existing is None:
+            return keys
+        return keys.join(self.valid(existing).select(self.key_col), self.key_col, "left_anti")
+
+    def number(self, keys: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+        """Keys as rows to append, numbered after the highest number on record."""
+        start = F.lit(0)
+        if existing is not None:
+            highest = F.coalesce(F.max(self.id_col), F.lit(0))
+            start = self.valid(existing).agg(highest).scalar()
+        numbered = number_rows(keys, "_seq", ["_pos", self.key_col], "_number")
+        return numbered.select(
+            (F.col("_number") + start).alias(self.id_col), self.key_col, *self.labels
+        )
 
+    def new_rows(self, clean_df: DataFrame, existing: DataFrame | None = None, **order) -> DataFrame:
+        return self.number(self.missing_keys(clean_df, existing, **order), existing)
 
-def new_genres(
-    clean_df: DataFrame, existing: DataFrame | None = None, seq="ingest_seq", pos: str | None = None
-) -> DataFrame:
-    if existing is not None:
-        existing = valid_dim(existing, "genre_id", "genre", X.genre_name)
-    return new_rows(genre_keys(clean_df, seq, pos), existing, "genre_id", "genre")
+    def valid(self, existing: DataFrame) -> DataFrame:
+        return valid_dim(existing, self.id_col, self.key_col, self.standardize)
 
 
-def new_locations(clean_df: DataFrame, existing: DataFrame | None = None, seq="ingest_seq") -> DataFrame:
-    if existing is not None:
-        existing = valid_dim(existing, "location_id", "state_code", X.state_code)
-    return new_rows(location_keys(clean_df, seq), existing, "location_id", "state_code")
+ARTISTS = Dimension(
+    "dim_artists", DIM_ARTISTS, "artist_id", "spotify_id", artist_keys, labels=("artist_name",)
+)
+GENRES = Dimension("dim_genres", DIM_GENRES, "genre_id", "genre", genre_keys, X.genre_name)
+LOCATIONS = Dimension(
+    "dim_locations", DIM_LOCATIONS, "location_id", "state_code", location_keys, X.state_code
+)
+DIMENSIONS = [ARTISTS, GENRES, LOCATIONS]
 
 
 def fact_with_keys(trends: DataFrame, artists: DataFrame, genres: DataFrame, locations: DataFrame) -> DataFrame:

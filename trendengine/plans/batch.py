@@ -12,9 +12,8 @@ from trendengine.operators import analytics, dedup, dims
 from trendengine.operators.clean import clean
 from trendengine.operators.enrich import staging_rows
 from trendengine.operators.explode import explode_genres, run_summary
-from trendengine.schemas import DIM_ARTISTS, DIM_GENRES, DIM_LOCATIONS
 from trendengine.session import scratch_path
-from trendengine.sinks.writers import append_rows, write_partitioned
+from trendengine.sinks.writers import append_rows, init_table, write_partitioned
 from trendengine.sources.batches import resolve_input
 from trendengine.sources.readers import read_dim, read_raw_csv, with_file_order
 
@@ -54,18 +53,17 @@ def transform_batch(
 
 def refresh_dims(spark: SparkSession, cleaned: DataFrame, root: str, fmt: str = "parquet") -> None:
     """Append what is new in a cleaned batch to the three dimensions under ``root``."""
-    tables = [
-        ("dim_artists", DIM_ARTISTS, "artist_id", lambda old: dims.new_artists(cleaned, old, SEQ)),
-        ("dim_genres", DIM_GENRES, "genre_id", lambda old: dims.new_genres(cleaned, old, SEQ, POS)),
-        ("dim_locations", DIM_LOCATIONS, "location_id", lambda old: dims.new_locations(cleaned, old, SEQ)),
-    ]
-    for name, schema, id_col, build in tables:
-        path = f"{root.rstrip('/')}/{name}"
-        fresh = build(read_dim(spark, path, schema, fmt))
-        # The sort of the append samples its input; a written table spares a second computation.
-        staged = scratch_path(spark, name)
-        fresh.write.parquet(staged)
-        append_rows(spark.read.schema(schema).parquet(staged), path, id_col, fmt)
+    for dim in dims.DIMENSIONS:
+        path = f"{root.rstrip('/')}/{dim.name}"
+        init_table(spark, path, dim.schema, fmt)
+        known = read_dim(spark, path, dim.schema, fmt)
+        # New keys are few; written down, the clean table is scanned once and not per use of them.
+        staged = scratch_path(spark, dim.name)
+        missing = dim.missing_keys(cleaned, known, seq=SEQ, pos=POS)
+        missing.write.parquet(staged)
+        keys = spark.read.schema(missing.schema).parquet(staged)
+        if not keys.isEmpty():
+            append_rows(dim.number(keys, known), path, dim.id_col, fmt)
 
 
 def stage_rows(cleaned: DataFrame) -> DataFrame | None:

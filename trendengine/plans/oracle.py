@@ -299,9 +299,9 @@ _BODIES = {
     "dim_genres": "SELECT * FROM d_genres",
     "dim_locations": "SELECT * FROM d_locations",
     "dims_incremental": " UNION ALL ".join([
-        _numbered(_NEAR, "exploded", "artist", "id", "(ingest_seq, genre_pos)"),
-        _numbered(_NEAR, "exploded", "genre", "genres", "(ingest_seq, genre_pos)"),
-        _numbered(_NEAR, "exploded", "location", "location", "(ingest_seq, genre_pos)"),
+        _numbered(_NEAR, "exploded", "dim_artists", "id", "(ingest_seq, genre_pos)"),
+        _numbered(_NEAR, "exploded", "dim_genres", "genres", "(ingest_seq, genre_pos)"),
+        _numbered(_NEAR, "exploded", "dim_locations", "location", "(ingest_seq, genre_pos)"),
     ]),
     # windows, calendar, top-k
     "velocity": "SELECT * FROM moving",
@@ -322,10 +322,10 @@ _BODIES = {
         SELECT id, max(trend_score) AS peak, count(*) AS n_days FROM artist_rows WHERE location = 'NV'
         GROUP BY id ORDER BY peak DESC, id LIMIT 10""",
     "fill_calendar": """
-        WITH_ spans AS (SELECT id, location, min(date) AS lo, max(date) AS hi FROM shipment_days GROUP BY ALL),
+        WITH_ spans AS (SELECT id, location, min(date) AS lo, max(date) AS hi FROM artist_rows GROUP BY ALL),
         days AS (SELECT id, location, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM spans)
         SELECT id, location, date, coalesce(trend_score, 0::DOUBLE) AS trend_score, trend_score IS NULL AS filled
-        FROM days LEFT JOIN shipment_days USING (id, location, date)""",
+        FROM days LEFT JOIN artist_rows USING (id, location, date)""",
     # quality
     "assert_single_genre": """
         SELECT count(*) AS n_rows, count(*) FILTER (WHERE contains(genres, ';')) AS violations,

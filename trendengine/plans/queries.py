@@ -18,9 +18,7 @@ from trendengine.plans import batch
 from trendengine.schemas import (
     ARTIST_OBJECT_SCHEMA,
     CLEAN_SCHEMA,
-    DIM_ARTISTS,
     DIM_GENRES,
-    DIM_LOCATIONS,
     RAW_COLUMNS,
     RAW_SCHEMA,
     RISING_SCHEMA,
@@ -63,6 +61,12 @@ def _exploded(s, d):
     return batch.clean_trends(_raw(s, d))
 
 
+def _stored_exploded(s, d):
+    """The cleaned table as a batch job leaves it."""
+    path = writers.write_partitioned(_exploded(s, d), scratch_path(s, "cleaned"), "2024_01_31")
+    return readers.read_cleaned(s, path)
+
+
 def _trends(s, d):
     return dedup.dedup_trends(_exploded(s, d)).select(*FACT)
 
@@ -97,7 +101,7 @@ def _genre_cache(s, d):
 
 def _dims(s, d):
     rows = _exploded(s, d)
-    return dims.new_artists(rows), dims.new_genres(rows, pos=batch.POS), dims.new_locations(rows)
+    return [dim.new_rows(rows, pos=batch.POS) for dim in dims.DIMENSIONS]
 
 
 _ROOTS: dict[tuple[str, str], str] = {}
@@ -189,9 +193,9 @@ def scan_hive_json(s, d):
 @query
 def scan_dims(s, d):
     root = scratch_path(s, "dims")
-    batch.refresh_dims(s, _exploded(s, d), root, fmt="csv")
+    batch.refresh_dims(s, _stored_exploded(s, d), root, fmt="csv")
     stored = readers.read_dim(s, f"{root}/dim_genres", DIM_GENRES, fmt="csv")
-    return dims.valid_dim(stored, "genre_id", "genre", X.genre_name)
+    return dims.GENRES.valid(stored)
 
 
 @query
@@ -202,7 +206,8 @@ def valid_genres(s, d):
 @query
 def scan_cleaned(s, d):
     path = writers.write_partitioned(_exploded(s, d), scratch_path(s, "cleaned"), "2024_01_31")
-    return readers.read_cleaned(s, path, dt.date(2024, 1, 5), dt.date(2024, 1, 20)).select(*FACT)
+    rows = readers.read_cleaned(s, path, dt.date(2024, 1, 5), dt.date(2024, 1, 20))
+    return rows.select(*FACT)
 
 
 # ---- sinks --------------------------------------------------------------------------
@@ -433,7 +438,7 @@ def pending_requests(s, d):
 
 @query
 def genre_market_grid(s, d):
-    return enrich.genre_market_grid(dims.new_genres(_exploded(s, d), pos=batch.POS))
+    return enrich.genre_market_grid(dims.GENRES.new_rows(_exploded(s, d), pos=batch.POS))
 
 
 @query
@@ -603,39 +608,35 @@ def union_playlists(s, d):
 
 @query
 def dim_artists(s, d):
-    return dims.new_artists(_exploded(s, d))
+    return dims.ARTISTS.new_rows(_exploded(s, d))
 
 
 @query
 def dim_genres(s, d):
-    return dims.new_genres(_exploded(s, d), pos=batch.POS)
+    return dims.GENRES.new_rows(_exploded(s, d), pos=batch.POS)
 
 
 @query
 def dim_locations(s, d):
-    return dims.new_locations(_exploded(s, d))
+    return dims.LOCATIONS.new_rows(_exploded(s, d))
 
 
 @query
 def dims_incremental(s, d):
     """Two runs: the rows of two regions, then all rows."""
     root = scratch_path(s, "dims")
-    rows = _exploded(s, d)
+    rows = _stored_exploded(s, d)
     batch.refresh_dims(s, rows.where(F.col("location").isin("NV", "CA")), root)
     batch.refresh_dims(s, rows, root)
     parts = [
-        ("artist", DIM_ARTISTS, "artist_id", "spotify_id"),
-        ("genre", DIM_GENRES, "genre_id", "genre"),
-        ("location", DIM_LOCATIONS, "location_id", "state_code"),
+        readers.read_dim(s, f"{root}/{dim.name}", dim.schema).select(
+            F.lit(dim.name).alias("dim"),
+            F.col(dim.id_col).alias("number"),
+            F.col(dim.key_col).alias("natural_key"),
+        )
+        for dim in dims.DIMENSIONS
     ]
-    return enrich.union_playlists(
-        [
-            readers.read_dim(s, f"{root}/dim_{name}s", schema).select(
-                F.lit(name).alias("dim"), F.col(num).alias("number"), F.col(key).alias("natural_key")
-            )
-            for name, schema, num, key in parts
-        ]
-    )
+    return enrich.union_playlists(parts)
 
 
 # ---- windows, calendar, top-k -----------------------------------------------------------
@@ -673,7 +674,7 @@ def trending_in_region(s, d):
 
 @query
 def fill_calendar(s, d):
-    return analytics.fill_calendar(_shipment_days(s, d))
+    return analytics.fill_calendar(_artist_rows(s, d))
 
 
 # ---- quality ----------------------------------------------------------------------------

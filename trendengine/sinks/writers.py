@@ -55,6 +55,14 @@ def artists_to_csv(artists: DataFrame, path: str) -> str:
     return write_csv(artists_table(artists), path)
 
 
+def init_table(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> None:
+    """An empty table where there is none yet; an existing one stays as it is."""
+    out = spark.createDataFrame([], schema).write.mode("ignore")
+    if fmt == "csv":
+        out = out.options(**CSV_OPTIONS)
+    out.format(fmt).save(path)
+
+
 def append_rows(new: DataFrame, path: str, id_col: str, fmt: str = "parquet") -> None:
     """Append dimension rows in number order."""
     out = new.orderBy(id_col).write.mode("append")
