@@ -33,8 +33,9 @@ UNKNOWN_GENRE = "Unknown"
 NULL_LIKE_TEXT = ["<na>", "na", "null", ""]
 LIST_JOINER = "; "
 ALT_DELIMITERS, DELIMITER = "|,", ";"
+LINE_SPACE = " \t\n\x0b\f\r"
 # Characters that may wrap a genre token: white space, quotes, brackets.
-TOKEN_WRAPPERS = " \t\n\x0b\f\r\"'[]()"
+TOKEN_WRAPPERS = LINE_SPACE + "\"'[]()"
 # White space as Python's str.strip and str.split see it (inside of a regex class).
 WHITESPACE = (
     r"\x09-\x0d\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"

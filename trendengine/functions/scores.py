@@ -11,9 +11,14 @@ from trendengine.constants import SCORE_MAX, SCORE_MIN
 
 
 def to_day(c) -> Column:
-    """``2026-02-05`` or ``2026_02_05`` as a date; any other spelling is null."""
-    text = F.trim(F.translate(c, "_", "-"))
-    return F.try_to_date(text, "yyyy-MM-dd")
+    """``2026-02-05`` or ``2026_02_05`` as a date; any other spelling is null.
+
+    The cast alone takes looser spellings, so the date must print as the text it came from.
+    Both together cost half of parsing with a pattern.
+    """
+    text = F.trim(F.replace(c, F.lit("_"), F.lit("-")))
+    day = text.try_cast("date")
+    return F.when(day.cast("string") == text, day)
 
 
 def to_score(c) -> Column:

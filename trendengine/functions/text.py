@@ -35,7 +35,7 @@ def normalize_text(c) -> Column:
 
     The ends are trimmed before symbols go, so a symbol at an end can leave a space.
     """
-    return F.regexp_replace(F.lower(strip_whitespace(c)), f"[^{WORD}{WHITESPACE}]", "")
+    return F.regexp_replace(F.lower(strip_whitespace(c)), f"[^{WORD}{WHITESPACE}]+", "")
 
 
 def norm_key(c) -> Column:

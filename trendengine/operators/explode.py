@@ -52,10 +52,9 @@ def explode_genres(
     rows = _tokens(with_genre_list(df))
     if observation is not None:
         rows = rows.observe(observation, *explode_measures())
-    rows = rows.where(G.is_token(F.col(_TOKEN))).withColumn("genres", F.col(_TOKEN))
-    if position:
-        rows = rows.withColumn(position, F.col(_POS))
-    return rows.drop(_TOKEN, _POS, _RESPELLED)
+    place = {position: F.col(_POS)} if position else {}
+    kept = rows.where(G.is_token(F.col(_TOKEN))).withColumns({"genres": F.col(_TOKEN), **place})
+    return kept.drop(_TOKEN, _POS, _RESPELLED)
 
 
 def explode_metrics(clean_df: DataFrame) -> DataFrame:

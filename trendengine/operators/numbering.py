@@ -13,23 +13,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# 2^16 consecutive codes form a bucket and 2^24 buckets a block: no window below holds more.
+# 2^16 consecutive codes form a bucket and 2^24 buckets a block. The one window over all
+# blocks sees at most 2^23 rows of two numbers, whatever the table holds.
 BUCKET_BITS, BLOCK_BITS = 16, 24
 
 
+def _sum_before(n: str, partition, order: str):
+    earlier = W.partitionBy(partition).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    return F.coalesce(F.sum(n).over(earlier), F.lit(0))
+
+
 def counts_before(cells: DataFrame, code: str, n: str, out: str) -> DataFrame:
     """For each code the sum of ``n`` over all smaller codes. One row per code expected."""
     block = F.shiftright(F.col(code), BLOCK_BITS)
-    cells = cells.select(code, n, block.alias("_block"))
-    in_block = W.partitionBy("_block").orderBy(code).rowsBetween(W.unboundedPreceding, -1)
-    of_blocks = W.partitionBy(F.lit(0)).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    blocks = (
-        cells.groupBy("_block")
-        .agg(F.sum(n).alias("_n"))
-        .select("_block", F.coalesce(F.sum("_n").over(of_blocks), F.lit(0)).alias("_earlier"))
-    )
+    # Stating the null test of the join here leaves both uses of the cells alike, so that
+    # Spark computes them once.
+    cells = cells.select(code, n, block.alias("_block")).where(F.col("_block").isNotNull())
+    totals = cells.groupBy("_block").agg(F.sum(n).alias("_n"))
+    blocks = totals.select("_block", _sum_before("_n", F.lit(0), "_block").alias("_earlier"))
     return (
-        cells.withColumn("_inside", F.coalesce(F.sum(n).over(in_block), F.lit(0)))
+        cells.withColumn("_inside", _sum_before(n, "_block", code))
         .join(blocks, "_block")
         .select(code, (F.col("_earlier") + F.col("_inside")).alias(out))
     )
@@ -40,7 +43,8 @@ def number_rows(df: DataFrame, seq: str, tie: list[str], out: str) -> DataFrame:
 
     ``seq`` is an integer that few rows share, such as the position of a row in its input.
     """
-    rows = df.withColumn("_bucket", F.shiftright(F.col(seq), BUCKET_BITS))
+    bucket = F.shiftright(F.col(seq), BUCKET_BITS)
+    rows = df.withColumn("_bucket", bucket).where(F.col("_bucket").isNotNull())
     counts = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts_before(counts, "_bucket", "_n", "_offset")
     order = W.partitionBy("_bucket").orderBy(seq, *tie)

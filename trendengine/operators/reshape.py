@@ -19,13 +19,12 @@ def unpivot_trends(lines: DataFrame, value: str = "value", mode: str = "FAILFAST
     options = {"mode": mode}
     record = F.from_json(value, as_map, options)
     rows = lines.where(F.trim(value) != "").select(record.alias("r"))
-    trend = F.map_filter("r", lambda k, v: k.startswith(TREND_KEY_PREFIX) & v.isNotNull())
     entries = rows.select(
         F.col("r")["artist"].alias("artist"),
         F.col("r")["id"].alias("id"),
         F.col("r")["genres"].alias("genres"),
-        F.explode(trend).alias("k", "v"),
-    )
+        F.explode("r").alias("k", "v"),
+    ).where(F.col("k").startswith(TREND_KEY_PREFIX) & F.col("v").isNotNull())
     # A nested map gives its own (day, score) pairs; a plain score is a pair with an empty day.
     nested = F.col("v").startswith("{")
     pairs = F.when(nested, F.from_json("v", as_map, options)).otherwise(
