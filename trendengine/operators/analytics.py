@@ -147,7 +147,7 @@ def fill_calendar(artist_fact: DataFrame) -> DataFrame:
     spans = artist_fact.select(
         "id", "location", F.col("date").alias("_day"), "trend_score", until.alias("_until")
     )
-    days = spans.select("*", F.explode(F.sequence("_day", "_until")).alias("date"))
+    days = spans.select("*", F.explode_outer(F.sequence("_day", "_until")).alias("date"))
     observed = F.col("date") == F.col("_day")
     return days.select(
         "id",

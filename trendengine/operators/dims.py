@@ -55,7 +55,7 @@ def genre_keys(clean_df: DataFrame, seq="ingest_seq", pos: str | None = None) ->
     text = G.unify_delimiters(G.fill_unknown(F.trim("genres")))
     order = F.col(pos) if pos else F.lit(0)
     tokens = _usable(clean_df).select(
-        F.col(seq).alias("_seq"), order.alias("_row"), F.posexplode(F.split(text, ";")).alias("_i", "_raw")
+        F.col(seq).alias("_seq"), order.alias("_row"), F.posexplode_outer(F.split(text, ";")).alias("_i", "_raw")
     )
     inner = F.col("_row") * F.lit(ROW_STEP) + F.col("_i")
     place = F.col("_seq").cast("decimal(19,0)") * F.lit(SEQ_STEP).cast("decimal(13,0)") + inner

@@ -83,9 +83,8 @@ def unprocessed_artists(artists: DataFrame, processed: DataFrame) -> DataFrame:
     """Artists with a name that is not in the output yet; case and outer spaces do not count."""
     name = F.lower(F.trim("artist"))
     done = processed.select(name.alias("_name")).where(F.col("_name") != "").distinct()
-    return (
-        artists.withColumn("_name", name).where(F.col("_name") != "").join(done, "_name", "left_anti")
-    ).drop("_name")
+    named = artists.withColumn("_name", name).where(F.col("_name") != "")
+    return named.join(done, "_name", "left_anti").select(*artists.columns)
 
 
 def with_artist_key(df: DataFrame, name: str = "artist") -> DataFrame:
@@ -125,7 +124,7 @@ def national_gate(
 ) -> DataFrame:
     """Regional rows of artists whose national peak reaches the threshold."""
     passing = national_peaks(national).where(F.col("peak") >= min_peak).select("id")
-    return regional.join(passing, "id", "left_semi")
+    return regional.join(passing, "id", "left_semi").select(*regional.columns)
 
 
 def cache_upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -164,7 +163,7 @@ def staging_rows(cleaned: DataFrame) -> DataFrame:
     from trendengine.functions import genres as G
 
     require_columns(cleaned, ["genres", "location"])
-    genre = F.explode(F.split(G.unify_delimiters(F.col("genres")), ";"))
+    genre = F.explode_outer(F.split(G.unify_delimiters(F.col("genres")), ";"))
     rows = cleaned.select(
         "artist",
         "id",

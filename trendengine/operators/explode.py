@@ -19,7 +19,10 @@ def with_genre_list(df: DataFrame) -> DataFrame:
 
 
 def _tokens(listed: DataFrame) -> DataFrame:
-    """Outer explode: a row without any token stays visible to the counts."""
+    """Outer explode: a row without any token stays visible to the counts.
+
+    It also keeps Spark from testing the list for emptiness first, which would build it twice.
+    """
     rows = listed.select("*", F.posexplode_outer(_LIST).alias(_POS, _TOKEN)).drop(_LIST)
     return rows.withColumn(_TOKEN, G.clean_token(F.col(_TOKEN)))
 

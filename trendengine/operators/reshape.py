@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendengine.constants import TREND_KEY_PATTERN, TREND_KEY_PREFIX
+from trendengine.functions import scores as S
 from trendengine.functions import text as X
 
 
@@ -18,30 +19,35 @@ def unpivot_trends(lines: DataFrame, value: str = "value", mode: str = "FAILFAST
     as_map = "map<string,string>"
     options = {"mode": mode}
     record = F.from_json(value, as_map, options)
-    rows = lines.where(F.trim(value) != "").select(record.alias("r"))
-    entries = rows.select(
+    records = lines.where(F.trim(value) != "").select(record.alias("r"))
+    # The outer form of explode keeps Spark from testing the parsed map for emptiness first,
+    # which would parse each line twice; the filters drop what it adds.
+    entries = records.select(
         F.col("r")["artist"].alias("artist"),
         F.col("r")["id"].alias("id"),
-        F.col("r")["genres"].alias("genres"),
-        F.explode("r").alias("k", "v"),
+        _genre_text(F.col("r")["genres"]).alias("genres"),
+        F.explode_outer("r").alias("k", "v"),
     ).where(F.col("k").startswith(TREND_KEY_PREFIX) & F.col("v").isNotNull())
     # A nested map gives its own (day, score) pairs; a plain score is a pair with an empty day.
     nested = F.col("v").startswith("{")
     pairs = F.when(nested, F.from_json("v", as_map, options)).otherwise(
         F.create_map(F.lit(""), F.col("v"))
     )
-    scores = entries.select("artist", "id", "genres", "k", F.explode(pairs).alias("day", "score"))
+    scores = entries.select("artist", "id", "genres", "k", F.explode_outer(pairs).alias("day", "score"))
     key = F.when(F.col("day") == "", F.col("k")).otherwise(F.concat_ws("_", "k", "day"))
     located = scores.withColumn("k", key).where(F.col("k").rlike(TREND_KEY_PATTERN))
-    genres = F.col("genres")
-    genre_text = F.when(
-        genres.startswith("["), X.join_list(F.from_json(genres, "array<string>"))
-    ).otherwise(F.coalesce(genres, F.lit("")))
+    part = lambda i: F.regexp_extract("k", TREND_KEY_PATTERN, i)
     return located.select(
         "artist",
         "id",
-        genre_text.alias("genres"),
-        F.upper(F.regexp_extract("k", TREND_KEY_PATTERN, 1)).alias("location"),
-        F.try_to_date(F.regexp_extract("k", TREND_KEY_PATTERN, 2), "yyyy-MM-dd").alias("date"),
+        "genres",
+        F.upper(part(1)).alias("location"),
+        S.to_day(part(2)).alias("date"),
         F.col("score").try_cast("double").alias("trend_score"),
     ).where(F.col("trend_score").isNotNull())
+
+
+def _genre_text(genres: Column) -> Column:
+    """Genres of a record as one text, be they a list, a text or missing."""
+    listed = X.join_list(F.from_json(genres, "array<string>"))
+    return F.when(genres.startswith("["), listed).otherwise(F.coalesce(genres, F.lit("")))

@@ -370,9 +370,15 @@ def quarantine_rows(s, d):
 @query
 def parse_genres(s, d):
     items = G.genre_list(G.unify_delimiters("genres"))
-    return _clean(s, d).select(
-        "ingest_seq", F.size(items).cast("long").alias("n_items"), F.posexplode(items).alias("pos", "item")
-    ).select("ingest_seq", "n_items", F.col("pos").cast("long").alias("pos"), G.clean_token("item").alias("item"))
+    listed = _clean(s, d).select("ingest_seq", items.alias("items"))
+    rows = listed.select(
+        "ingest_seq",
+        F.size("items").cast("long").alias("n_items"),
+        F.posexplode_outer("items").alias("pos", "item"),
+    ).where(F.col("pos").isNotNull())
+    return rows.select(
+        "ingest_seq", "n_items", F.col("pos").cast("long").alias("pos"), G.clean_token("item").alias("item")
+    )
 
 
 @query
