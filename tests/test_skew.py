@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trendengine.operators import analytics, dedup, dims, enrich
+from trendengine.operators.joins import spread_join
 
 
 @pytest.fixture
@@ -43,7 +44,8 @@ def without_broadcast(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2000",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2000",
-        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
     }
     old = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
@@ -53,29 +55,32 @@ def without_broadcast(spark):
         spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def _executed(df):
-    rows = df.collect()
-    return rows, df._jdf.queryExecution().executedPlan().toString()
+def _largest_share(df):
+    sizes = [r["n"] for r in df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    return max(sizes) / sum(sizes)
 
 
-def test_join_to_artists_splits_the_hot_key(spark, skewed, without_broadcast, tmp_path):
-    skewed.write.parquet(str(tmp_path / "fact"))
-    fact = spark.read.parquet(str(tmp_path / "fact")).repartition(8)
-    artists = dims.ARTISTS.new_rows(skewed)
-    artists.write.parquet(str(tmp_path / "artists"))
-    artists = spark.read.parquet(str(tmp_path / "artists"))
-    joined = fact.join(artists.select(F.col("spotify_id").alias("id"), "artist_id"), "id")
-    rows, plan = _executed(joined)
-    assert len(rows) == 6000 and "skew=true" in plan
+def test_spread_join_splits_the_hot_key(spark, skewed, without_broadcast):
+    lookup = skewed.groupBy("id").agg(F.max("trend_score").alias("peak"))
+    plain, spread = skewed.join(lookup, "id"), spread_join(skewed, lookup, ["id"])
+    assert sorted(map(tuple, spread.select(*plain.columns).collect())) == sorted(map(tuple, plain.collect()))
+    assert _largest_share(plain) > 0.5 > 0.25 > _largest_share(spread)
+
+
+def test_adaptive_execution_splits_a_join_of_two_tables(spark, skewed, without_broadcast):
+    other = skewed.select("id").distinct().repartition(4)
+    joined = skewed.join(other, "id")
+    assert len(joined.collect()) == 6000
+    assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
 
 
 def test_national_gate_splits_the_hot_key(spark, skewed, without_broadcast):
     national = skewed.select("id", "trend_score")
-    rows, plan = _executed(enrich.national_gate(skewed.repartition(8), national))
+    gated = enrich.national_gate(skewed, national)
     peaks = {r["id"]: r["peak"] for r in enrich.national_peaks(national).collect()}
     wanted = [r for r in skewed.collect() if peaks[r["id"]] >= 50]
-    assert sorted(map(tuple, rows)) == sorted(map(tuple, wanted))
-    assert "skew=true" in plan
+    assert sorted(map(tuple, gated.collect())) == sorted(map(tuple, wanted))
+    assert _largest_share(gated) < 0.25
 
 
 def test_keyed_fact_is_whole(spark, skewed, without_broadcast):

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from trendengine.functions import genres as G
 from trendengine.functions import text as X
+from trendengine.operators.joins import spread_join
 from trendengine.operators.numbering import number_rows
 from trendengine.schemas import DIM_ARTISTS, DIM_GENRES, DIM_LOCATIONS
 
@@ -134,35 +135,36 @@ LOCATIONS = Dimension(
 DIMENSIONS = [ARTISTS, GENRES, LOCATIONS]
 
 
+def _keyed(rows: DataFrame, dim_rows: DataFrame, dim: Dimension, column: str) -> DataFrame:
+    """Number of one dimension next to its natural key. Keys are unique, so rows stay as many."""
+    lookup = dim_rows.select(F.col(dim.key_col).alias(column), dim.id_col)
+    return spread_join(rows, lookup, [column])
+
+
 def fact_with_keys(trends: DataFrame, artists: DataFrame, genres: DataFrame, locations: DataFrame) -> DataFrame:
-    """Natural keys replaced by surrogate keys. Dimension keys are unique, so rows stay as many."""
-    return (
-        trends.join(artists.select(F.col("spotify_id").alias("id"), "artist_id"), "id")
-        .join(genres.select(F.col("genre").alias("genres"), "genre_id"), "genres")
-        .join(locations.select(F.col("state_code").alias("location"), "location_id"), "location")
-        .select("artist_id", "genre_id", "location_id", "date", "trend_score")
-    )
+    """Natural keys replaced by surrogate keys."""
+    rows = trends.select("id", "genres", "location", "date", "trend_score")
+    rows = _keyed(rows, artists, ARTISTS, "id").drop("id")
+    rows = _keyed(rows, genres, GENRES, "genres").drop("genres")
+    rows = _keyed(rows, locations, LOCATIONS, "location")
+    return rows.select("artist_id", "genre_id", "location_id", "date", "trend_score")
 
 
 def artist_genres(exploded: DataFrame, artists: DataFrame, genres: DataFrame) -> DataFrame:
     """Pairs of artist and genre numbers. Pairs are made unique before the joins."""
-    pairs = exploded.select(F.col("id").alias("spotify_id"), F.col("genres").alias("genre")).distinct()
-    return (
-        pairs.join(artists, "spotify_id").join(genres, "genre").select("artist_id", "genre_id").distinct()
-    )
+    pairs = exploded.select("id", "genres").distinct()
+    rows = _keyed(_keyed(pairs, artists, ARTISTS, "id"), genres, GENRES, "genres")
+    return rows.select("artist_id", "genre_id")
 
 
 def fact_artist_trends(artist_rows: DataFrame, artists: DataFrame, locations: DataFrame) -> DataFrame:
     """Daily score per artist and location, without genre."""
-    return (
-        artist_rows.join(artists.select(F.col("spotify_id").alias("id"), "artist_id"), "id")
-        .join(locations.select(F.col("state_code").alias("location"), "location_id"), "location")
-        .select("artist_id", "location_id", "date", "trend_score")
-    )
+    rows = _keyed(_keyed(artist_rows, artists, ARTISTS, "id"), locations, LOCATIONS, "location")
+    return rows.select("artist_id", "location_id", "date", "trend_score")
 
 
 def exploded_view(artist_fact: DataFrame, pairs: DataFrame) -> DataFrame:
     """Artist fact with one row per genre of the artist; for genre-level aggregates only."""
-    return artist_fact.join(pairs, "artist_id").select(
+    return spread_join(artist_fact, pairs, ["artist_id"]).select(
         "artist_id", "genre_id", "location_id", "date", "trend_score"
     )

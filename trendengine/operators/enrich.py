@@ -17,6 +17,7 @@ from trendengine.constants import (
 from trendengine.functions import text as X
 from trendengine.operators.clean import require_columns
 from trendengine.operators.dedup import keep_first, keep_last
+from trendengine.operators.joins import spread_join
 
 
 def state_table(spark: SparkSession) -> DataFrame:
@@ -84,7 +85,7 @@ def unprocessed_artists(artists: DataFrame, processed: DataFrame) -> DataFrame:
     name = F.lower(F.trim("artist"))
     done = processed.select(name.alias("_name")).where(F.col("_name") != "").distinct()
     named = artists.withColumn("_name", name).where(F.col("_name") != "")
-    return named.join(done, "_name", "left_anti").select(*artists.columns)
+    return spread_join(named, done, ["_name"], "left_anti").select(*artists.columns)
 
 
 def with_artist_key(df: DataFrame, name: str = "artist") -> DataFrame:
@@ -124,7 +125,7 @@ def national_gate(
 ) -> DataFrame:
     """Regional rows of artists whose national peak reaches the threshold."""
     passing = national_peaks(national).where(F.col("peak") >= min_peak).select("id")
-    return regional.join(passing, "id", "left_semi").select(*regional.columns)
+    return spread_join(regional, passing, ["id"], "left_semi")
 
 
 def cache_upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
