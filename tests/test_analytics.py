@@ -213,3 +213,12 @@ def test_quality(clean_frame):
     }
     empty = {r["passed"] for r in Q.dq_report(df.limit(0)).collect()}
     assert empty == {True}
+
+
+def test_description_scans_once(spark, tmp_path):
+    path = str(tmp_path / "scores")
+    spark.createDataFrame([(float(i % 7),) for i in range(50)], "trend_score double").write.parquet(path)
+    df = P.describe_scores(spark.read.parquet(path))
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan ==")[0]
+    assert final.count("ReusedExchange") == 3

@@ -54,3 +54,25 @@ def test_text_is_scanned_once(spark, root):
     raw = R.with_file_order(R.read_raw_csv(spark, W.raw_path(str(root / "in"), "2025_02_02")))
     plan = explode_genres(clean(raw))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan csv") == 1 and "Exchange" not in plan
+
+
+def test_empty_batch(spark, raw_frame, tmp_path):
+    W.write_csv(raw_frame(), W.raw_path(str(tmp_path / "in"), "2025_02_02"))
+    path, counts = batch.transform_batch(spark, str(tmp_path / "out"), root=str(tmp_path / "in"))
+    assert set(counts.values()) == {0} and len(counts) == 9
+
+
+def test_job_is_set_up_by_the_environment(spark, root, monkeypatch):
+    from trendengine.plans.job import main
+
+    for name in ("TRANSFORM_ROOT", "RAW_ROOT", "TRANSFORM_ONE_OFF_INPUT", "DIMS_ROOT"):
+        monkeypatch.delenv(name, raising=False)
+    with pytest.raises(EnvironmentError):
+        main()
+    monkeypatch.setenv("TRANSFORM_ROOT", str(root / "out"))
+    with pytest.raises(ValueError):
+        main()
+    monkeypatch.setenv("RAW_ROOT", str(root / "in"))
+    monkeypatch.setenv("DIMS_ROOT", str(root / "dims"))
+    assert main()["rows_after_explode"] == 3
+    assert R.read_dim(spark, str(root / "dims/dim_artists"), DIM_ARTISTS).count() == 2

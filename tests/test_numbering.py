@@ -1,11 +1,14 @@
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
-from trendengine.operators.numbering import counts_before, number_rows
+from trendengine.operators.numbering import counts_before, number_few, number_rows
 
 
-def test_numbers_are_dense_and_in_order(spark):
+@pytest.mark.parametrize("number_rows", [number_rows, number_few])
+def test_numbers_are_dense_and_in_order(spark, number_rows):
     rng = random.Random(7)
     seqs = rng.sample(range(1 << 50), 200) + list(range(100)) + [1 << 40, (1 << 40) + 1, 1 << 62]
     df = spark.createDataFrame([(s, f"k{s}") for s in seqs], "seq long, k string").repartition(5)

@@ -62,3 +62,9 @@ def test_codes_and_lists(spark):
         .head()
     )
     assert tuple(row) == ("NV", None, "art rock", "a; b", "", True, False, "mira sol|US-TX|Jul_2025")
+
+
+def test_white_space_is_that_of_python():
+    from trendengine.constants import WHITESPACE_CHARS
+
+    assert set(WHITESPACE_CHARS) == {chr(i) for i in range(0x110000) if chr(i).isspace()}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from trendengine.constants import LIST_JOINER, NULL_LIKE_TEXT, WHITESPACE, WORD
+from trendengine.constants import LIST_JOINER, NULL_LIKE_TEXT, WHITESPACE, WHITESPACE_CHARS, WORD
 
 
 def trimmed(c) -> Column:
@@ -27,7 +27,7 @@ def genre_name(c) -> Column:
 
 def strip_whitespace(c) -> Column:
     """Trim every kind of Unicode white space, where ``F.trim`` removes the space only."""
-    return F.regexp_replace(c, f"^[{WHITESPACE}]+|[{WHITESPACE}]+$", "")
+    return F.btrim(c, F.lit(WHITESPACE_CHARS))
 
 
 def normalize_text(c) -> Column:
@@ -39,8 +39,12 @@ def normalize_text(c) -> Column:
 
 
 def norm_key(c) -> Column:
-    """Lower-case name with each run of white space as one space."""
-    return F.regexp_replace(F.lower(strip_whitespace(c)), f"[{WHITESPACE}]+", " ")
+    """Lower-case name with each run of white space as one space.
+
+    Single spaces, the usual case, are no match and stay where they are.
+    """
+    runs = f"[{WHITESPACE}]{{2,}}|[{WHITESPACE}&&[^ ]]"
+    return F.regexp_replace(F.lower(strip_whitespace(c)), runs, " ")
 
 
 def month_label(day) -> Column:

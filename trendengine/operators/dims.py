@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from trendengine.functions import genres as G
 from trendengine.functions import text as X
 from trendengine.operators.joins import spread_join
-from trendengine.operators.numbering import number_rows
+from trendengine.operators.numbering import FEW, number_few, number_rows
 from trendengine.schemas import DIM_ARTISTS, DIM_GENRES, DIM_LOCATIONS
 
 ROW_STEP, SEQ_STEP = 10**6, 10**12
@@ -34,15 +34,21 @@ def _usable(clean_df: DataFrame) -> DataFrame:
 
 
 def artist_keys(clean_df: DataFrame, seq="ingest_seq", pos: str | None = None) -> DataFrame:
-    """Artist ids with first appearance and their last name that is not blank."""
+    """Artist ids with first appearance and their last name that is not blank.
+
+    The table is first reduced to its distinct pairs of id and name, which hashing does; picking
+    a text by its position would sort the input and is left to the few pairs.
+    """
+    pairs = (
+        _usable(clean_df)
+        .groupBy("id", "artist")
+        .agg(F.min(seq).alias("_first"), F.max(seq).alias("_last"))
+    )
     named = F.col("artist").isNotNull() & (F.col("artist") != "")
+    last_name = F.max_by("artist", F.when(named, F.col("_last")))
     return (
-        _usable(clean_df)
-        .groupBy(F.col("id").alias("spotify_id"))
-        .agg(
-            F.min(seq).alias("_seq"),
-            F.coalesce(F.max_by("artist", F.when(named, F.col(seq))), F.lit("")).alias("artist_name"),
-        )
+        pairs.groupBy(F.col("id").alias("spotify_id"))
+        .agg(F.min("_first").alias("_seq"), F.coalesce(last_name, F.lit("")).alias("artist_name"))
         .withColumn("_pos", F.lit(0))
     )
 
@@ -107,13 +113,19 @@ class Dimension:
             return keys
         return keys.join(self.valid(existing).select(self.key_col), self.key_col, "left_anti")
 
-    def number(self, keys: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-        """Keys as rows to append, numbered after the highest number on record."""
+    def number(
+        self, keys: DataFrame, existing: DataFrame | None = None, n_keys: int | None = None
+    ) -> DataFrame:
+        """Keys as rows to append, numbered after the highest number on record.
+
+        ``n_keys`` is their number where it is known: few are numbered in one sort.
+        """
         start = F.lit(0)
         if existing is not None:
             highest = F.coalesce(F.max(self.id_col), F.lit(0))
             start = self.valid(existing).agg(highest).scalar()
-        numbered = number_rows(keys, "_seq", ["_pos", self.key_col], "_number")
+        number = number_few if n_keys is not None and n_keys <= FEW else number_rows
+        numbered = number(keys, "_seq", ["_pos", self.key_col], "_number")
         return numbered.select(
             (F.col("_number") + start).alias(self.id_col), self.key_col, *self.labels
         )

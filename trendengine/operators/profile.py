@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trendengine.constants import HISTOGRAM_BINS, UNKNOWN_GENRE
-from trendengine.operators.numbering import counts_before
+from trendengine.operators.numbering import BLOCK_BITS, counts_before
 
 
 def percent(cond: Column) -> Column:
@@ -116,7 +116,12 @@ def _quantile(p: float) -> Column:
 
 def describe_scores(df: DataFrame, column: str = "trend_score") -> DataFrame:
     """Count, mean, deviation, quartiles, distinct values and mode of a numeric column, all exact."""
-    counts = value_counts(df.where(F.col(column).isNotNull()), F.col(column), "v")
+    v = F.col(column)
+    # The joins below want codes that are not null. Said here, it holds for each use of the
+    # counts, so Spark sees them alike and scans the table once.
+    code = _order_code(v)
+    usable = v.isNotNull() & code.isNotNull() & F.shiftright(code, BLOCK_BITS).isNotNull()
+    counts = value_counts(df.where(usable), v, "v")
     total = counts.agg(F.sum("n")).scalar()
     mean = counts.agg(F.sum(F.col("n") * F.col("v")) / F.sum("n")).scalar()
     ranked = _with_cumulative(counts).withColumns({"_total": total, "_mean": mean})

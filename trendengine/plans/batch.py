@@ -6,6 +6,8 @@ text, and every later step reads the columns it needs from it.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from trendengine.operators import analytics, dedup, dims
@@ -51,19 +53,28 @@ def transform_batch(
     return written, {**first.get, **second.get}
 
 
+def refresh_dim(
+    spark: SparkSession, cleaned: DataFrame, root: str, dim: dims.Dimension, fmt: str = "parquet"
+) -> None:
+    """Append what is new in a cleaned batch to one dimension under ``root``."""
+    path = f"{root.rstrip('/')}/{dim.name}"
+    init_table(spark, path, dim.schema, fmt)
+    known = read_dim(spark, path, dim.schema, fmt)
+    # New keys are few; written down, the clean table is scanned once and not per use of them.
+    staged = scratch_path(spark, dim.name)
+    missing = dim.missing_keys(cleaned, known, seq=SEQ, pos=POS)
+    missing.write.parquet(staged)
+    keys = spark.read.schema(missing.schema).parquet(staged)
+    if n_keys := keys.count():
+        append_rows(dim.number(keys, known, n_keys), path, dim.id_col, fmt)
+
+
 def refresh_dims(spark: SparkSession, cleaned: DataFrame, root: str, fmt: str = "parquet") -> None:
-    """Append what is new in a cleaned batch to the three dimensions under ``root``."""
-    for dim in dims.DIMENSIONS:
-        path = f"{root.rstrip('/')}/{dim.name}"
-        init_table(spark, path, dim.schema, fmt)
-        known = read_dim(spark, path, dim.schema, fmt)
-        # New keys are few; written down, the clean table is scanned once and not per use of them.
-        staged = scratch_path(spark, dim.name)
-        missing = dim.missing_keys(cleaned, known, seq=SEQ, pos=POS)
-        missing.write.parquet(staged)
-        keys = spark.read.schema(missing.schema).parquet(staged)
-        if not keys.isEmpty():
-            append_rows(dim.number(keys, known), path, dim.id_col, fmt)
+    """All three dimensions. They do not depend on each other, so their jobs share the cluster."""
+    with ThreadPoolExecutor(len(dims.DIMENSIONS)) as pool:
+        jobs = [pool.submit(refresh_dim, spark, cleaned, root, dim, fmt) for dim in dims.DIMENSIONS]
+    for job in jobs:
+        job.result()
 
 
 def stage_rows(cleaned: DataFrame) -> DataFrame | None:

@@ -64,8 +64,8 @@ def init_table(spark: SparkSession, path: str, schema, fmt: str = "parquet") ->
 
 
 def append_rows(new: DataFrame, path: str, id_col: str, fmt: str = "parquet") -> None:
-    """Append dimension rows in number order."""
-    out = new.orderBy(id_col).write.mode("append")
+    """Append dimension rows, each file in number order."""
+    out = new.sortWithinPartitions(id_col).write.mode("append")
     if fmt == "csv":
         out = out.options(**CSV_OPTIONS)
     out.format(fmt).save(path)
