@@ -59,7 +59,7 @@ CTES = {
         SELECT genres, location, date, round(avg(trend_score), 6) AS avg_score, max(trend_score) AS max_score,
           count(*) AS n_artists FROM trends GROUP BY ALL""",
     "shipments": _fixture(fx.SHIPMENT_TRENDS_SQL),
-    "shipment_days": f"SELECT id, location, date, trend_score FROM ({_first('shipments', 'id, location, date')})",
+    "shipment_days": "SELECT id, location, date, max(trend_score) AS trend_score FROM shipments GROUP BY ALL",
     "artist_list": _fixture(fx.ARTIST_LIST_SQL),
     "artists_last": _first("artist_list", "id", "ingest_seq", "DESC"),
     "tracks": _fixture(fx.TRACK_SQL),
