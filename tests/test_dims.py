@@ -76,6 +76,7 @@ def test_genre_named_twice_in_a_row_counts_where_it_comes_first(spark):
 
 def test_invalid_stored_rows_are_ignored(spark):
     stored = spark.createDataFrame([(7, " Pop "), (None, "rock"), (9, None), (3, "")], "genre_id long, genre string")
+    assert tuple(dims.GENRES.row_counts(stored).head()) == (4, 1, 3)
     rows = _rows(spark, ("A", "a", "pop", "CA", 1, 0), ("A", "a", "rock", "CA", 2, 0))
     found = dims.GENRES.new_rows(rows, stored).collect()
     assert [tuple(r) for r in found] == [(8, "rock")]

@@ -91,18 +91,21 @@ def test_csv_round_trip(spark, tmp_path):
 
 
 def test_file_order_follows_the_lines(spark, tmp_path):
-    lines = "".join(f"a,{i},pop,NV,2025-01-01,{'9' * 300}\n" for i in range(20000))
-    path = _batch(tmp_path, "2025_01_01", text=HEADER + lines)
+    """Two files of several blocks, the last block of each shorter than the others."""
+    for name, first in (("a", 0), ("b", 100_000)):
+        lines = "".join(f"{name},{first + i},pop,NV,2025-01-01,{'9' * (200 + i % 150)}\n" for i in range(12_000))
+        (tmp_path / f"{name}.csv").write_text(HEADER + lines)
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 20))
     try:
-        df = R.with_file_order(R.read_raw_csv(spark, str(path)))
-        assert df.rdd.getNumPartitions() > 1
-        rows = df.select("ingest_seq", F.col("id").cast("int").alias("i")).orderBy("ingest_seq").collect()
+        df = R.with_file_order(R.read_raw_csv(spark, str(tmp_path)))
+        assert df.rdd.getNumPartitions() > 4
+        rows = df.select("artist", "ingest_seq", F.col("id").cast("int").alias("i")).orderBy("ingest_seq").collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert [r["i"] for r in rows] == list(range(20000))
-    assert len({r["ingest_seq"] for r in rows}) == 20000
+    assert len({r["ingest_seq"] for r in rows}) == 24_000
+    assert [r["i"] for r in rows if r["artist"] == "a"] == list(range(12_000))
+    assert [r["i"] for r in rows if r["artist"] == "b"] == list(range(100_000, 112_000))
 
 
 def test_json_sources(spark, tmp_path):

@@ -43,3 +43,30 @@ def test_stream_dedup_across_files(spark, tmp_path, raw_frame):
     ST.append_parquet(unique, f"{out}/table", f"{out}/state", partitioned=False)
     rows = spark.read.parquet(f"{out}/table")
     assert sorted(r["genres"] for r in rows.collect()) == ["pop", "rock"]
+
+
+def test_stream_keeps_rows_counts_and_dimensions(spark, tmp_path, raw_frame):
+    from trendengine.operators import dims
+    from trendengine.operators.profile import sum_metrics
+    from trendengine.sources.readers import read_dim
+
+    root, out = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def take_in():
+        raw = ST.read_raw_stream(spark, f"{root}/*/*.csv", files_per_trigger=1)
+        ST.refresh_stream(raw, out, f"{out}/dims", f"{out}/state")
+
+    def genres():
+        rows = read_dim(spark, f"{out}/dims/dim_genres", dims.GENRES.schema).orderBy("genre_id").collect()
+        return [tuple(r) for r in rows]
+
+    _write(raw_frame(("A", "1", "pop|rock", "nv", "2025_01_01", "1"), ("B", None, "x", "nv", "2025-01-01", "1")), root, "2025_01_01")
+    take_in()
+    assert genres() == [(1, "pop"), (2, "rock")]
+    _write(raw_frame(("A", "1", "dub;pop", "nv", "2025_01_02", "500")), root, "2025_01_02")
+    take_in()
+    take_in()
+    assert genres() == [(1, "pop"), (2, "rock"), (3, "dub")]
+    assert spark.read.parquet(f"{out}/rows").count() == 4
+    counts = sum_metrics(spark.read.parquet(f"{out}/counts").drop("batch_id")).head()
+    assert (counts["rows_in"], counts["rows_after_explode"], counts["dropped_missing_id_loc_date"]) == (3, 4, 1)

@@ -88,10 +88,14 @@ def location_keys(clean_df: DataFrame, seq="ingest_seq", pos: str | None = None)
     )
 
 
+def is_valid(number: Column, key: Column) -> Column:
+    return number.isNotNull() & key.isNotNull() & (F.coalesce(key, F.lit("")) != "")
+
+
 def valid_dim(existing: DataFrame, id_col: str, key_col: str, standardize=F.trim) -> DataFrame:
     """Rows of a stored dimension that have both number and natural key."""
     rows = existing.withColumn(key_col, standardize(F.col(key_col)))
-    return rows.where(F.col(id_col).isNotNull() & F.col(key_col).isNotNull() & (F.col(key_col) != ""))
+    return rows.where(is_valid(F.col(id_col), F.col(key_col)))
 
 
 @dataclass(frozen=True)
@@ -133,6 +137,15 @@ class Dimension:
     def new_rows(self, clean_df: DataFrame, existing: DataFrame | None = None, **order) -> DataFrame:
         return self.number(self.missing_keys(clean_df, existing, **order), existing)
 
+    def row_counts(self, existing: DataFrame) -> DataFrame:
+        """Stored rows, and how many of them lack number or natural key."""
+        usable = is_valid(F.col(self.id_col), self.standardize(F.col(self.key_col)))
+        return existing.agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_if(usable).alias("n_valid"),
+            F.count_if(~usable).alias("n_invalid"),
+        )
+
     def valid(self, existing: DataFrame) -> DataFrame:
         return valid_dim(existing, self.id_col, self.key_col, self.standardize)
 

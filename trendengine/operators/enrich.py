@@ -22,7 +22,8 @@ from trendengine.operators.joins import spread_join
 
 def state_table(spark: SparkSession) -> DataFrame:
     """The 51 state codes and names."""
-    return spark.createDataFrame(list(STATE_NAMES.items()), "state_code string, state_name string")
+    rows = ", ".join(f"('{code}', '{name}')" for code, name in STATE_NAMES.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS states(state_code, state_name)")
 
 
 def join_state_name(df: DataFrame, code: str = "state_code") -> DataFrame:

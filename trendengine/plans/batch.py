@@ -6,6 +6,7 @@ text, and every later step reads the columns it needs from it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -27,6 +28,13 @@ def clean_trends(raw: DataFrame) -> DataFrame:
     return explode_genres(clean(raw), position=POS)
 
 
+def observed_trends(raw: DataFrame) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """The same rows, and a function that gives their counts once the rows were written."""
+    first, second = Observation(), Observation()
+    rows = explode_genres(clean(raw, first), second, position=POS)
+    return rows, lambda: {**first.get, **second.get}
+
+
 def genre_facts(raw: DataFrame) -> DataFrame:
     """Raw rows to the genre fact: clean, explode, remove duplicates, aggregate."""
     return analytics.fact_genre_trends(dedup.dedup_trends(clean_trends(raw), SEQ))
@@ -47,10 +55,9 @@ def transform_batch(
     if files_per_month:
         written = write_partitioned(clean_trends(raw), out_root, batch_date, files_per_month)
         return written, run_summary(raw).head().asDict()
-    first, second = Observation("clean"), Observation("explode")
-    rows = explode_genres(clean(raw, first), second, position=POS)
+    rows, counts = observed_trends(raw)
     written = write_partitioned(rows, out_root, batch_date)
-    return written, {**first.get, **second.get}
+    return written, counts()
 
 
 def refresh_dim(

@@ -179,6 +179,9 @@ _BODIES = {
           event_type AS genre, list_extract({_list(MARKETS)}, CAST(user_id % {len(MARKETS)} AS INT) + 1) AS market FROM events""",
     "scan_dims": "SELECT genre_id, genre FROM d_genres",
     "valid_genres": f"SELECT genre_id, trim(genre) AS genre FROM genre_list WHERE {_NOT_NULL_LIKE}",
+    "dim_row_counts": """
+        SELECT count(*) AS n_rows, count(nullif(trim(genre), '')) AS n_valid,
+          count(*) - count(nullif(trim(genre), '')) AS n_invalid FROM genre_list""",
     "scan_cleaned": f"SELECT {_FACT} FROM exploded WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'",
     # sinks
     "write_partitioned": f"SELECT {_FACT}, year(date) AS year, month(date) AS month FROM exploded",
@@ -336,6 +339,7 @@ _BODIES = {
     "dq_report": _DQ,
     # streams
     "stream_clean": f"SELECT {_FACT} FROM exploded",
+    "stream_counts": _SUMMARY,
     "stream_dedup": "SELECT DISTINCT id, genres, location, date FROM exploded",
 }
 

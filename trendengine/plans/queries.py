@@ -204,6 +204,11 @@ def valid_genres(s, d):
     return enrich.valid_genres(fx.view(s, d, fx.GENRE_LIST_SQL))
 
 
+@query
+def dim_row_counts(s, d):
+    return dims.GENRES.row_counts(fx.view(s, d, fx.GENRE_LIST_SQL))
+
+
 @query
 def scan_cleaned(s, d):
     path = writers.write_partitioned(_exploded(s, d), scratch_path(s, "cleaned"), "2024_01_31")
@@ -714,6 +719,15 @@ def stream_clean(s, d):
     return s.read.parquet(f"{out}/table").select(*FACT)
 
 
+@query
+def stream_counts(s, d):
+    """Counts of all micro-batches, kept next to rows and dimensions, summed."""
+    raw = stream.read_raw_stream(s, f"{_batch_root(s, d)}/*/*.csv")
+    out = scratch_path(s, "stream")
+    stream.refresh_stream(raw, out, f"{out}/dims", f"{out}/state")
+    return profile.sum_metrics(s.read.parquet(f"{out}/counts").drop("batch_id"))
+
+
 @query
 def stream_dedup(s, d):
     raw = stream.read_raw_stream(s, f"{_batch_root(s, d)}/*/*.csv")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendengine.constants import CLEANED_STEM, RAW_STEM
-from trendengine.sources.readers import CSV_OPTIONS, read_raw_csv
+from trendengine.sources.readers import CSV_OPTIONS, empty_table, read_raw_csv
 
 
 def add_partition_cols(df: DataFrame) -> DataFrame:
@@ -57,7 +57,7 @@ def artists_to_csv(artists: DataFrame, path: str) -> str:
 
 def init_table(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> None:
     """An empty table where there is none yet; an existing one stays as it is."""
-    out = spark.createDataFrame([], schema).write.mode("ignore")
+    out = empty_table(spark, schema).write.mode("ignore")
     if fmt == "csv":
         out = out.options(**CSV_OPTIONS)
     out.format(fmt).save(path)

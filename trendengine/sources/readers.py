@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,8 +18,6 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
-MIB = 1 << 20
-
 
 def read_raw_csv(
     spark: SparkSession, path, schema: T.StructType = RAW_SCHEMA, multi_line: bool = False
@@ -28,19 +26,19 @@ def read_raw_csv(
     return spark.read.schema(schema).options(**CSV_OPTIONS).option("multiLine", multi_line).csv(path)
 
 
-def file_order(block_start: Column | None = None) -> Column:
-    """Integer that follows the row order of one text file.
+def with_file_order(df: DataFrame, name: str = "ingest_seq") -> DataFrame:
+    """Integer that is unique per row and rises with the lines of each file.
 
-    Tasks read blocks of at least 1 MiB, so the block number comes first and the row number
-    inside of the task second. Rows of several files interleave; load those file by file.
+    Spark hands out the full blocks of a file in order and its shorter last block after them,
+    so numbers by task and row follow the file; a repeated task gives the same ones. Files
+    written by several tasks have no order among each other. To be applied right on the
+    reader, and to be read together with the batch date where batches are put together.
     """
-    start = F.col("_metadata.file_block_start") if block_start is None else block_start
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return F.shiftleft(F.floor(start / MIB).cast("long"), 33) + row
+    return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def with_file_order(df: DataFrame, name: str = "ingest_seq") -> DataFrame:
-    return df.withColumn(name, file_order())
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return spark.range(0).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in schema))
 
 
 def read_json_array(
@@ -74,7 +72,7 @@ def read_dim(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "p
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return empty_table(spark, schema)
 
 
 def read_cleaned(

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendengine.operators.clean import clean
 from trendengine.operators.explode import explode_genres
+from trendengine.plans import batch
 from trendengine.schemas import GRAIN, RAW_SCHEMA
 from trendengine.sinks.writers import add_partition_cols
-from trendengine.sources.readers import CSV_OPTIONS
+from trendengine.sources.readers import CSV_OPTIONS, with_file_order
 
 
 def read_raw_stream(
@@ -51,3 +54,34 @@ def append_parquet(stream: DataFrame, path: str, checkpoint: str, partitioned: b
     )
     query.awaitTermination()
     return query
+
+
+def run_batches(raw: DataFrame, take: Callable[[DataFrame, int], None], checkpoint: str):
+    """Hand each micro-batch that has arrived to ``take``, then stop."""
+    query = (
+        raw.writeStream.foreachBatch(take)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
+def refresh_stream(raw: DataFrame, out_root: str, dims_root: str, checkpoint: str):
+    """Cleaned rows, counts and dimensions, brought up to date per micro-batch.
+
+    A micro-batch may come twice after a failure. Its rows and counts have a folder of their own,
+    which is written anew, and dimensions only take in keys they lack.
+    """
+
+    def take(rows: DataFrame, number: int) -> None:
+        spark, part = rows.sparkSession, f"batch_id={number}"
+        cleaned, counts = batch.observed_trends(with_file_order(rows))
+        cleaned.write.mode("overwrite").parquet(f"{out_root}/rows/{part}")
+        summary = spark.createDataFrame([counts()])
+        summary.write.mode("overwrite").parquet(f"{out_root}/counts/{part}")
+        stored = spark.read.parquet(f"{out_root}/rows/{part}")
+        batch.refresh_dims(spark, stored, dims_root)
+
+    return run_batches(raw, take, checkpoint)
