@@ -119,3 +119,10 @@ def test_filter_instead_of_clip(raw_frame):
     )
     kept = C.filter_score_range(C.type_columns(raw)).select("trend_score").collect()
     assert sorted(r[0] for r in kept) == [0.0, 50.0, 100.0]
+
+
+def test_key_tests_reach_the_scan(spark, raw_frame, tmp_path):
+    raw_frame(("A", "x", "pop", "NV", "2025-01-01", "1")).write.parquet(str(tmp_path / "raw"))
+    plan = C.clean(spark.read.parquet(str(tmp_path / "raw")))._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+    assert "IsNotNull(id)" in pushed and "IsNotNull(location)" in pushed

@@ -59,9 +59,9 @@ def clean_measures() -> list[Column]:
     return [F.count_if(cond).alias(name) for name, cond in clean_conditions().items()]
 
 
-def finish(typed: DataFrame) -> DataFrame:
+def finish(typed: DataFrame, complete: Column) -> DataFrame:
     """Complete rows only, genres filled, scores inside the range."""
-    return typed.where(has_keys()).withColumns(
+    return typed.where(complete).withColumns(
         {
             "genres": G.fill_unknown(F.col("genres")),
             "trend_score": S.clip(F.col("trend_score")),
@@ -71,10 +71,13 @@ def finish(typed: DataFrame) -> DataFrame:
 
 def clean(df: DataFrame, observation: Observation | None = None) -> DataFrame:
     """Clean trend rows. With an observation the counts are taken in the same pass."""
-    typed = type_columns(df)
+    require_columns(df, RAW_COLUMNS)
     if observation is not None:
-        typed = typed.observe(observation, *clean_measures())
-    return finish(typed)
+        return finish(type_columns(df).observe(observation, *clean_measures()), has_keys())
+    # Trimming makes no nulls, so the keys can be tested as they lie in the source, where the
+    # test reaches the scan. Only the day has to be parsed first.
+    keyed = df.where(F.col("id").isNotNull() & F.col("location").isNotNull())
+    return finish(type_columns(keyed), F.col("date").isNotNull())
 
 
 def clean_metrics(df: DataFrame) -> DataFrame:
