@@ -8,17 +8,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendengine.llm import simhash
+from trendengine.llm import decontaminate, langid, secret_scan, sentencepiece_fst, simhash
 from trendengine.llm.common import stored, table
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages that the labelled ones teach; texts without letters go."""
+    return langid.drop_unidentified(spark, docs)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
     return simhash.keep_one(spark, docs)
 
 
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated with passages of the benchmark."""
+    return decontaminate.drop_contaminated(spark, docs, table(spark, sf_dir, "benchmark"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets replaced with a mark."""
+    return secret_scan.redact_secrets(docs)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with their ids and how many they are."""
+    return sentencepiece_fst.with_ids(spark, docs)
+
+
 STAGES = [
+    ("language", language),
     ("near duplicates", near_duplicates),
+    ("benchmark passages", benchmark_passages),
+    ("secrets", secrets),
+    ("token ids", token_ids),
 ]
 
 #: Hashes, trained models and tokenizers are not for SQL; tests hold the stages against brute force.

@@ -1,0 +1,79 @@
+"""Paths of the transducer against the public library, merging by rank, and the round trip."""
+
+import random
+
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from trendengine.llm import sentencepiece_fst as f
+
+SF = "/root/testdata/sf0.001"
+LIBRARY = sentencepiece.SentencePieceProcessor(model_file=f.MODEL)
+
+
+@pytest.fixture(scope="module")
+def machine():
+    with open(f.MODEL, "rb") as file:
+        return f.Transducer(f.read_model(file.read()))
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text())
+def test_any_text(machine, text):
+    text = text.encode("utf-8", "ignore").decode()
+    ids = machine.encode(text)
+    assert ids == LIBRARY.encode(text)
+    assert machine.decode(ids) == text.replace(f.BLANK, " ")
+
+
+def test_mixed_pieces(machine):
+    rng = random.Random(1)
+    parts = ["a", "b", "e", "the ", " the", "ing", "  ", "   ", "\n", "é", "▁", "中", "😀", "<s>", "==", "aaa", "----", "    ", "\x00", "://"]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(14)))
+        assert machine.encode(text) == LIBRARY.encode(text)
+
+
+def test_paths_are_merges_by_rank(machine):
+    rng = random.Random(2)
+    for _ in range(2000):
+        word = f.BLANK + "".join(rng.choice("aeinrsthé.ß") for _ in range(rng.randrange(1, 25)))
+        assert machine.path(word) == machine.ranked(word)
+
+
+def test_bounded_memory_changes_nothing(machine, monkeypatch):
+    monkeypatch.setattr(f, "CACHE", 3)
+    monkeypatch.setattr(f, "PAIRS", 3)
+    text = "the quick brown fox jumps over the lazy dog again and again"
+    assert machine.encode(text) == LIBRARY.encode(text)
+
+
+def test_long_text_without_blanks(machine):
+    text = "abc" * 20_000
+    assert machine.encode(text) == LIBRARY.encode(text)
+
+
+def test_query_is_the_library(spark):
+    rows = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    docs = f.with_ids(spark, spark.read.parquet(f"{SF}/documents.parquet"))
+    for r in docs.collect():
+        assert r.ids == LIBRARY.encode(rows[r.doc_id]) and r.n_ids == len(r.ids)
+    found = f.query(spark, SF).collect()
+    assert len(found) == len(rows) and all(r.lossless for r in found)
+
+
+def test_nulls_names_and_empty(spark):
+    docs = spark.createDataFrame([(1, None, "x"), (1, "", "x"), (None, "a b", None)], "doc_id long, text string, ids string")
+    got = f.with_ids(spark, docs)
+    assert got.columns == ["doc_id", "text", "ids", "ids_", "n_ids"]
+    assert sorted((str(r.text), str(r.ids_), r.n_ids) for r in got.collect()) == [("", "[]", 0), ("None", "None", 0), ("a b", str(LIBRARY.encode("a b")), 2)]
+    back = f.decode(spark, got, ids="ids_").collect()
+    assert [r.decoded for r in back] == [r.text for r in back]
+    assert f.with_ids(spark, docs.where("false")).count() == 0
+
+
+def test_other_models_are_refused():
+    with pytest.raises(ValueError):
+        f.read_model(b"\x12\x02\x18\x01")

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 
 from trendengine.session import scratch_path
 
+#: Rows whose results a Python worker holds before it hands them back.
+ROWS_AT_ONCE = 1000
 #: A-Z to a-z, every other byte as it is: UTF-8 text can be folded without decoding it.
 ASCII_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -33,3 +37,37 @@ def utf8(column) -> list[bytes | None]:
     import pyarrow as pa
 
     return column.cast(pa.binary()).to_pylist()
+
+
+def with_column(docs: DataFrame, inputs: list[str], name: str, kind: str, make) -> DataFrame:
+    """``docs`` and one more column made in Python, Arrow batch by Arrow batch, next to all that it has.
+
+    ``make()`` is called once per task and gives a function from a list of Arrow columns to a list of values. Where ``docs``
+    already has a column ``name``, the new one is the last; ask `fresh` for a name to avoid that.
+    """
+    from pyspark.sql.types import StructType
+
+    schema = StructType(list(docs.schema.fields)).add(name, kind)
+    at = [docs.columns.index(c) for c in inputs]
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        arrow, work = to_arrow_type(schema[-1].dataType), make()
+        for batch in batches:
+            for part in range(0, batch.num_rows, ROWS_AT_ONCE):
+                rows = batch.slice(part, ROWS_AT_ONCE)
+                values = work([rows.column(i) for i in at])
+                values = values.cast(arrow) if isinstance(values, pa.Array) else pa.array(values, arrow)
+                yield pa.RecordBatch.from_arrays([*rows.columns, values], [*batch.schema.names, name])
+
+    return docs.mapInArrow(run, schema)
+
+
+def fresh(name: str, docs: DataFrame) -> str:
+    """``name``, longer by underscores while ``docs`` has such a column."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

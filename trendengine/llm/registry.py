@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from trendengine.llm import simhash
+from trendengine.llm import decontaminate, langid, secret_scan, sentencepiece_fst, simhash
 
 QUERIES = {
     "op1_simhash": simhash.query,
+    "op2_decontaminate": decontaminate.query,
+    "op3_secrets": secret_scan.query,
+    "op4_sentencepiece": sentencepiece_fst.query,
+    "op9_language": langid.query,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op2_decontaminate": decontaminate.SQL,
+}
