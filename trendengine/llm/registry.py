@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from trendengine.llm import decontaminate, langid, secret_scan, sentencepiece_fst, simhash
+from trendengine.llm import chat, decontaminate, langid, secret_scan, sentencepiece_fst, simhash, url_filter, warc
 
 QUERIES = {
     "op1_simhash": simhash.query,
     "op2_decontaminate": decontaminate.query,
     "op3_secrets": secret_scan.query,
     "op4_sentencepiece": sentencepiece_fst.query,
+    "op5_warc": warc.query,
+    "op7_chat": chat.query,
+    "op8_urls": url_filter.query,
     "op9_language": langid.query,
 }
 
 ORACLE = {
     "op2_decontaminate": decontaminate.SQL,
+    "op5_warc": warc.SQL,
+    "op7_chat": chat.SQL,
+    "op8_urls": url_filter.SQL,
 }
