@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from trendengine.llm import chat, decontaminate, langid, secret_scan, sentencepiece_fst, simhash, url_filter, warc
+from trendengine.llm import chat, decontaminate, langid, licenses, secret_scan, sentencepiece_fst, simhash, url_filter, warc
 
 QUERIES = {
     "op1_simhash": simhash.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_chat": chat.query,
     "op8_urls": url_filter.query,
     "op9_language": langid.query,
+    "op10_licenses": licenses.query,
 }
 
 ORACLE = {
