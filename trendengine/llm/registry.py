@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from trendengine.llm import chat, decontaminate, langid, licenses, secret_scan, sentencepiece_fst, simhash, url_filter, warc
+from trendengine.llm import chat, decontaminate, langid, licenses, secret_scan, sentencepiece_fst, simhash, url_filter, vector_graph, warc
 
 QUERIES = {
     "op1_simhash": simhash.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_secrets": secret_scan.query,
     "op4_sentencepiece": sentencepiece_fst.query,
     "op5_warc": warc.query,
+    "op6_embeddings": vector_graph.query,
     "op7_chat": chat.query,
     "op8_urls": url_filter.query,
     "op9_language": langid.query,
