@@ -73,8 +73,9 @@ def test_velocity_and_rising_artists(trends, rows):
         series[(i, g, loc)].append((week, mean))
     wanted = {}
     for key, points in series.items():
-        for (_, before), (week, now) in zip([(None, None)] + points, points):
-            wanted[(*key, week)] = None if before is None else round(now - before, 6)
+        for (last, before), (week, now) in zip([(None, None)] + points, points):
+            follows = last is not None and (week - last).days == 7
+            wanted[(*key, week)] = round(now - before, 6) if follows else None
     found = {(r["id"], r["genres"], r["location"], r["week"]): r["velocity"] for r in A.velocity(trends).collect()}
     assert found.keys() == wanted.keys()
     assert all(found[k] == pytest.approx(wanted[k]) if wanted[k] is not None else found[k] is None for k in wanted)
@@ -222,3 +223,27 @@ def test_description_scans_once(spark, tmp_path):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan ==")[0]
     assert final.count("ReusedExchange") == 3
+
+
+def test_nan_is_missing_in_profiles(spark):
+    scores = [float("nan"), None, 1.0, 3.0, 3.0, 21.0, float("nan")]
+    df = spark.createDataFrame([(v,) for v in scores], "trend_score double")
+    row = P.describe_scores(df).head()
+    assert (row["n_rows"], row["n_distinct"], row["mean"], row["min"], row["max"], row["mode"]) == (4, 3, 7.0, 1.0, 21.0, 3.0)
+    bins = P.score_histogram(df).orderBy("bin").collect()
+    assert sum(r["n"] for r in bins) == 4 and (bins[0]["lower"], bins[-1]["upper"]) == (1.0, 21.0)
+    assert [r["n"] for r in bins if r["n"]] == [1, 2, 1]
+
+
+@pytest.mark.parametrize("profile", [P.describe_scores, P.score_histogram])
+def test_profiles_read_the_table_once(spark, tmp_path, profile):
+    """Rows read by all scans of the query, from the metrics of the plan that ran."""
+    path = str(tmp_path / "scores")
+    spark.range(1000).selectExpr("CAST(id % 37 AS DOUBLE) AS trend_score").write.parquet(path)
+    tracker, store = spark.sparkContext.statusTracker(), spark.sparkContext._jsc.sc().statusStore()
+    before = set(tracker.getJobIdsForGroup(None))
+    profile(spark.read.parquet(path)).collect()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    stages = {s for j in set(tracker.getJobIdsForGroup(None)) - before for s in tracker.getJobInfo(j).stageIds}
+    ran = [store.lastStageAttempt(s) for s in stages]
+    assert sum(s.inputRecords() for s in ran) in (1000, 1020)  # the histogram also makes its 20 bins

@@ -65,7 +65,7 @@ def test_empty_batch(spark, raw_frame, tmp_path):
 def test_job_is_set_up_by_the_environment(spark, root, monkeypatch):
     from trendengine.plans.job import main
 
-    for name in ("TRANSFORM_ROOT", "RAW_ROOT", "TRANSFORM_ONE_OFF_INPUT", "DIMS_ROOT"):
+    for name in ("TRANSFORM_ROOT", "RAW_ROOT", "TRANSFORM_ONE_OFF_INPUT", "DIMS_ROOT", "STAGING_PATH", "STAGING_JDBC_URL"):
         monkeypatch.delenv(name, raising=False)
     with pytest.raises(EnvironmentError):
         main()
@@ -74,5 +74,25 @@ def test_job_is_set_up_by_the_environment(spark, root, monkeypatch):
         main()
     monkeypatch.setenv("RAW_ROOT", str(root / "in"))
     monkeypatch.setenv("DIMS_ROOT", str(root / "dims"))
+    monkeypatch.setenv("STAGING_PATH", str(root / "staging"))
     assert main()["rows_after_explode"] == 3
+    assert sorted(r["genre"] for r in spark.read.parquet(str(root / "staging")).collect()) == ["dub", "pop", "rock"]
     assert R.read_dim(spark, str(root / "dims/dim_artists"), DIM_ARTISTS).count() == 2
+
+
+def test_load_step_finds_the_newest_cleaned_batch(spark, root, raw_frame):
+    out, got = str(root / "out"), []
+    with pytest.raises(FileNotFoundError):
+        batch.load_batch(spark, out, got.append)
+    batch.transform_batch(spark, out, root=str(root / "in"))
+    assert batch.latest_cleaned(spark, out)[1] == "2025_02_02"
+    assert batch.load_batch(spark, out, got.append) == "2025_02_02" and got[0].count() == 3
+    W.write_csv(raw_frame(), W.raw_path(str(root / "in"), "2025_03_03"))
+    batch.transform_batch(spark, out, root=str(root / "in"))
+    assert batch.load_batch(spark, out, got.append) is None and len(got) == 1
+
+
+def test_refresh_leaves_no_staged_keys(spark, root):
+    path, _ = batch.transform_batch(spark, str(root / "out"), root=str(root / "in"), files_per_month=2)
+    batch.refresh_dims(spark, R.read_cleaned(spark, path), str(root / "dims"))
+    assert not [p.name for p in [*(root / "dims").iterdir(), *(root / "out").iterdir()] if "_staged" in p.name]

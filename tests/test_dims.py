@@ -93,3 +93,35 @@ def test_facts_do_not_multiply_scores(spark):
     assert sorted(tuple(r) for r in view.collect()) == [(1, 1, 1, DAY, 1.0), (1, 2, 1, DAY, 1.0)]
     keyed = dims.fact_with_keys(rows, artists, genres, places)
     assert keyed.count() == 2
+
+
+def test_no_row_is_lost_in_keyed_tables(spark):
+    """Several genres in one token, blank keys and keys not on record: rows plus rejects are all rows."""
+    rows = _rows(
+        spark,
+        ("A", "a", "pop", "CA", 1, 0), ("A", " a ", "Pop;Rock ", "ca", 2, 0), ("A", "  ", "pop", "CA", 3, 0), ("A", "a", "pop", " ", 4, 0),
+        ("A", None, "pop", "CA", 5, 0), ("A", "a", ";", "CA", 6, 0), ("A", "a", None, "CA", 7, 0),
+    )
+    tables = [d.new_rows(rows.where("ingest_seq < 3"), pos="genre_pos") for d in dims.DIMENSIONS]
+    keyed = dims.keyed_rows(rows, *tables)
+    counts = dims.key_counts(keyed).head().asDict()
+    assert (counts["n_rows"], counts["n_keyed"], counts["n_rejected"]) == (8, 3, 5)
+    assert (counts["without_artist_id"], counts["without_genre_id"], counts["without_location_id"]) == (2, 2, 1)
+    assert dims.fact_with_keys(rows, *tables).count() == 3 and dims.rejected(keyed).count() == 5
+    artist_rows = rows.select("id", "location", "date", "trend_score")
+    kept = dims.fact_artist_trends(artist_rows, tables[0], tables[2]).count()
+    assert (kept, dims.rejected(dims.keyed_artist_rows(artist_rows, tables[0], tables[2])).count()) == (4, 3)
+    assert sorted(tuple(r) for r in dims.artist_genres(rows, tables[0], tables[1]).collect()) == [(1, 1), (1, 2)]
+
+
+def test_artist_without_genre_stays_in_the_view(spark):
+    fact = spark.createDataFrame([(1, 1, DAY, 1.0), (2, 1, DAY, 2.0)], "artist_id long, location_id long, date date, trend_score double")
+    pairs = spark.createDataFrame([(1, 5)], "artist_id long, genre_id long")
+    assert sorted((r.artist_id, r.genre_id) for r in dims.exploded_view(fact, pairs).collect()) == [(1, 5), (2, None)]
+
+
+def test_genre_order_with_far_places(spark):
+    far = 2**31 - 1
+    rows = _rows(spark, ("A", "a", "late", "CA", 5, far), ("A", "a", "later;last", "CA", 6, 0), ("A", "a", "first", "CA", 2**62, 3), ("A", "a", "zero", "CA", 1, far))
+    found = dims.GENRES.new_rows(rows, pos="genre_pos").orderBy("genre_id").collect()
+    assert [r["genre"] for r in found] == ["zero", "late", "later", "last", "first"]

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trendengine.operators import analytics, dedup, dims, enrich
-from trendengine.operators.joins import spread_join
+from trendengine.operators.joins import hot_keys, spread_join
 
 
 @pytest.fixture
@@ -25,6 +25,17 @@ def skewed(spark):
     )
 
 
+def test_dedup_hashes_and_breaks_ties_by_place_in_the_row(spark, skewed):
+    rows = skewed.where("id <> 'hot'").withColumn("genre_pos", (2**31 - 1 - F.col("ingest_seq")).cast("int"))
+    rows = rows.withColumns({"date": F.lit(dt.date(2025, 1, 1)), "ingest_seq": F.lit(7).cast("long"), "genres": F.lit("pop")})
+    once = dedup.dedup_trends(rows)
+    best = {r["id"]: r["p"] for r in rows.groupBy("id").agg(F.min("genre_pos").alias("p")).collect()}
+    assert sorted((r["id"], r["genre_pos"]) for r in once.collect()) == sorted(best.items())
+    assert "SortAggregate" not in once._jdf.queryExecution().executedPlan().toString()
+    twice = dedup.dedup_trends(skewed.withColumn("genre_pos", F.lit(0)).withColumn("date", F.lit(dt.date(2025, 1, 1))))
+    assert sorted(r["ingest_seq"] for r in twice.where("id = 'hot'").collect()) == [0]
+
+
 def test_copies_are_combined_before_the_shuffle(spark, skewed):
     copies = skewed.where("id = 'hot'").withColumn("date", F.lit(dt.date(2025, 1, 1)))
     once = dedup.dedup_trends(copies)
@@ -62,7 +73,7 @@ def _largest_share(df):
 
 def test_spread_join_splits_the_hot_key(spark, skewed, without_broadcast):
     lookup = skewed.groupBy("id").agg(F.max("trend_score").alias("peak"))
-    plain, spread = skewed.join(lookup, "id"), spread_join(skewed, lookup, ["id"])
+    plain, spread = skewed.join(lookup, "id"), spread_join(skewed, lookup, ["id"], hot_rows=300)
     assert sorted(map(tuple, spread.select(*plain.columns).collect())) == sorted(map(tuple, plain.collect()))
     assert _largest_share(plain) > 0.5 > 0.25 > _largest_share(spread)
 
@@ -74,7 +85,17 @@ def test_adaptive_execution_splits_a_join_of_two_tables(spark, skewed, without_b
     assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
 
 
-def test_national_gate_splits_the_hot_key(spark, skewed, without_broadcast):
+def test_only_hot_keys_are_copied(spark, skewed):
+    found = {r["id"]: r["_tasks"] for r in hot_keys(skewed, ["id"], hot_rows=1000).collect()}
+    assert found == {"hot": 3}
+    assert hot_keys(skewed, ["id"]).isEmpty()
+    lookup = skewed.select("id").distinct()
+    for how, n in (("left_semi", 6000), ("left_anti", 0), ("left", 6000), ("inner", 6000)):
+        assert spread_join(skewed, lookup, ["id"], how, hot_rows=1000).count() == n
+
+
+def test_national_gate_splits_the_hot_key(spark, skewed, without_broadcast, monkeypatch):
+    monkeypatch.setattr(spread_join, "__defaults__", ("inner", 300))
     national = skewed.select("id", "trend_score")
     gated = enrich.national_gate(skewed, national)
     peaks = {r["id"]: r["peak"] for r in enrich.national_peaks(national).collect()}

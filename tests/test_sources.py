@@ -26,27 +26,37 @@ def test_newest_folder_lacks_the_file(spark, tmp_path):
     good = _batch(tmp_path, "2025_02_01", name=f"{STEM.upper()}_2025_02_01.CSV")
     _batch(tmp_path, "2025_03_01", name="other.csv")
     _batch(tmp_path, "notes", name=f"{STEM}_2020_01_01.csv")
-    listed = B.list_batches(spark, str(tmp_path))
-    assert B.latest_by_file(listed).head()["path"].endswith(str(good))
-    assert B.latest_with_file(listed).head()["batch_date"] == "2025_02_01"
-    assert B.latest_by_folder(listed).head() is None
+    root = str(tmp_path)
+    assert B.latest_by_file(spark, root)[0].endswith(str(good))
+    assert B.latest_with_file(spark, root)[1] == "2025_02_01"
+    assert B.latest_by_folder(spark, root) is None
+    (tmp_path / "2025_02_01" / "notes").mkdir()
+    assert B.batch_folders(spark, root) == ["2025_03_01", "2025_02_01", "2025_01_01"]
     assert B.resolve_input(spark, str(tmp_path))[1] == "2025_02_01"
 
 
 def test_folder_date_and_file_date_must_agree(spark, tmp_path):
     _batch(tmp_path, "2025_01_01")
     _batch(tmp_path, "2025_02_01", name=f"{STEM}_2025_06_06.csv")
-    listed = B.list_batches(spark, str(tmp_path))
-    assert B.latest_by_file(listed).head()["batch_date"] == "2025_06_06"
-    assert B.latest_with_file(listed).head()["batch_date"] == "2025_01_01"
-    assert B.latest_by_folder(listed).head() is None
+    root = str(tmp_path)
+    assert B.latest_by_file(spark, root)[1] == "2025_06_06"
+    assert B.latest_with_file(spark, root)[1] == "2025_01_01"
+    assert B.latest_by_folder(spark, root) is None
+
+
+def test_an_empty_newest_folder_and_no_folder_at_all(spark, tmp_path):
+    root = str(tmp_path)
+    assert B.latest_by_folder(spark, root) is B.latest_with_file(spark, root) is B.latest_by_file(spark, root) is None
+    assert B.latest_by_folder(spark, f"{root}/none") is None
+    _batch(tmp_path, "2025_01_01")
+    assert B.latest_by_folder(spark, root)[1] == "2025_01_01"
+    (tmp_path / "2025_02_01").mkdir()
+    assert B.latest_by_folder(spark, root) is None and B.latest_with_file(spark, root)[1] == "2025_01_01"
 
 
 def test_batch_written_by_spark_counts_once(spark, tmp_path):
     rows = spark.range(100).select(*[F.col("id").cast("string").alias(c) for c in R.RAW_SCHEMA.fieldNames()])
     W.write_csv(rows.repartition(3), W.raw_path(str(tmp_path), "2025_05_05"))
-    listed = B.list_batches(spark, str(tmp_path)).where("file_date is not null")
-    assert listed.count() == 1
     path, day = B.resolve_input(spark, root=str(tmp_path))
     assert day == "2025_05_05" and R.read_raw_csv(spark, path).count() == 100
 
@@ -66,12 +76,6 @@ def test_no_batch_at_all(spark, tmp_path):
         B.resolve_input(spark, str(tmp_path))
 
 
-def test_listing_reads_no_content(spark, tmp_path):
-    _batch(tmp_path, "2025_01_01")
-    plan = B.list_batches(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan.split("ReadSchema")[1]
-
-
 def test_quotes_and_line_breaks(spark, tmp_path):
     path = _batch(
         tmp_path, "2025_01_01",

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 
 from trendengine.operators.clean import clean
@@ -38,11 +40,30 @@ def test_stream_dedup_across_files(spark, tmp_path, raw_frame):
     row = ("A", "1", "pop", "NV", "2025-01-01", "1")
     _write(raw_frame(row, row), root, "2025_01_01")
     _write(raw_frame(row, ("A", "1", "rock", "NV", "2025-01-01", "1")), root, "2025_01_02")
-    raw = ST.read_raw_stream(spark, f"{root}/*/*.csv", files_per_trigger=1)
-    unique = ST.dedup_stream(ST.clean_stream(raw))
-    ST.append_parquet(unique, f"{out}/table", f"{out}/state", partitioned=False)
-    rows = spark.read.parquet(f"{out}/table")
-    assert sorted(r["genres"] for r in rows.collect()) == ["pop", "rock"]
+    def take_in():
+        ST.dedup_stream(ST.read_raw_stream(spark, f"{root}/*/*.csv", files_per_trigger=1), out, f"{out}/state")
+        return sorted((r["genres"], str(r["date"])) for r in spark.read.parquet(f"{out}/rows").collect())
+
+    assert take_in() == [("pop", "2025-01-01"), ("rock", "2025-01-01")]
+    # months late by its day, and a file with an old time stamp
+    late = row[:4] + ("2024-01-01", "1")
+    _write(raw_frame(late, row, late), root, "2025_01_03")
+    for file in (tmp_path / "in" / "2025_01_03").rglob("*.csv"):
+        os.utime(file, (1_600_000_000, 1_600_000_000))
+    found = [("pop", "2024-01-01"), ("pop", "2025-01-01"), ("rock", "2025-01-01")]
+    assert take_in() == found and take_in() == found
+
+
+def test_a_micro_batch_that_comes_twice_counts_once(spark, tmp_path, raw_frame, monkeypatch):
+    root, out = str(tmp_path / "in"), str(tmp_path / "out")
+    _write(raw_frame(("A", "1", "pop", "NV", "2025-01-01", "1")), root, "2025_01_01")
+    takes = []
+    monkeypatch.setattr(ST, "run_batches", lambda raw, take, checkpoint: takes.append(take))
+    ST.dedup_stream(None, out, f"{out}/state")
+    rows = spark.read.schema("artist string, id string, genres string, location string, date string, trend_score string").option("header", "true").csv(f"{root}/*/*.csv")
+    for number in (0, 0, 1):
+        takes[0](rows, number)
+    assert spark.read.parquet(f"{out}/rows").count() == 1
 
 
 def test_stream_keeps_rows_counts_and_dimensions(spark, tmp_path, raw_frame):

@@ -26,10 +26,26 @@ FROM {events}
 """
 
 
+# Rows that ask for more care: a list with a comma inside of an item, an empty list, blank keys, NaN, weeks without rows.
+HARD_SQL = """
+SELECT event_id AS ingest_seq, concat('Artist ', CAST(user_id AS STRING)) AS artist,
+  CASE WHEN event_id % 7 = 0 THEN '   ' ELSE CAST(user_id AS STRING) END AS id,
+  CASE event_id % 6 WHEN 0 THEN '["pop,rock"]' WHEN 1 THEN '[]' WHEN 2 THEN 'Pop' WHEN 3 THEN ' ' WHEN 4 THEN 'pop|' ELSE NULL END AS genres,
+  CASE WHEN event_id % 11 = 0 THEN ' ' WHEN event_id % 13 = 0 THEN 'tex' WHEN event_id % 2 = 0 THEN 'nv' ELSE 'ca' END AS location,
+  CAST(CAST(ts AS DATE) AS STRING) AS date,
+  CASE event_id % 5 WHEN 0 THEN 'NaN' WHEN 1 THEN '250' ELSE CAST(value AS STRING) END AS trend_score
+FROM {events}
+"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def hard_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(HARD_SQL, events=table(spark, sf_dir, "events"))
+
+
 def raw_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(RAW_SQL, events=table(spark, sf_dir, "events"))
 

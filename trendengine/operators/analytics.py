@@ -71,10 +71,14 @@ def weekly_means(trends: DataFrame) -> DataFrame:
     )
 
 
-def velocity(trends: DataFrame) -> DataFrame:
-    """Change of the weekly mean against the previous week on record."""
+def velocity(trends: DataFrame, across_gaps: bool = False) -> DataFrame:
+    """Change of the weekly mean against the week before; null where that week has no rows.
+
+    With ``across_gaps`` the week before is the previous one on record, however long ago.
+    """
     by_week = W.partitionBy("id", "genres", "location").orderBy("week")
-    change = F.col("avg_score") - F.lag("avg_score").over(by_week)
+    follows = (F.datediff("week", F.lag("week").over(by_week)) == 7) | F.lit(across_gaps)
+    change = F.when(follows, F.col("avg_score") - F.lag("avg_score").over(by_week))
     return weekly_means(trends).select(
         "id",
         "genres",
@@ -91,9 +95,9 @@ def _top(df: DataFrame, group: list[str], order: list[Column], k: int) -> DataFr
     return ranked.where(F.col("rank") <= k).withColumn("rank", F.col("rank").cast("long"))
 
 
-def rising_artists(trends: DataFrame, k: int = 3) -> DataFrame:
+def rising_artists(trends: DataFrame, k: int = 3, across_gaps: bool = False) -> DataFrame:
     """Artists with the highest velocity per genre, location and week."""
-    moving = velocity(trends).where(F.col("velocity").isNotNull())
+    moving = velocity(trends, across_gaps).where(F.col("velocity").isNotNull())
     order = [F.desc("velocity"), F.asc("id")]
     return _top(moving, ["genres", "location", "week"], order, k)
 

@@ -15,11 +15,12 @@ from pyspark.sql import types as T
 
 from trendengine.functions import genres as G
 from trendengine.functions import text as X
-from trendengine.operators.joins import spread_join
-from trendengine.operators.numbering import FEW, number_few, number_rows
+from trendengine.operators.numbering import number_rows
 from trendengine.schemas import DIM_ARTISTS, DIM_GENRES, DIM_LOCATIONS
 
-ROW_STEP, SEQ_STEP = 10**6, 10**12
+# Places in a row and in its genre text are ints, so each has room below the next one, and a
+# long times both steps stays below 10^38.
+STEP = 2**31
 
 
 def _usable(clean_df: DataFrame) -> DataFrame:
@@ -64,8 +65,8 @@ def genre_keys(clean_df: DataFrame, seq="ingest_seq", pos: str | None = None) ->
     tokens = _usable(clean_df).select(
         F.col(seq).alias("_seq"), order.alias("_row"), F.posexplode_outer(F.split(text, ";")).alias("_i", "_raw")
     )
-    inner = F.col("_row") * F.lit(ROW_STEP) + F.col("_i")
-    place = F.col("_seq").cast("decimal(19,0)") * F.lit(SEQ_STEP).cast("decimal(13,0)") + inner
+    inner = F.col("_row").cast("long") * F.lit(STEP) + F.col("_i")
+    place = F.col("_seq").cast("decimal(19,0)") * F.lit(STEP**2).cast("decimal(19,0)") + inner.cast("decimal(19,0)")
     return (
         tokens.withColumn("genre", X.genre_name("_raw"))
         .where(F.col("genre").isNotNull())
@@ -73,8 +74,8 @@ def genre_keys(clean_df: DataFrame, seq="ingest_seq", pos: str | None = None) ->
         .agg(F.min(place.cast("decimal(38,0)")).alias("_place"))
         .select(
             "genre",
-            F.expr(f"_place div {SEQ_STEP}").alias("_seq"),
-            F.expr(f"_place % {SEQ_STEP}").cast("long").alias("_pos"),
+            F.expr(f"_place div {STEP**2}BD").alias("_seq"),
+            F.expr(f"_place % {STEP**2}BD").cast("long").alias("_pos"),
         )
     )
 
@@ -117,19 +118,13 @@ class Dimension:
             return keys
         return keys.join(self.valid(existing).select(self.key_col), self.key_col, "left_anti")
 
-    def number(
-        self, keys: DataFrame, existing: DataFrame | None = None, n_keys: int | None = None
-    ) -> DataFrame:
-        """Keys as rows to append, numbered after the highest number on record.
-
-        ``n_keys`` is their number where it is known: few are numbered in one sort.
-        """
+    def number(self, keys: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+        """Keys as rows to append, numbered after the highest number on record."""
         start = F.lit(0)
         if existing is not None:
             highest = F.coalesce(F.max(self.id_col), F.lit(0))
             start = self.valid(existing).agg(highest).scalar()
-        number = number_few if n_keys is not None and n_keys <= FEW else number_rows
-        numbered = number(keys, "_seq", ["_pos", self.key_col], "_number")
+        numbered = number_rows(keys, "_seq", ["_pos", self.key_col], "_number")
         return numbered.select(
             (F.col("_number") + start).alias(self.id_col), self.key_col, *self.labels
         )
@@ -160,36 +155,89 @@ LOCATIONS = Dimension(
 DIMENSIONS = [ARTISTS, GENRES, LOCATIONS]
 
 
-def _keyed(rows: DataFrame, dim_rows: DataFrame, dim: Dimension, column: str) -> DataFrame:
-    """Number of one dimension next to its natural key. Keys are unique, so rows stay as many."""
+def _numbered(rows: DataFrame, dim_rows: DataFrame, dim: Dimension, column: str) -> DataFrame:
+    """Number of one dimension next to its natural key, null where the dimension lacks it.
+
+    Keys of a dimension are unique, so rows stay as many. A dimension read from storage is broadcast
+    if it is small by its file sizes; else both sides are shuffled, and keys with very many rows are split.
+    """
     lookup = dim_rows.select(F.col(dim.key_col).alias(column), dim.id_col)
-    return spread_join(rows, lookup, [column])
+    return rows.join(lookup, column, "left")
+
+
+def single_genres(rows: DataFrame) -> DataFrame:
+    """Genres as the dimension spells them: one that still holds several is split, each part once a row."""
+    parts = F.array_distinct(F.transform(F.split(G.unify_delimiters(F.col("genres")), ";"), X.genre_name))
+    parts = F.filter(parts, lambda x: x.isNotNull())
+    # a genre of which nothing is left stays as a row without genre
+    return rows.withColumn("genres", F.explode_outer(parts))
+
+
+def _standard_keys(rows: DataFrame) -> DataFrame:
+    """Ids and locations as the dimensions spell them; null where nothing is left."""
+    return rows.withColumns({"id": X.blank_to_null("id"), "location": F.upper(X.blank_to_null("location"))})
+
+
+def keyed_rows(trends: DataFrame, artists: DataFrame, genres: DataFrame, locations: DataFrame) -> DataFrame:
+    """Trend rows, one per genre, with natural and surrogate keys; every row stays, numbers may be null."""
+    rows = single_genres(_standard_keys(trends.select("id", "genres", "location", "date", "trend_score")))
+    rows = _numbered(rows, artists, ARTISTS, "id")
+    rows = _numbered(rows, genres, GENRES, "genres")
+    return _numbered(rows, locations, LOCATIONS, "location")
+
+
+_NUMBERS = ["artist_id", "genre_id", "location_id"]
+
+
+def has_numbers(rows: DataFrame) -> Column:
+    """Whether a row has every number that its table carries."""
+    found = F.lit(True)
+    for name in _NUMBERS:
+        if name in rows.columns:
+            found = found & F.col(name).isNotNull()
+    return found
+
+
+def rejected(keyed: DataFrame) -> DataFrame:
+    """Rows that cannot enter a keyed table, with the keys that no dimension has."""
+    return keyed.where(~has_numbers(keyed))
+
+
+def key_counts(keyed: DataFrame) -> DataFrame:
+    """Rows, those with all numbers and those rejected, and how many lack each number."""
+    lacks = [F.count_if(F.col(c).isNull()).alias(f"without_{c}") for c in _NUMBERS if c in keyed.columns]
+    complete = F.count_if(has_numbers(keyed))
+    n = F.count(F.lit(1))
+    return keyed.agg(n.alias("n_rows"), complete.alias("n_keyed"), (n - complete).alias("n_rejected"), *lacks)
 
 
 def fact_with_keys(trends: DataFrame, artists: DataFrame, genres: DataFrame, locations: DataFrame) -> DataFrame:
-    """Natural keys replaced by surrogate keys."""
-    rows = trends.select("id", "genres", "location", "date", "trend_score")
-    rows = _keyed(rows, artists, ARTISTS, "id").drop("id")
-    rows = _keyed(rows, genres, GENRES, "genres").drop("genres")
-    rows = _keyed(rows, locations, LOCATIONS, "location")
-    return rows.select("artist_id", "genre_id", "location_id", "date", "trend_score")
+    """Natural keys replaced by surrogate keys; see ``rejected`` for rows without one."""
+    rows = keyed_rows(trends, artists, genres, locations)
+    return rows.where(has_numbers(rows)).select("artist_id", "genre_id", "location_id", "date", "trend_score")
 
 
 def artist_genres(exploded: DataFrame, artists: DataFrame, genres: DataFrame) -> DataFrame:
     """Pairs of artist and genre numbers. Pairs are made unique before the joins."""
-    pairs = exploded.select("id", "genres").distinct()
-    rows = _keyed(_keyed(pairs, artists, ARTISTS, "id"), genres, GENRES, "genres")
-    return rows.select("artist_id", "genre_id")
+    pairs = single_genres(exploded.select("id", "genres").withColumn("id", X.blank_to_null("id"))).distinct()
+    rows = _numbered(_numbered(pairs, artists, ARTISTS, "id"), genres, GENRES, "genres")
+    return rows.where(has_numbers(rows)).select("artist_id", "genre_id")
+
+
+def keyed_artist_rows(artist_rows: DataFrame, artists: DataFrame, locations: DataFrame) -> DataFrame:
+    """Daily artist rows with natural and surrogate keys; every row stays, numbers may be null."""
+    rows = _standard_keys(artist_rows.select("id", "location", "date", "trend_score"))
+    return _numbered(_numbered(rows, artists, ARTISTS, "id"), locations, LOCATIONS, "location")
 
 
 def fact_artist_trends(artist_rows: DataFrame, artists: DataFrame, locations: DataFrame) -> DataFrame:
     """Daily score per artist and location, without genre."""
-    rows = _keyed(_keyed(artist_rows, artists, ARTISTS, "id"), locations, LOCATIONS, "location")
-    return rows.select("artist_id", "location_id", "date", "trend_score")
+    rows = keyed_artist_rows(artist_rows, artists, locations)
+    return rows.where(has_numbers(rows)).select("artist_id", "location_id", "date", "trend_score")
 
 
 def exploded_view(artist_fact: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Artist fact with one row per genre of the artist; for genre-level aggregates only."""
-    return spread_join(artist_fact, pairs, ["artist_id"]).select(
+    """Artist fact with one row per genre of the artist, for genre-level aggregates only. A row without any genre stays, with a null number."""
+    return artist_fact.join(pairs, "artist_id", "left").select(
         "artist_id", "genre_id", "location_id", "date", "trend_score"
     )

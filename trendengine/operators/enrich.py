@@ -159,28 +159,48 @@ def artists_table(artists: DataFrame) -> DataFrame:
     return artists.withColumn("genres", X.join_list("genres"))
 
 
-def staging_rows(cleaned: DataFrame) -> DataFrame:
-    """Clean rows in warehouse form: one genre per row, state name added, load time stamped."""
-    from trendengine.operators.quality import assert_single_genre
+def _staging_candidates(cleaned: DataFrame) -> DataFrame:
     from trendengine.functions import genres as G
 
     require_columns(cleaned, ["genres", "location"])
     genre = F.explode_outer(F.split(G.unify_delimiters(F.col("genres")), ";"))
     rows = cleaned.select(
-        "artist",
+        F.coalesce("artist", F.lit("")).alias("artist"),
         "id",
         genre.alias("genre"),
         X.state_code("location").alias("state_code"),
         F.col("date").try_cast("date").alias("date"),
         F.col("trend_score").try_cast("double").alias("trend_score"),
-    ).withColumn("genre", X.genre_name("genre"))
-    complete = (
-        F.col("id").isNotNull()
-        & F.col("genre").isNotNull()
-        & F.col("state_code").isNotNull()
-        & F.col("date").isNotNull()
     )
-    named = join_state_name(rows.where(complete)).withColumn("load_timestamp", F.current_timestamp())
+    return rows.withColumn("genre", F.nullif(G.clean_token(F.col("genre")), F.lit("")))
+
+
+def _fits_staging():
+    """Keys are there, and the state code has the two characters that the warehouse column takes."""
+    keys = F.col("id").isNotNull() & F.col("genre").isNotNull() & F.col("date").isNotNull()
+    return keys & F.coalesce(F.length("state_code") == 2, F.lit(False))
+
+
+def staging_rows(cleaned: DataFrame) -> DataFrame:
+    """Exploded clean rows in warehouse form: one bare genre per row, state name added, load time stamped.
+
+    A missing artist is empty text, as the warehouse column is not null; see ``staging_rejects`` for what is left out.
+    """
+    from trendengine.operators.quality import assert_single_genre
+
+    rows = _staging_candidates(cleaned).where(_fits_staging())
+    named = join_state_name(rows).withColumn("load_timestamp", F.current_timestamp())
     return assert_single_genre(named).select(
         "artist", "id", "genre", "state_code", "state_name", "date", "trend_score", "load_timestamp"
     )
+
+
+def staging_rejects(cleaned: DataFrame) -> DataFrame:
+    """How many rows the warehouse table takes, and how many it does not, by their first defect."""
+    defect = (
+        F.when(_fits_staging(), "none")
+        .when(F.col("id").isNull() | F.col("date").isNull() | F.col("state_code").isNull(), "missing key")
+        .when(F.col("genre").isNull(), "no genre")
+        .otherwise("state code")
+    )
+    return _staging_candidates(cleaned).groupBy(defect.alias("defect")).agg(F.count(F.lit(1)).alias("n"))

@@ -17,9 +17,6 @@ from pyspark.sql import functions as F
 # blocks sees at most 2^23 rows of two numbers, whatever the table holds.
 BUCKET_BITS, BLOCK_BITS = 16, 24
 
-# Rows that one task may sort.
-FEW = 500_000
-
 
 def _sum_before(n: str, partition, order: str):
     earlier = W.partitionBy(partition).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
@@ -58,8 +55,3 @@ def number_rows(df: DataFrame, seq: str, tie: list[str], out: str) -> DataFrame:
         .drop("_bucket", "_place", "_offset")
     )
 
-
-def number_few(df: DataFrame, seq: str, tie: list[str], out: str) -> DataFrame:
-    """The same numbers from one sort in one task, for at most ``FEW`` rows."""
-    order = W.partitionBy(F.lit(0)).orderBy(seq, *tie)
-    return df.withColumn(out, F.row_number().over(order).cast("long"))

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trendengine.constants import HISTOGRAM_BINS, UNKNOWN_GENRE
+from trendengine.functions import scores as S
 from trendengine.operators.numbering import BLOCK_BITS, counts_before
 
 
@@ -55,20 +56,23 @@ def unknown_share(exploded: DataFrame) -> DataFrame:
 
 
 def score_histogram(df: DataFrame, column: str = "trend_score", bins: int = HISTOGRAM_BINS) -> DataFrame:
-    """Bins of equal width between the smallest and the largest value; the last bin holds its end."""
-    values = df.where(F.col(column).isNotNull()).select(F.col(column).alias("v"))
-    bounds = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    """Bins of equal width between the smallest and the largest value; the last bin holds its end. NaN is missing."""
+    values = value_counts(df.where(~S.is_missing(F.col(column))), F.col(column), "v")
+    # Reading n here as well keeps both uses of the counts alike, so that Spark computes them once.
+    counted = F.when(F.col("n") > 0, F.col("v"))
+    bounds = values.agg(F.min(counted).alias("lo"), F.max(counted).alias("hi"))
     lo, width = bounds.select("lo").scalar(), bounds.select(F.col("hi") - F.col("lo")).scalar()
     counts = (
         values.withColumns({"lo": lo, "width": width})
         .select(
+            "n",
             F.coalesce(
                 F.least(F.floor(F.try_divide(F.col("v") - F.col("lo"), "width") * bins), F.lit(bins - 1)),
                 F.lit(bins // 2),
-            ).cast("long").alias("bin")
+            ).cast("long").alias("bin"),
         )
         .groupBy("bin")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
     edge = lambda i: F.round(F.col("lo") + i * F.col("width") / bins, 6)
     return (
@@ -115,12 +119,12 @@ def _quantile(p: float) -> Column:
 
 
 def describe_scores(df: DataFrame, column: str = "trend_score") -> DataFrame:
-    """Count, mean, deviation, quartiles, distinct values and mode of a numeric column, all exact."""
+    """Count, mean, deviation, quartiles, distinct values and mode of a numeric column, all exact. NaN is missing."""
     v = F.col(column)
     # The joins below want codes that are not null. Said here, it holds for each use of the
     # counts, so Spark sees them alike and scans the table once.
     code = _order_code(v)
-    usable = v.isNotNull() & code.isNotNull() & F.shiftright(code, BLOCK_BITS).isNotNull()
+    usable = ~S.is_missing(v) & v.isNotNull() & code.isNotNull() & F.shiftright(code, BLOCK_BITS).isNotNull()
     counts = value_counts(df.where(usable), v, "v")
     total = counts.agg(F.sum("n")).scalar()
     mean = counts.agg(F.sum(F.col("n") * F.col("v")) / F.sum("n")).scalar()

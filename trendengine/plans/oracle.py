@@ -92,11 +92,29 @@ CTES = {
         FROM trends GROUP BY ALL""",
     "moving": """
         SELECT id, genres, location, week, round(a, 6) AS avg_score,
-          round(a - lag(a) OVER w, 6) AS velocity FROM weekly
+          round(CASE WHEN week - lag(week) OVER w = 7 THEN a - lag(a) OVER w END, 6) AS velocity FROM weekly
         WINDOW w AS (PARTITION BY id, genres, location ORDER BY week)""",
     "batch_of": "SELECT event_id, " + "CASE " + " ".join(
-        f"WHEN CAST(ts AS DATE) <= DATE '{e}' THEN '{e:%Y_%m_%d}'" for e in BATCH_ENDS) + " END AS batch_date FROM events",
+        f"WHEN CAST(ts AS DATE) <= DATE '{e}' THEN '{e:%Y_%m_%d}'" for e in BATCH_ENDS[:-1]) + f" ELSE '{BATCH_ENDS[-1]:%Y_%m_%d}' END AS batch_date FROM events",
     "batches": "SELECT raw.*, batch_date FROM raw JOIN batch_of ON ingest_seq = event_id",
+    # The hard rows, written out by what each of them must become.
+    "hard": """
+        SELECT event_id, CASE WHEN event_id % 7 = 0 THEN '' ELSE CAST(user_id AS VARCHAR) END AS id,
+          CASE WHEN event_id % 11 = 0 THEN '' WHEN event_id % 13 = 0 THEN 'TEX' WHEN event_id % 2 = 0 THEN 'NV' ELSE 'CA' END AS location,
+          CAST(ts AS DATE) AS date, CASE event_id % 5 WHEN 0 THEN NULL WHEN 1 THEN 250 ELSE value END::DOUBLE AS score,
+          CASE event_id % 5 WHEN 0 THEN 0 WHEN 1 THEN 100 ELSE least(100, greatest(0, value)) END::DOUBLE AS trend_score FROM events""",
+    "hard_split": """
+        SELECT *, unnest(CASE event_id % 6 WHEN 0 THEN ['pop', 'rock'] WHEN 2 THEN ['pop'] WHEN 4 THEN ['pop']
+          WHEN 5 THEN ['unknown'] ELSE CAST([] AS VARCHAR[]) END) AS genres FROM hard""",
+    "hard_trends": "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id, genres, location, date ORDER BY event_id) AS n FROM hard_split) WHERE n = 1",
+    "hard_good": "SELECT * FROM hard_split WHERE id <> '' AND location <> ''",
+    "hard_artists": "SELECT id AS k, row_number() OVER (ORDER BY min(event_id)) AS artist_id FROM hard_good GROUP BY id",
+    "hard_genres": "SELECT genres AS k, row_number() OVER (ORDER BY min((event_id, genres))) AS genre_id FROM hard_good GROUP BY genres",
+    "hard_places": "SELECT location AS k, row_number() OVER (ORDER BY min(event_id)) AS location_id FROM hard_good GROUP BY location",
+    "hard_keyed": """
+        SELECT nullif(t.id, '') AS id, t.genres, nullif(t.location, '') AS location, date, trend_score, artist_id, genre_id, location_id
+        FROM hard_trends t LEFT JOIN hard_artists a ON a.k = t.id LEFT JOIN hard_genres g ON g.k = t.genres
+        LEFT JOIN hard_places p ON p.k = t.location""",
     "score_days": "SELECT artist_key, geo, month, day, status, max(score) AS score FROM order_scores GROUP BY ALL",
 }
 
@@ -177,19 +195,31 @@ _BODIES = {
     "scan_hive_json": f"""
         SELECT CAST(user_id AS VARCHAR) AS id, concat('Artist ', user_id) AS name, CAST(floor(value) AS BIGINT) AS popularity,
           event_type AS genre, list_extract({_list(MARKETS)}, CAST(user_id % {len(MARKETS)} AS INT) + 1) AS market FROM events""",
-    "scan_dims": "SELECT genre_id, genre FROM d_genres",
+    "scan_dims": """
+        SELECT 'dim_artists' AS dim, artist_id AS number, spotify_id AS natural_key FROM d_artists
+        UNION ALL SELECT 'dim_genres', genre_id, genre FROM d_genres UNION ALL SELECT 'dim_locations', location_id, state_code FROM d_locations""",
+    "latest_batch_by_dir_empty": "SELECT count(*) AS n_events, CAST(NULL AS VARCHAR) AS batch_date FROM events",
     "valid_genres": f"SELECT genre_id, trim(genre) AS genre FROM genre_list WHERE {_NOT_NULL_LIKE}",
     "dim_row_counts": """
         SELECT count(*) AS n_rows, count(nullif(trim(genre), '')) AS n_valid,
           count(*) - count(nullif(trim(genre), '')) AS n_invalid FROM genre_list""",
-    "scan_cleaned": f"SELECT {_FACT} FROM exploded WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'",
+    "scan_cleaned": "SELECT concat('Artist ', id) AS artist, id, genres, location, date, trend_score, ingest_seq FROM shipments",
+    "scan_cleaned_range": """
+        SELECT concat('Artist ', id) AS artist, id, genres, location, date, trend_score, ingest_seq FROM shipments
+        WHERE date BETWEEN DATE '1995-11-05' AND DATE '1996-02-20'""",
     # sinks
     "write_partitioned": f"SELECT {_FACT}, year(date) AS year, month(date) AS month FROM exploded",
     "write_cleaned_csv": f"SELECT {_FACT} FROM exploded",
     "artists_to_csv": "SELECT artist, id, coalesce(array_to_string(genres, '; '), '') AS genres FROM artist_list",
     "load_staging": f"""
-        SELECT artist, id, lower(trim(tok)) AS genre, location AS state_code, name AS state_name, date, trend_score
-        FROM tokens LEFT JOIN (VALUES {_STATES}) st(code, name) ON location = code WHERE trim(tok) <> ''""",
+        SELECT coalesce(artist, '') AS artist, id, genres AS genre, location AS state_code, name AS state_name, date, trend_score
+        FROM exploded LEFT JOIN (VALUES {_STATES}) st(code, name) ON location = code""",
+    "load_latest_batch": f"""
+        SELECT coalesce(artist, '') AS artist, id, genres AS genre, location AS state_code, name AS state_name, date, trend_score, batch_date
+        FROM exploded JOIN batch_of ON ingest_seq = event_id LEFT JOIN (VALUES {_STATES}) st(code, name) ON location = code
+        WHERE batch_date = '{BATCH_ENDS[-1]:%Y_%m_%d}'""",
+    "staging_rejects": """
+        SELECT CASE WHEN location IN ('', 'TEX') THEN 'state code' ELSE 'none' END AS defect, count(*) AS n FROM hard_split GROUP BY 1""",
     "land_raw_batch": _LATEST.format(""),
     "transform_batch": _SUMMARY,
     # projections
@@ -252,6 +282,16 @@ _BODIES = {
     "fact_with_keys": """
         SELECT artist_id, genre_id, location_id, date, trend_score FROM trends JOIN d_artists ON id = spotify_id
         JOIN d_genres ON genres = genre JOIN d_locations ON location = state_code""",
+    "fact_with_keys_hard": """
+        SELECT artist_id, genre_id, location_id, date, trend_score FROM hard_keyed
+        WHERE artist_id IS NOT NULL AND genre_id IS NOT NULL AND location_id IS NOT NULL""",
+    "fact_rejects": """
+        SELECT id, genres, location, date, trend_score FROM hard_keyed
+        WHERE artist_id IS NULL OR genre_id IS NULL OR location_id IS NULL""",
+    "fact_key_counts": """
+        SELECT count(*) AS n_rows, count(*) FILTER (artist_id + genre_id + location_id IS NOT NULL) AS n_keyed,
+          count(*) FILTER (artist_id + genre_id + location_id IS NULL) AS n_rejected, count(*) FILTER (artist_id IS NULL) AS without_artist_id,
+          count(*) FILTER (genre_id IS NULL) AS without_genre_id, count(*) FILTER (location_id IS NULL) AS without_location_id FROM hard_keyed""",
     "fact_artist_trends": "SELECT * FROM keyed_days",
     "artist_genres": "SELECT * FROM pairs",
     "exploded_view": "SELECT artist_id, genre_id, location_id, date, trend_score FROM keyed_days JOIN pairs USING (artist_id)",
@@ -259,6 +299,21 @@ _BODIES = {
     "clean_metrics": f"SELECT {_CLEAN_COUNTS} FROM typed",
     "explode_metrics": f"SELECT {_EXPLODE_COUNTS}",
     "run_summary": _SUMMARY,
+    "run_summary_hard": """
+        SELECT count(*) AS rows_in, 0::BIGINT AS bad_dates, count(*) FILTER (score IS NULL OR score > 100 OR score < 0) AS score_out_of_range,
+          0::BIGINT AS dropped_missing_id_loc_date, count(*) FILTER (id = '' OR location = '') AS blank_keys,
+          count(*) FILTER (event_id % 6 IN (0, 4)) AS genre_delim_replaced, count(*) FILTER (event_id % 6 IN (0, 2, 4, 5)) AS rows_after_explode,
+          count(*) FILTER (event_id % 6 IN (3, 4)) AS dropped_empty_genre, count(*) FILTER (event_id % 6 = 1) AS dropped_empty_list FROM hard""",
+    "describe_scores_nan": """
+        SELECT count(score) AS n_rows, count(DISTINCT score) AS n_distinct, round(avg(score), 6) AS mean,
+          round(stddev_samp(score), 6) AS std, min(score) AS min, round(quantile_cont(score, 0.25), 6) AS p25,
+          round(quantile_cont(score, 0.5), 6) AS p50, round(quantile_cont(score, 0.75), 6) AS p75, max(score) AS max,
+          (SELECT score FROM hard WHERE score IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS mode FROM hard""",
+    "score_histogram_nan": """
+        WITH_ b AS (SELECT min(score) AS lo, max(score) - min(score) AS w FROM hard),
+        c AS (SELECT CAST(least(floor((score - lo) / w * 20), 19) AS BIGINT) AS bin, count(*) AS n FROM hard, b WHERE score IS NOT NULL GROUP BY 1)
+        SELECT bin, round(lo + bin * w / 20, 6) AS lower, round(lo + (bin + 1) * w / 20, 6) AS upper, coalesce(n, 0) AS n
+        FROM (SELECT unnest(range(20)) AS bin) LEFT JOIN c USING (bin), b""",
     "null_profile": _PROFILE,
     "describe_scores": """
         SELECT count(trend_score) AS n_rows, count(DISTINCT trend_score) AS n_distinct, round(avg(trend_score), 6) AS mean,
@@ -340,7 +395,7 @@ _BODIES = {
     # streams
     "stream_clean": f"SELECT {_FACT} FROM exploded",
     "stream_counts": _SUMMARY,
-    "stream_dedup": "SELECT DISTINCT id, genres, location, date FROM exploded",
+    "stream_dedup": "SELECT * FROM trends",
 }
 
 

@@ -18,7 +18,6 @@ from trendengine.plans import batch
 from trendengine.schemas import (
     ARTIST_OBJECT_SCHEMA,
     CLEAN_SCHEMA,
-    DIM_GENRES,
     RAW_COLUMNS,
     RAW_SCHEMA,
     RISING_SCHEMA,
@@ -34,6 +33,7 @@ REGISTRY: dict[str, Query] = {}
 RUN_TS = "2024-02-01 00:00:00"
 FACT = list(CLEAN_SCHEMA.fieldNames())
 MONTH = "Mar_1998"
+# Last day of each arrived batch; the last one takes everything later as well.
 BATCH_ENDS = [dt.date(2024, 1, 10), dt.date(2024, 1, 20), dt.date(2024, 1, 31)]
 
 
@@ -67,6 +67,10 @@ def _stored_exploded(s, d):
     return readers.read_cleaned(s, path)
 
 
+def _hard_exploded(s, d):
+    return batch.clean_trends(fx.hard_trends(s, d))
+
+
 def _trends(s, d):
     return dedup.dedup_trends(_exploded(s, d)).select(*FACT)
 
@@ -100,9 +104,44 @@ def _genre_cache(s, d):
     return fx.view(s, d, fx.GENRE_CACHE_SQL)
 
 
-def _dims(s, d):
-    rows = _exploded(s, d)
-    return [dim.new_rows(rows, pos=batch.POS) for dim in dims.DIMENSIONS]
+def _listed_dims(s, root, fmt="parquet"):
+    parts = [
+        dim.valid(readers.read_dim(s, f"{root}/{dim.name}", dim.schema, fmt)).select(
+            F.lit(dim.name).alias("dim"),
+            F.col(dim.id_col).alias("number"),
+            F.col(dim.key_col).alias("natural_key"),
+        )
+        for dim in dims.DIMENSIONS
+    ]
+    return enrich.union_playlists(parts)
+
+
+_WAREHOUSES: dict = {}
+
+
+def _warehouse(s, d, raw=fx.raw_trends):
+    """A cleaned table and its dimensions as the batch job leaves them, made once per session: (rows, artists, genres, locations)."""
+    key = (s.sparkContext.applicationId, d, raw.__name__)
+    if key not in _WAREHOUSES:
+        root = scratch_path(s, "warehouse")
+        path = writers.write_partitioned(batch.clean_trends(raw(s, d)), root, "2024_01_31")
+        batch.refresh_dims(s, readers.read_cleaned(s, path), f"{root}/dims")
+        _WAREHOUSES[key] = root, path
+    root, path = _WAREHOUSES[key]
+    stored = [dim.valid(readers.read_dim(s, f"{root}/dims/{dim.name}", dim.schema)) for dim in dims.DIMENSIONS]
+    return readers.read_cleaned(s, path), *stored
+
+
+def _hard_keyed(s, d):
+    rows, artists, genres, locations = _warehouse(s, d, fx.hard_trends)
+    return dims.keyed_rows(dedup.dedup_trends(dims.single_genres(rows)), artists, genres, locations)
+
+
+def _write_documents(rows, record, folders, path, size=5000):
+    """Files that are one JSON array each, over several lines, of ``size`` records by ingest_seq; below named folders."""
+    rows = rows.withColumn("part", F.expr(f"ingest_seq div {size}"))
+    documents = rows.groupBy(*folders, "part").agg(F.to_json(F.collect_list(record), {"pretty": "true"}).alias("value"))
+    documents.write.partitionBy(*folders, "part").text(path)
 
 
 _ROOTS: dict[tuple[str, str], str] = {}
@@ -117,14 +156,13 @@ def _batch_root(s: SparkSession, d: str) -> str:
         events, day = fx.table(s, d, "events"), F.to_date("ts")
         start = dt.date(1970, 1, 1)
         for end in BATCH_ENDS:
-            arrived = events.where((day > F.lit(start)) & (day <= F.lit(end)))
+            ended = F.lit(True) if end == BATCH_ENDS[-1] else day <= F.lit(end)
+            arrived = events.where((day > F.lit(start)) & ended)
             path = writers.raw_path(root, f"{end:%Y_%m_%d}")
             writers.write_csv(s.sql(fx.RAW_SQL, events=arrived).select(*RAW_COLUMNS), path)
             start = end
-        listed = _artist_list(s, d).select(
-            F.to_json(F.array(F.struct("artist", "id", "scrape_date", "genres"))).alias("value")
-        )
-        listed.write.text(writers.raw_path(root, "2024_02_05", RISING_STEM, "json"))
+        record = F.struct("artist", "id", "scrape_date", "genres")
+        _write_documents(_artist_list(s, d), record, [], writers.raw_path(root, "2024_02_05", RISING_STEM, "json"))
         _ROOTS[key] = root
     return _ROOTS[key]
 
@@ -150,15 +188,22 @@ def latest_batch_by_file(s, d):
 
 @query
 def latest_batch_by_dir(s, d):
-    found = batches.latest_by_folder(batches.list_batches(s, _batch_root(s, d), RISING_STEM, "json")).head()
-    rows = readers.read_json_array(s, found["path"], multi_line=False)
-    return rows.select("artist", "id", F.lit(found["batch_date"]).alias("batch_date"))
+    path, day = batches.latest_by_folder(s, _batch_root(s, d), RISING_STEM, "json")
+    return readers.read_json_array(s, path).select("artist", "id", F.lit(day).alias("batch_date"))
+
+
+@query
+def latest_batch_by_dir_empty(s, d):
+    """The newest folder holds no trend batch: an older one is not taken in its place."""
+    events = fx.table(s, d, "events").select(F.col("event_id").alias("n_events"))
+    found = batches.latest_by_folder(s, _batch_root(s, d))
+    return events.agg(F.count("*").alias("n_events")).withColumn("batch_date", F.lit(found and found[1]).cast("string"))
 
 
 @query
 def latest_batch_with_file(s, d):
-    found = batches.latest_with_file(batches.list_batches(s, _batch_root(s, d))).head()
-    return _read_back_csv(s, found["path"]).withColumn("batch_date", F.lit(found["batch_date"]))
+    path, day = batches.latest_with_file(s, _batch_root(s, d))
+    return _read_back_csv(s, path).withColumn("batch_date", F.lit(day))
 
 
 @query
@@ -171,7 +216,7 @@ def batch_date_from_path(s, d):
 @query
 def scan_json_array(s, d):
     path = writers.raw_path(_batch_root(s, d), "2024_02_05", RISING_STEM, "json")
-    rows = readers.read_json_array(s, path, RISING_SCHEMA, multi_line=False)
+    rows = readers.read_json_array(s, path, RISING_SCHEMA)
     return rows.select("artist", "id", "scrape_date", F.array_join("genres", ";").alias("genres"))
 
 
@@ -179,6 +224,7 @@ def scan_json_array(s, d):
 def scan_hive_json(s, d):
     market = F.element_at(F.array(*map(F.lit, MARKETS)), (F.col("user_id") % len(MARKETS) + 1).cast("int"))
     found = fx.table(s, d, "events").select(
+        F.col("event_id").alias("ingest_seq"),
         F.col("user_id").cast("string").alias("id"),
         F.concat(F.lit("Artist "), F.col("user_id")).alias("name"),
         F.floor("value").alias("popularity"),
@@ -186,8 +232,8 @@ def scan_hive_json(s, d):
         market.alias("market"),
     )
     root = scratch_path(s, "search")
-    found.write.partitionBy("genre", "market").json(root)
-    rows = readers.read_search_results(s, root, ARTIST_OBJECT_SCHEMA, multi_line=False)
+    _write_documents(found, F.struct("id", "name", "popularity"), ["genre", "market"], root)
+    rows = readers.read_search_results(s, root, ARTIST_OBJECT_SCHEMA)
     return rows.select("id", "name", "popularity", "genre", "market")
 
 
@@ -195,8 +241,7 @@ def scan_hive_json(s, d):
 def scan_dims(s, d):
     root = scratch_path(s, "dims")
     batch.refresh_dims(s, _stored_exploded(s, d), root, fmt="csv")
-    stored = readers.read_dim(s, f"{root}/dim_genres", DIM_GENRES, fmt="csv")
-    return dims.GENRES.valid(stored)
+    return _listed_dims(s, root, fmt="csv")
 
 
 @query
@@ -209,11 +254,23 @@ def dim_row_counts(s, d):
     return dims.GENRES.row_counts(fx.view(s, d, fx.GENRE_LIST_SQL))
 
 
+def _stored_shipments(s, d):
+    """A cleaned table over several years."""
+    rows = _shipments(s, d).withColumn("artist", F.concat(F.lit("Artist "), F.col("id")))
+    path = writers.write_partitioned(rows.select(*FACT, "ingest_seq"), scratch_path(s, "cleaned"), "1998_12_31")
+    return path
+
+
 @query
 def scan_cleaned(s, d):
-    path = writers.write_partitioned(_exploded(s, d), scratch_path(s, "cleaned"), "2024_01_31")
-    rows = readers.read_cleaned(s, path, dt.date(2024, 1, 5), dt.date(2024, 1, 20))
-    return rows.select(*FACT)
+    return readers.read_cleaned(s, _stored_shipments(s, d)).select(*FACT, "ingest_seq")
+
+
+@query
+def scan_cleaned_range(s, d):
+    """Part of two years; the folders of other months are not read."""
+    rows = readers.read_cleaned(s, _stored_shipments(s, d), dt.date(1995, 11, 5), dt.date(1996, 2, 20))
+    return rows.select(*FACT, "ingest_seq")
 
 
 # ---- sinks --------------------------------------------------------------------------
@@ -246,10 +303,25 @@ def artists_to_csv(s, d):
 @query
 def load_staging(s, d):
     path = scratch_path(s, "staging")
-    enrich.staging_rows(_clean(s, d)).write.parquet(path)
+    enrich.staging_rows(_stored_exploded(s, d)).write.parquet(path)
     return s.read.parquet(path).drop("load_timestamp")
 
 
+@query
+def load_latest_batch(s, d):
+    """The load step: the newest cleaned batch is found by name and handed to a sink."""
+    out, path = scratch_path(s, "transformed"), scratch_path(s, "staging")
+    for end in BATCH_ENDS[1:]:
+        batch.transform_batch(s, out, override=writers.raw_path(_batch_root(s, d), f"{end:%Y_%m_%d}"))
+    day = batch.load_batch(s, out, lambda rows: rows.write.mode("append").parquet(path))
+    return s.read.parquet(path).drop("load_timestamp").withColumn("batch_date", F.lit(day))
+
+
+@query
+def staging_rejects(s, d):
+    return enrich.staging_rejects(_hard_exploded(s, d))
+
+
 @query
 def land_raw_batch(s, d):
     path, day = batches.resolve_input(s, root=_batch_root(s, d))
@@ -490,26 +562,43 @@ def cache_upsert(s, d):
 
 @query
 def fact_with_keys(s, d):
-    return dims.fact_with_keys(_trends(s, d), *_dims(s, d))
+    rows, artists, genres, locations = _warehouse(s, d)
+    return dims.fact_with_keys(dedup.first_scores(rows), artists, genres, locations)
+
+
+@query
+def fact_with_keys_hard(s, d):
+    rows = _hard_keyed(s, d)
+    return rows.where(dims.has_numbers(rows)).select("artist_id", "genre_id", "location_id", "date", "trend_score")
+
+
+@query
+def fact_rejects(s, d):
+    return dims.rejected(_hard_keyed(s, d)).select("id", "genres", "location", "date", "trend_score")
+
+
+@query
+def fact_key_counts(s, d):
+    return dims.key_counts(_hard_keyed(s, d))
 
 
 @query
 def fact_artist_trends(s, d):
-    artists, _, locations = _dims(s, d)
+    _, artists, _, locations = _warehouse(s, d)
     return dims.fact_artist_trends(_artist_rows(s, d), artists, locations)
 
 
 @query
 def artist_genres(s, d):
-    artists, genres, _ = _dims(s, d)
-    return dims.artist_genres(_exploded(s, d), artists, genres)
+    rows, artists, genres, _ = _warehouse(s, d)
+    return dims.artist_genres(rows, artists, genres)
 
 
 @query
 def exploded_view(s, d):
-    artists, genres, locations = _dims(s, d)
+    rows, artists, genres, locations = _warehouse(s, d)
     fact = dims.fact_artist_trends(_artist_rows(s, d), artists, locations)
-    return dims.exploded_view(fact, dims.artist_genres(_exploded(s, d), artists, genres))
+    return dims.exploded_view(fact, dims.artist_genres(rows, artists, genres))
 
 
 # ---- aggregates and profiles ----------------------------------------------------------
@@ -530,6 +619,21 @@ def run_summary(s, d):
     return explode.run_summary(_raw(s, d))
 
 
+@query
+def run_summary_hard(s, d):
+    return explode.run_summary(fx.hard_trends(s, d))
+
+
+@query
+def describe_scores_nan(s, d):
+    return profile.describe_scores(clean.type_columns(fx.hard_trends(s, d)))
+
+
+@query
+def score_histogram_nan(s, d):
+    return profile.score_histogram(clean.type_columns(fx.hard_trends(s, d)))
+
+
 @query
 def null_profile(s, d):
     return profile.null_profile(_raw(s, d))
@@ -608,10 +712,11 @@ def playlist_artists(s, d):
 
 @query
 def union_playlists(s, d):
-    """Each playlist read by itself, then put together; artists found on several count once."""
-    tracks = _tracks(s, d)
-    names = ["click", "error", "purchase", "signup", "view"]
-    lists = [enrich.playlist_artists(tracks.where(F.col("playlist") == n)) for n in names]
+    """Playlists stored one by one, then put together; artists found on several count once."""
+    root = scratch_path(s, "playlists")
+    enrich.playlist_artists(_tracks(s, d)).write.partitionBy("playlist").parquet(root)
+    stored = [name for name in batches.folder_names(s, root) if name.startswith("playlist=")]
+    lists = [s.read.option("basePath", root).parquet(f"{root}/{name}") for name in sorted(stored)]
     return dedup.keep_last(enrich.union_playlists(lists), ["id"], "position")
 
 
@@ -640,15 +745,7 @@ def dims_incremental(s, d):
     rows = _stored_exploded(s, d)
     batch.refresh_dims(s, rows.where(F.col("location").isin("NV", "CA")), root)
     batch.refresh_dims(s, rows, root)
-    parts = [
-        readers.read_dim(s, f"{root}/{dim.name}", dim.schema).select(
-            F.lit(dim.name).alias("dim"),
-            F.col(dim.id_col).alias("number"),
-            F.col(dim.key_col).alias("natural_key"),
-        )
-        for dim in dims.DIMENSIONS
-    ]
-    return enrich.union_playlists(parts)
+    return _listed_dims(s, root)
 
 
 # ---- windows, calendar, top-k -----------------------------------------------------------
@@ -713,7 +810,7 @@ def dq_report(s, d):
 @query
 def stream_clean(s, d):
     """All batches as a stream of files; equal to the batch result."""
-    raw = stream.read_raw_stream(s, f"{_batch_root(s, d)}/*/*.csv")
+    raw = stream.read_raw_stream(s, f"{_batch_root(s, d)}/*/*.csv", files_per_trigger=1)
     out = scratch_path(s, "stream")
     stream.append_parquet(stream.clean_stream(raw), f"{out}/table", f"{out}/state")
     return s.read.parquet(f"{out}/table").select(*FACT)
@@ -722,7 +819,7 @@ def stream_clean(s, d):
 @query
 def stream_counts(s, d):
     """Counts of all micro-batches, kept next to rows and dimensions, summed."""
-    raw = stream.read_raw_stream(s, f"{_batch_root(s, d)}/*/*.csv")
+    raw = stream.read_raw_stream(s, f"{_batch_root(s, d)}/*/*.csv", files_per_trigger=1)
     out = scratch_path(s, "stream")
     stream.refresh_stream(raw, out, f"{out}/dims", f"{out}/state")
     return profile.sum_metrics(s.read.parquet(f"{out}/counts").drop("batch_id"))
@@ -730,8 +827,9 @@ def stream_counts(s, d):
 
 @query
 def stream_dedup(s, d):
-    raw = stream.read_raw_stream(s, f"{_batch_root(s, d)}/*/*.csv")
+    """One file per micro-batch; started again after the end, which must add nothing."""
     out = scratch_path(s, "stream")
-    unique = stream.dedup_stream(stream.clean_stream(raw)).select("id", "genres", "location", "date")
-    stream.append_parquet(unique, f"{out}/table", f"{out}/state", partitioned=False)
-    return s.read.parquet(f"{out}/table")
+    for _ in range(2):
+        raw = stream.read_raw_stream(s, f"{_batch_root(s, d)}/*/*.csv", files_per_trigger=1)
+        stream.dedup_stream(raw, out, f"{out}/state")
+    return s.read.parquet(f"{out}/rows").select(*FACT)

@@ -31,6 +31,10 @@ RISING_SCHEMA = T.StructType(
     ]
 )
 
+_LINKS = T.MapType(_S, _S)
+_IMAGES = T.ArrayType(_struct(url=_S, height=_L, width=_L))
+
+# --- fixed values: field names of stored search objects, and column names of tables ---
 # Search results stored under genre=<g>/market=<m>/ (the two come from the path).
 ARTIST_OBJECT_SCHEMA = T.StructType(
     [
@@ -42,6 +46,8 @@ ARTIST_OBJECT_SCHEMA = T.StructType(
         T.StructField("type", _S),
         T.StructField("uri", _S),
         T.StructField("href", _S),
+        T.StructField("images", _IMAGES),
+        T.StructField("external_urls", _LINKS),
     ]
 )
 
@@ -62,11 +68,16 @@ TRACK_OBJECT_SCHEMA = T.StructType(
         T.StructField("type", _S),
         T.StructField("uri", _S),
         T.StructField("href", _S),
+        T.StructField("preview_url", _S),
+        T.StructField("external_urls", _LINKS),
+        T.StructField("external_ids", _LINKS),
+        T.StructField(
+            "album",
+            _struct(id=_S, name=_S, album_type=_S, release_date=_S, total_tracks=_L, images=_IMAGES, external_urls=_LINKS),
+        ),
     ]
 )
 
 DIM_ARTISTS = _struct(artist_id=_L, spotify_id=_S, artist_name=_S)
 DIM_GENRES = _struct(genre_id=_L, genre=_S)
 DIM_LOCATIONS = _struct(location_id=_L, state_code=_S)
-
-STAGING_COLUMNS = ["artist", "id", "genre", "state_code", "state_name", "date", "trend_score"]

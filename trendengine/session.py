@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -50,8 +51,8 @@ def set_object_store_key(spark: SparkSession, required: bool = False) -> bool:
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, taken from ``spark.checkpoint.dir``.
 
-    Where the setting is missing (tests on one machine) a local folder is chosen once
-    and remembered on the session.
+    Where the setting is missing, a session whose executors live in the driver (``local`` masters) gets a
+    local folder, remembered on the session; on a cluster that is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
@@ -59,6 +60,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not folder:
         folder = spark.conf.get("trendengine.scratch.dir", None)
     if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="trendengine-")
         spark.conf.set("trendengine.scratch.dir", folder)
     return folder.rstrip("/")
@@ -67,3 +70,9 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
     return f"{shared_dir(spark)}/trendengine/{label}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this engine made and nothing reads any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -115,9 +115,13 @@ def ensure_staging_table(spark: SparkSession, url: str, table: str, **properties
 def write_staging_jdbc(
     staging: DataFrame, url: str, table: str, connections: int = 16, batch_size: int = 10_000, **properties
 ) -> None:
-    """Append staging rows over a limited number of connections. A second run appends again."""
+    """Append staging rows over a limited number of connections. A second run appends again.
+
+    Rows are shuffled to as many tasks as there are connections; left to itself the writer would run the whole
+    chain before it, scan and explode, in so few tasks.
+    """
     (
-        staging.write.format("jdbc")
+        staging.repartition(connections).write.format("jdbc")
         .mode("append")
         .options(url=url, dbtable=table, numPartitions=connections, batchsize=batch_size, **properties)
         .save()

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendengine.schemas import RAW_SCHEMA, RISING_SCHEMA
+from trendengine.schemas import CLEAN_SCHEMA, RAW_SCHEMA, RISING_SCHEMA
 
 # Quotes are doubled inside of quoted fields; nothing is trimmed by the reader.
 CSV_OPTIONS = {
@@ -81,9 +81,15 @@ def read_cleaned(
     """Cleaned table, limited to a range of days.
 
     Folders are keyed by year and month, which a filter on ``date`` alone does not prune;
-    the months of the range are therefore added to the filter.
+    the months of the range are therefore added to the filter. A batch without rows has no file and reads as an
+    empty table.
     """
-    df = spark.read.parquet(path)
+    try:
+        df = spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return empty_table(spark, T.StructType([*CLEAN_SCHEMA.fields]).add("year", T.IntegerType()).add("month", T.IntegerType()))
     month = F.col("year") * 12 + F.col("month")
     if start:
         df = df.where((F.col("date") >= F.lit(start)) & (month >= start.year * 12 + start.month))

@@ -9,17 +9,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendengine.operators.clean import clean
+from trendengine.operators.dedup import dedup_trends
 from trendengine.operators.explode import explode_genres
 from trendengine.plans import batch
 from trendengine.schemas import GRAIN, RAW_SCHEMA
 from trendengine.sinks.writers import add_partition_cols
+from trendengine.sources.batches import folder_names
 from trendengine.sources.readers import CSV_OPTIONS, with_file_order
 
 
 def read_raw_stream(
     spark: SparkSession, pattern: str, schema: T.StructType = RAW_SCHEMA, files_per_trigger: int | None = None
 ) -> DataFrame:
-    reader = spark.readStream.schema(schema).options(**CSV_OPTIONS)
+    """Raw rows of all files that match, each file once.
+
+    The file source by default passes over files a week older than the newest one, i.e. late copies that keep their
+    time stamps; the limit is set beyond any real age.
+    """
+    reader = spark.readStream.schema(schema).options(**CSV_OPTIONS).option("maxFileAge", "36500d")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.csv(pattern)
@@ -30,16 +37,6 @@ def clean_stream(raw: DataFrame) -> DataFrame:
     return explode_genres(clean(raw))
 
 
-def dedup_stream(exploded: DataFrame, delay: str = "60 days", keys: list[str] = GRAIN) -> DataFrame:
-    """First row to arrive per key. State is dropped once the day is older than ``delay``.
-
-    Rows later than the delay are not taken in; choose one beyond the age of the oldest batch
-    that may still come, or use the batch operator, which has no such limit.
-    """
-    timed = exploded.withColumn("day_ts", F.col("date").cast("timestamp"))
-    return timed.withWatermark("day_ts", delay).dropDuplicatesWithinWatermark(keys).drop("day_ts")
-
-
 def append_parquet(stream: DataFrame, path: str, checkpoint: str, partitioned: bool = True):
     """Take in what has arrived, then stop. The file sink's log makes each file count once."""
     rows = add_partition_cols(stream) if partitioned else stream
@@ -85,3 +82,29 @@ def refresh_stream(raw: DataFrame, out_root: str, dims_root: str, checkpoint: st
         batch.refresh_dims(spark, stored, dims_root)
 
     return run_batches(raw, take, checkpoint)
+
+
+def dedup_stream(raw: DataFrame, out_root: str, checkpoint: str):
+    """Clean rows, one per (id, genres, location, date); of several the first to arrive stays. Nothing is dropped for being late.
+
+    Each micro-batch is reduced to its keys, loses those on record in the months it touches (other months are not
+    read) and is written to a folder of its own under ``<out_root>/rows``; a micro-batch that comes twice after a failure
+    writes its folder anew and does not count its own earlier rows as known.
+    """
+
+    def take(rows: DataFrame, number: int) -> None:
+        spark, part = rows.sparkSession, f"batch_id={number}"
+        arrived = add_partition_cols(dedup_trends(batch.clean_trends(with_file_order(rows))))
+        arrived.write.mode("overwrite").parquet(f"{out_root}/arrived/{part}")
+        arrived = spark.read.schema(arrived.schema).parquet(f"{out_root}/arrived/{part}")
+        months = [tuple(r) for r in arrived.select("year", "month").distinct().collect()]  # as many as the calendar has
+        fresh = arrived
+        if folder_names(spark, f"{out_root}/rows"):
+            touched = F.lit(False)
+            for year, month in months:
+                touched = touched | ((F.col("year") == year) & (F.col("month") == month))
+            known = spark.read.parquet(f"{out_root}/rows").where((F.col("batch_id") != number) & touched)
+            fresh = arrived.join(known.select(*GRAIN), GRAIN, "left_anti")
+        fresh.write.mode("overwrite").partitionBy("year", "month").parquet(f"{out_root}/rows/{part}")
+
+    return run_batches(raw, take, checkpoint)
