@@ -184,8 +184,21 @@ def test_artist_list_to_csv(spark, tmp_path):
 
 def test_staging_statements():
     text = W.staging_ddl("staging.artist_trends")
-    assert text.count("CREATE INDEX IF NOT EXISTS") == 3
+    assert text.count("CREATE INDEX IF NOT EXISTS") == 3 and text.startswith('CREATE SCHEMA IF NOT EXISTS "staging"')
     assert 'CREATE TABLE IF NOT EXISTS "staging"."artist_trends"' in text and "CHAR(2)" in text
+    assert '"public"."t"' in W.staging_ddl("t")
+
+
+def test_enriched_lines_land_as_a_raw_batch(spark, tmp_path):
+    lines = tmp_path / "lines.jsonl"
+    lines.write_text('{"artist": "A", "id": "1", "genres": ["x", "y"], "daily_trends_NV_2025-01-02": 5}\n\n')
+    path = W.land_enriched_batch(spark, str(lines), str(tmp_path / "raw"), "2025_01_03")
+    assert B.resolve_input(spark, root=str(tmp_path / "raw"))[1] == "2025_01_03"
+    assert [tuple(r) for r in R.read_raw_csv(spark, path).collect()] == [("A", "1", "x; y", "NV", "2025-01-02", "5.0")]
+    lines.write_text("")
+    path = W.land_enriched_batch(spark, str(lines), str(tmp_path / "raw"), "2025_01_04")
+    assert [p.read_text().strip() for p in (tmp_path / "raw" / "2025_01_04").rglob("part*.csv")] == [HEADER.strip()]
+    assert R.read_raw_csv(spark, path).count() == 0
 
 
 def test_object_store_key(spark, monkeypatch):

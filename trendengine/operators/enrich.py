@@ -73,7 +73,7 @@ def genre_cache_stats(enriched: DataFrame) -> DataFrame:
 
 
 def artist_locations(rows: DataFrame) -> DataFrame:
-    """Sorted locations per artist. A set of state codes, so its size is bounded by their number."""
+    """Sorted locations per artist. As long as the number of locations, i.e. of codes once `key_shape_check` passes."""
     return (
         rows.where(F.col("location").isNotNull())
         .groupBy("id")
@@ -100,12 +100,13 @@ def pending_requests(artists: DataFrame, cache: DataFrame, month: str) -> DataFr
     list of 50, so only open requests are ever made into rows.
     """
     keys = with_artist_key(artists).where(F.col("artist_key") != "").select("artist_key").distinct()
+    names = [f"{NATIONAL_GEO}-{code}" for code in REGION_CODES]
     known = (
-        cache.where(F.col("month") == month)
+        cache.where((F.col("month") == month) & F.col("geo").isin(names))
         .groupBy("artist_key")
         .agg(F.collect_set("geo").alias("_known"))
     )
-    regions = F.array(*(F.lit(f"{NATIONAL_GEO}-{code}") for code in REGION_CODES))
+    regions = F.array(*map(F.lit, names))
     open_regions = F.array_except(regions, F.coalesce("_known", F.array().cast("array<string>")))
     return keys.join(known, "artist_key", "left").select(
         "artist_key", F.explode(open_regions).alias("geo"), F.lit(month).alias("month")

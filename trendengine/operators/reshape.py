@@ -47,6 +47,12 @@ def unpivot_trends(lines: DataFrame, value: str = "value", mode: str = "FAILFAST
     ).where(F.col("trend_score").isNotNull())
 
 
+def processed_artists(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Names already in the enriched lines, for a run that goes on where another stopped; broken lines have none."""
+    name = F.trim(F.get_json_object(F.col(value), "$.artist"))
+    return lines.select(name.alias("artist")).where(F.col("artist") != "").distinct()
+
+
 def _genre_text(genres: Column) -> Column:
     """Genres of a record as one text, be they a list, a text or missing."""
     listed = X.join_list(F.from_json(genres, "array<string>"))

@@ -250,6 +250,10 @@ _BODIES = {
     "explode_genres": "SELECT * FROM exploded",
     "unpivot_trends": "SELECT artist, id, genres, location, date, trend_score FROM cleaned".replace(
         "genres,", "array_to_string(string_split(genres, ';'), '; ') AS genres,"),
+    "land_enriched_batch": f"""
+        SELECT artist, id, trim(coalesce(nullif(array_to_string(string_split(genres, ';'), '; '), ''), 'Unknown')) AS genres, location, date, trend_score,
+          '2024_02_01' AS batch_date FROM cleaned""",
+    "resume_artists": "SELECT c_custkey, c_name AS artist FROM customer WHERE c_custkey % 3 <> 0",
     "artist_locations": "SELECT id, string_agg(DISTINCT location, ',' ORDER BY location) AS locations FROM shipments GROUP BY id",
     # joins
     "join_state_name": f"""

@@ -471,6 +471,27 @@ def unpivot_trends(s, d):
     return reshape.unpivot_trends(readers.read_json_lines(s, path))
 
 
+@query
+def land_enriched_batch(s, d):
+    """Enriched lines to a raw batch, read back and cleaned as any other."""
+    lines, root = scratch_path(s, "enriched"), scratch_path(s, "raw")
+    fx.enriched_lines(_clean(s, d)).write.text(lines)
+    writers.land_enriched_batch(s, lines, root, "2024_02_01")
+    path, day = batches.resolve_input(s, root=root)
+    return clean.clean(_read_back_csv(s, path)).select(*FACT).withColumn("batch_date", F.lit(day))
+
+
+@query
+def resume_artists(s, d):
+    """Artists that the enriched lines, some of them broken, do not hold yet."""
+    customers = fx.table(s, d, "customer").select("c_custkey", F.col("c_name").alias("artist"))
+    record = F.to_json(F.struct(F.concat(F.lit(" "), F.upper("artist")).alias("artist")))
+    line = F.when(F.col("c_custkey") % 3 == 0, record).when(F.col("c_custkey") % 3 == 1, F.substring(record, 1, 9))
+    path = scratch_path(s, "enriched")
+    customers.select(F.coalesce(line, F.lit("")).alias("value")).write.text(path)
+    return enrich.unprocessed_artists(customers, reshape.processed_artists(readers.read_json_lines(s, path)))
+
+
 @query
 def artist_locations(s, d):
     rows = enrich.artist_locations(_shipments(s, d))

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendengine.constants import CLEANED_STEM, RAW_STEM
-from trendengine.sources.readers import CSV_OPTIONS, empty_table, read_raw_csv
+from trendengine.operators.reshape import unpivot_trends
+from trendengine.schemas import RAW_COLUMNS
+from trendengine.sources.readers import CSV_OPTIONS, empty_table, read_json_lines, read_raw_csv
 
 
 def add_partition_cols(df: DataFrame) -> DataFrame:
@@ -71,35 +73,44 @@ def append_rows(new: DataFrame, path: str, id_col: str, fmt: str = "parquet") ->
     out.format(fmt).save(path)
 
 
+def land_enriched_batch(spark: SparkSession, lines: str, root: str, batch_date: str) -> str:
+    """Enriched JSON lines as a raw batch at its dated path; without any line a batch that has a header only."""
+    rows = unpivot_trends(read_json_lines(spark, lines)).select(*RAW_COLUMNS)
+    path = raw_path(root, batch_date)
+    if rows.isEmpty():
+        rows = empty_table(spark, rows.schema)
+    return write_csv(rows, path)
+
+
 def land_raw_batch(spark: SparkSession, source: str, root: str, batch_date: str) -> str:
     """Copy a raw batch to ``<root>/data/raw/<date>/``, in place of an earlier copy."""
     target = raw_path(f"{root.rstrip('/')}/data/raw", batch_date)
     return write_csv(read_raw_csv(spark, source), target)
 
 
-def staging_ddl(table: str) -> str:
-    """Statements that create the staging table and its indexes in the warehouse."""
-    name = table.replace('"', "").split(".")[-1]
-    quoted = ".".join(f'"{part}"' for part in table.replace('"', "").split("."))
-    columns = ", ".join(
-        [
-            "artist TEXT NOT NULL",
-            "id TEXT NOT NULL",
-            "genre TEXT NOT NULL",
-            "state_code CHAR(2) NOT NULL",
-            "state_name TEXT",
-            "date DATE NOT NULL",
-            "trend_score DOUBLE PRECISION",
-            "load_timestamp TIMESTAMPTZ NOT NULL DEFAULT NOW()",
-        ]
-    )
-    indexes = {"id_date_state": "id, date, state_code", "genre": "genre", "state_date": "state_code, date"}
-    lines = [f"CREATE TABLE IF NOT EXISTS {quoted} ({columns})"]
-    lines += [
-        f'CREATE INDEX IF NOT EXISTS "ix_{name}_{label}" ON {quoted} ({cols})'
-        for label, cols in indexes.items()
-    ]
-    return ";\n".join(lines)
+# --- fixed values: the warehouse table and its indexes, as other readers of it know them ---
+STAGING_DDL = """
+CREATE SCHEMA IF NOT EXISTS "{schema}";
+CREATE TABLE IF NOT EXISTS "{schema}"."{table}" (
+  artist TEXT NOT NULL,
+  id TEXT NOT NULL,
+  genre TEXT NOT NULL,
+  state_code CHAR(2) NOT NULL,
+  state_name TEXT,
+  date DATE NOT NULL,
+  trend_score DOUBLE PRECISION,
+  load_timestamp TIMESTAMPTZ NOT NULL DEFAULT NOW()
+);
+CREATE INDEX IF NOT EXISTS ix_artist_trend_id_date_state ON "{schema}"."{table}" (id, date, state_code);
+CREATE INDEX IF NOT EXISTS ix_artist_trend_genre ON "{schema}"."{table}" (genre);
+CREATE INDEX IF NOT EXISTS ix_artist_trend_state_date ON "{schema}"."{table}" (state_code, date)
+"""
+
+
+def staging_ddl(table: str, default_schema: str = "public") -> str:
+    """Statements that create the staging table (``schema.table`` or ``table``) with its schema and indexes."""
+    schema, _, name = table.replace('"', "").rpartition(".")
+    return STAGING_DDL.format(schema=schema or default_schema, table=name).strip()
 
 
 def ensure_staging_table(spark: SparkSession, url: str, table: str, **properties) -> None:
