@@ -107,6 +107,7 @@ def test_nulls_blanks_ties_and_repeated_rows(spark):
     )
     got = sorted((r.doc_id or -1, r.component_id or -1) for r in simhash.near_duplicates(spark, docs).collect())
     assert got == [(-1, -1), (3, 3), (4, 3), (7, 7), (7, 7), (8, 7), (9, 3), (20, 7), (20, 7)]
+    docs = docs.withColumns({"kept": simhash.F.lit(7), "Place": simhash.F.lit(2)})
     kept = simhash.keep_one(spark, docs)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id or -1 for r in kept.collect()) == [-1, 3, 7]

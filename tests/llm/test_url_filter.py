@@ -19,9 +19,9 @@ def plain(url, rules):
 
 
 def check(spark, urls, rules):
-    pages = spark.createDataFrame([(i, x, "h", None) for i, x in enumerate(urls)], "page_id long, url string, Host string, verdict int")
+    pages = spark.createDataFrame([(i, x, "h", None) for i, x in enumerate(urls)], "page_id long, url string, Host string, verdict int").withColumn("_host", u.F.lit("x"))
     out = u.judge(spark, pages, spark.createDataFrame(rules, u.RULES_DDL))
-    assert out.columns == ["page_id", "url", "Host", "verdict", "host_", "path", "rule", "verdict_"]
+    assert out.columns == ["page_id", "url", "Host", "verdict", "_host", "host_", "path", "rule", "verdict_"]
     good = [r for r in rules if r[0] is not None and r[1] is not None]
     got = {r.page_id: (r.host_, r.path, r.rule, r.verdict_) for r in out.collect()}
     assert got == {i: plain(x, good) for i, x in enumerate(urls)}

@@ -179,8 +179,11 @@ def inherit(scanned: DataFrame, own: str = "own", path: str = "path") -> DataFra
         .groupBy("_dir")
         .agg(F.max(F.struct(F.length("_from").alias("n"), "_from", F.col("_best.license").alias("license"))).alias("_near"))
     )
-    out = placed.join(nearest, F.col(directory) == F.col("_dir"), "left")
-    handed = F.when(F.col(f"{own}.kind") == "none", F.struct(F.col("_near.license").alias("license"), F.col("_near._from").alias("directory")))
+    place, near = fresh("_dir", placed), fresh("_near", placed)
+    nearest = nearest.withColumnsRenamed({"_dir": place, "_near": near})
+    out = placed.join(nearest, F.col(directory) == F.col(place), "left")
+    handed = F.struct(F.col(f"{near}.license").alias("license"), F.col(f"{near}._from").alias("directory"))
+    handed = F.when(F.col(f"{own}.kind") == "none", handed)
     return out.select(*scanned.columns, handed.alias(given))
 
 

@@ -25,7 +25,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trendengine.llm.common import ASCII_LOWER, stored, table, utf8
+from trendengine.llm.common import ASCII_LOWER, fresh, stored, table, utf8
 from trendengine.llm.graph import components
 
 MOST = 2
@@ -248,10 +248,11 @@ def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
     Of several rows with that doc_id, the one first by text hash, then text, stays.
     """
     groups = near_duplicates(spark, docs.select("doc_id", "text"))
-    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    found = docs.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
+    kept, place = fresh("kept", docs), fresh("place", docs)
+    ids = groups.where("doc_id = component_id").select(F.col("doc_id").alias(kept)).distinct()
+    found = docs.where("doc_id IS NOT NULL").join(ids, F.col("doc_id") == F.col(kept), "left_semi")
     first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text", *(c for c in docs.columns if c not in ("doc_id", "text")))
-    found = found.withColumn("_first", F.row_number().over(first)).where("_first = 1").drop("_first")
+    found = found.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).drop(place)
     return found.unionByName(docs.where("doc_id IS NULL"))
 
 

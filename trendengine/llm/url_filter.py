@@ -74,9 +74,12 @@ def judge(spark: SparkSession, pages: DataFrame, rules: DataFrame, default: str
     met = expanded.withColumn("_short", short("_full")).join(rules.withColumn("_short", short("digest")), "_short")
     rank = F.struct(F.length("rule").alias("n"), "host_length", "blocks", "rule", "verdict")
     best = met.where("_full = digest").groupBy("_host", "_path").agg(F.max(rank).alias("_best"))
-    judged = parsed.join(best, (F.col(names["host"]) == F.col("_host")) & (F.col(names["path"]) == F.col("_path")), "left")
-    return judged.select(
-        *parsed.columns, F.col("_best.rule").alias(names["rule"]), F.coalesce("_best.verdict", F.lit(default)).alias(names["verdict"])
+    ours = {c: fresh(c, parsed) for c in ("_host", "_path", "_best")}
+    best = best.withColumnsRenamed(ours)
+    same = (F.col(names["host"]) == F.col(ours["_host"])) & (F.col(names["path"]) == F.col(ours["_path"]))
+    verdict = F.coalesce(F.col(f"{ours['_best']}.verdict"), F.lit(default))
+    return parsed.join(best, same, "left").select(
+        *parsed.columns, F.col(f"{ours['_best']}.rule").alias(names["rule"]), verdict.alias(names["verdict"])
     )
 
 
