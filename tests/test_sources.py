@@ -212,3 +212,21 @@ def test_object_store_key(spark, monkeypatch):
     monkeypatch.setenv("AZURE_STORAGE_KEY", "k3y")
     assert set_object_store_key(spark)
     assert spark.conf.get("fs.azure.account.key.acct.blob.core.windows.net") == "k3y"
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace as N
+
+    from trendengine.session import shared_dir
+
+    def session(master, **settings):
+        conf = N(get=lambda key, default=None: settings.get(key, default), set=settings.__setitem__)
+        return N(conf=conf, sparkContext=N(master=master, getConf=lambda: conf))
+
+    with pytest.raises(RuntimeError):
+        shared_dir(session("spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        shared_dir(session("local-cluster[3,2,1000]"))
+    assert shared_dir(session("yarn", **{"spark.checkpoint.dir": "hdfs:///x/"})) == "hdfs:///x"
+    local = session("local[4]")
+    assert shared_dir(local) == shared_dir(local)
