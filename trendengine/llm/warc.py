@@ -36,6 +36,7 @@ from trendengine.session import scratch_path
 LEAST = 0
 BLOCK = 3000
 BLOCKS = 1 << 16
+BLOCKS_PER_TASK = 2
 KEY = 200
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -233,7 +234,9 @@ def lookup(spark: SparkSession, archive: Archive, urls: DataFrame) -> DataFrame:
                 )
 
     keys = urls.select(F.replace(capture_key(F.col("url")), F.lit("\0"), F.lit("")).alias("key")).distinct()
-    found = keys.mapInArrow(find, "block int, key string").repartition("block").sortWithinPartitions("block", "key")
+    # a number, as the rows are small but each stands for a record to read: by their size they would meet in few tasks
+    tasks = max(1, -(-len(blocks) // BLOCKS_PER_TASK))
+    found = keys.mapInArrow(find, "block int, key string").repartition(tasks, "block").sortWithinPartitions("block", "key")
     return found.mapInArrow(read, f"{RECORDS}, payload binary")
 
 
