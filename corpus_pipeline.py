@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from trendengine.llm import decontaminate, langid, secret_scan, sentencepiece_fst, simhash
-from trendengine.llm.common import stored, table
+from trendengine.llm.common import remove_stored, stored, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +50,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result of all stages over `documents`. A stage's table goes once the next one is written."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stored(spark, stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    for k, (name, stage) in enumerate(STAGES):
+        after = stored(spark, stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if k:
+            remove_stored(spark, docs)
+        docs = after
     return docs
