@@ -320,6 +320,7 @@ def find_links(spark: SparkSession, reps: DataFrame) -> tuple[DataFrame, DataFra
 
     built = dealt.groupBy("node", "block").applyInArrow(adjacency, "rep long, near array<long>")
     joined = built.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))  # DEGREE per shard at most
+    joined = stored(spark, joined, "adjacency")  # read twice below, built once
     rows = dealt.join(joined, "rep")
     others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     members = rows.select("node", "block", others.alias("asking"), F.lit(False).alias("query"), "rep", "copies", "vec", "near")
