@@ -50,8 +50,8 @@ def test_bounded_memory_changes_nothing(machine, monkeypatch):
     assert machine.encode(text) == LIBRARY.encode(text)
 
 
-def test_long_text_without_blanks(machine):
-    text = "abc" * 20_000
+@pytest.mark.parametrize("text", ["abc" * 20_000, " " * 30_000 + "end", "a  b   c" * 8_000, "the\n" * 20_000, "é▁ " * 9_000])
+def test_long_texts(machine, text):
     assert machine.encode(text) == LIBRARY.encode(text)
 
 

@@ -12,7 +12,7 @@ Weights add along a path and the least sum wins (the tropical semiring). In a by
 boundary depends on the two pieces beside it only, so exactly one path has finite weight for every prefix, and that path is
 what merging the whole text by rank would give. The shortest path is hence found left to right, one
 piece per position. No piece of these models holds a blank after another character, so a text is
-composed blank by blank, and the paths of repeated words are remembered up to `CACHE` words per worker.
+composed blank by blank, and the paths of repeated words are remembered, up to twice `CACHE` words per worker.
 
 Runs of blanks and other merges of equal rank depend on position, not on rank: words with two or more blanks in front are merged
 by rank directly.
@@ -26,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from heapq import heappop, heappush
 from itertools import chain
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +37,7 @@ from trendengine.llm.common import fresh, table, with_column
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MODEL_BYTES = 16 << 20
-CACHE = 200_000
+CACHE = 150_000
 PAIRS = 500_000
 BLANK = "▁"
 #: Fixed values of the model file: types of pieces and of models.
@@ -109,61 +110,91 @@ class Transducer:
         for p, i in self.id.items():
             self.machine.add_word(p, (i, len(p)))
         self.machine.make_automaton()
-        self.allowed: dict[int, bool] = {}
-        self.paths: dict[str, list[int]] = {}
+        self.length = [len(p) for p in self.spell]
+        self._forget()
+        self.young: dict[str, list[int]] = {}  # paths by word without its blank: those met of late, and those before
+        self.old: dict[str, list[int]] = {}
 
     def merge(self, text: str) -> list[str]:
-        """The pieces that merging by rank makes of a short text: best rank first, leftmost among equals."""
-        parts = list(text)
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                score = self.rank.get(parts[i] + parts[i + 1])
-                if score is not None and (best is None or score > best):
-                    best, at = score, i
-            if best is None:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
-
-    def _pair(self, left: int, right: int) -> bool:
+        """The pieces that merging by rank makes of a text: best rank first, leftmost among equals."""
+        parts, n = list(text), len(text)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        queue: list[tuple[float, int, int]] = []  # rank, left part, length of both
+
+        def propose(i: int) -> None:
+            if i >= 0 and after[i] < n:
+                both = parts[i] + parts[after[i]]
+                if both in self.rank:
+                    heappush(queue, (-self.rank[both], i, len(both)))
+
+        for i in range(n):
+            propose(i)
+        while queue:
+            _, i, size = heappop(queue)
+            j = after[i] if parts[i] else n
+            if j >= n or len(parts[i]) + len(parts[j]) != size:
+                continue  # one of the two has been merged since
+            parts[i] += parts[j]
+            parts[j] = ""
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            propose(before[i])
+            propose(i)
+        return [p for p in parts if p]
+
+    def _pair(self, row: dict[int, bool], left: int, right: int) -> bool:
         """Whether the arc from ``left`` (-1 at the start, below -1 an unknown character) to ``right`` has weight 0."""
         p, q = self._string(left), self.spell[right]
-        ok = self.merge(p + q) == ([p, q] if p else [q])
-        if len(self.allowed) >= PAIRS:
-            self.allowed.clear()
-        self.allowed[(left << 20) + right] = ok
-        return ok
+        row[right] = self.merge(p + q) == ([p, q] if p else [q])
+        self.pairs += 1
+        return row[right]
 
     def _string(self, token: int) -> str:
         return self.spell[token] if token >= 0 else "" if token == -1 else chr(-token - 2)
 
+    def _forget(self) -> None:
+        """Start with no arc between pieces known: ``rows`` by piece, ``rare`` for the start and unknown characters."""
+        self.rows: list[dict[int, bool]] = [{} for _ in self.spell]
+        self.rare: dict[int, dict[int, bool]] = {-1: {}}
+        self.pairs = 0
+
     def path(self, word: str) -> list[int]:
         """Ids on the path of finite weight through ``word``."""
-        size, last, allowed = [0] * (len(word) + 1), [-1] * (len(word) + 1), self.allowed
+        if self.pairs >= PAIRS:
+            self._forget()
+        # by last character: the piece of the path that ends there, and the row of arcs from it; the start is at -1
+        last, rows = [-1] * (len(word) + 1), [None] * len(word) + [self.rare[-1]]
+        of = self.rows
         for end, (token, length) in self.machine.iter(word):
-            end += 1
-            if size[end]:
+            if rows[end] is not None:
                 continue  # the path to this position is known
             start = end - length
-            if start and not size[start]:  # no piece ends there: byte fallback
-                self._fall_back(word, start, size, last)
-            left = last[start]
-            ok = allowed.get((left << 20) + token)
-            if self._pair(left, token) if ok is None else ok:
-                size[end], last[end] = length, token
-        at, out = len(word), []
-        while at:
-            if not size[at]:
-                self._fall_back(word, at, size, last)
+            row = rows[start]
+            if row is None:  # no piece ends there
+                row = self._fall_back(word, start, last, rows)
+            ok = row.get(token)
+            if self._pair(row, last[start], token) if ok is None else ok:
+                last[end], rows[end] = token, of[token]
+        at, out = len(word) - 1, []
+        while at >= 0:
+            if rows[at] is None:
+                self._fall_back(word, at, last, rows)
             token = last[at]
-            out.append([token] if token >= 0 else [self.byte.get(b, self.unknown) for b in chr(-token - 2).encode()])
-            at -= size[at]
-        return list(chain.from_iterable(reversed(out)))
+            if token >= 0:
+                out.append(token)
+                at -= self.length[token]
+            else:
+                out += [self.byte.get(b, self.unknown) for b in reversed(word[at].encode())]
+                at -= 1
+        out.reverse()
+        return out
 
-    @staticmethod
-    def _fall_back(word, end, size, last):
-        size[end], last[end] = 1, -ord(word[end - 1]) - 2
+    def _fall_back(self, word: str, at: int, last: list, rows: list) -> dict[int, bool]:
+        """The character at ``at`` is spelled as bytes."""
+        last[at] = -ord(word[at]) - 2
+        rows[at] = self.rare.setdefault(last[at], {})
+        return rows[at]
 
     def ranked(self, word: str) -> list[int]:
         """Ids by merging directly."""
@@ -175,19 +206,29 @@ class Transducer:
     def encode(self, text: str) -> list[int]:
         if not text:
             return []
-        text = text.replace(" ", BLANK)
-        out, paths = [], self.paths
-        for word in re.findall(f"{BLANK}*[^{BLANK}]+|{BLANK}+", BLANK + text):
-            known = paths.get(word)
-            if known is None:
-                known = self.ranked(word) if word.startswith(BLANK * 2) else self.path(word)
-                if len(word) <= 40:
-                    if len(paths) >= CACHE:
-                        paths.clear()
-                    paths[word] = known
-            out += known
+        words = text.split(" ")
+        if BLANK in text or "" in words:
+            words = re.findall(f"{BLANK}*[^{BLANK}]+|{BLANK}+", BLANK + text.replace(" ", BLANK))
+            return list(chain.from_iterable(self._word(w) for w in words))
+        known, young = self.young.get, self.young
+        out = []
+        for word in words:
+            ids = known(word)
+            if ids is None:
+                ids = self.old.get(word)
+                if ids is None:
+                    ids = self.path(BLANK + word)
+                if len(word) < 40:
+                    if len(young) >= CACHE:
+                        self.old, self.young = young, {}
+                        known, young = self.young.get, self.young
+                    young[word] = ids
+            out += ids
         return out
 
+    def _word(self, word: str) -> list[int]:
+        return self.ranked(word) if word.startswith(BLANK * 2) else self.path(word)
+
     def decode(self, ids) -> str:
         found = b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace").replace(BLANK, " ")
         return found.removeprefix(" ")
