@@ -56,6 +56,26 @@ def test_files_keys_and_lookups(spark, monkeypatch):
     assert read(some) == wanted(lambda url: url in ("http://www.Example.org/hot", "https://a3.example.org/p/3?q#f"))
 
 
+def test_neighbours_of_keys_that_fill_many_blocks(spark, monkeypatch):
+    """Hot keys, a hot prefix of KEY characters and the key of null URLs, each over several index partitions, then keys in their last blocks."""
+    monkeypatch.setattr(warc, "BLOCK", 5)
+    monkeypatch.setattr(warc, "KEY", 20)
+    urls = [None] * 61 + [f"http://h{h}.org/" for h in range(6) for _ in range(61)] + [f"http://h{h}.org/{k}" for h in range(6) for k in "abc"]
+    urls += [f"http://z.org/{'p' * 40}/{k % 50:02}" for k in range(100)] + ["http://z.org/q", "http://z.org/r"]
+    pages = spark.createDataFrame([(i, url, f"h{i}") for i, url in enumerate(urls)], "page_id long, url string, html string")
+    set_to = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in set_to}
+    try:
+        for k, v in set_to.items():
+            spark.conf.set(k, v)
+        archive = warc.write_archive(spark, pages)
+        assert archive.directory.select("file").distinct().count() > 12
+        assert sorted(r.page_id for r in warc.lookup(spark, archive, pages).collect()) == list(range(len(urls)))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_least_bytes_and_empty(spark):
     pages = spark.createDataFrame([(2, "http://a/", "ab"), (1, "http://b/", "ab"), (4, "http://c/", "abc"), (3, "http://d/", "abc")], "page_id long, url string, html string")
     found = warc.lookup(spark, warc.write_archive(spark, pages, least=3), pages).collect()

@@ -5,9 +5,10 @@ Writing. Every page becomes a record, a gzip member of its own, in one archive f
 and refer to it; shorter payloads are all responses. Pages without page_id are responses that nothing refers to.
 
 Index. Captures are sorted by key, the URL with its host reversed (``org,example,www)/path?query``), and written in compressed
-blocks of ``BLOCK`` captures or, beyond ``BLOCKS`` blocks, larger ones, so that the directory (the first key of
-each block, cut to ``KEY`` characters, and its place) stays small enough to broadcast at any size. A lookup searches the
-directory by bisection, reads a block by its range, bisects its keys and reads each record by its range.
+blocks of ``BLOCK`` captures or, beyond ``BLOCKS`` blocks, larger ones, so that the directory (the first and last key of
+each block, cut to ``KEY`` characters, and its place) stays small enough to broadcast at any size. The directory is in the order
+of the captures, by range partition and block, so blocks that share a first key keep it. A lookup searches the directory by
+bisection for all blocks whose range covers the key, reads each by its range, bisects its keys and reads each record by its range.
 
 Files are written through `pyarrow.fs` below ``spark.checkpoint.dir``, under names no other attempt uses; only rows of tasks that
 Spark commits point at them, so lost executors and repeated tasks leave unused files at worst. A URL or payload shared by a third of
@@ -41,7 +42,7 @@ KEY = 200
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CAPTURES = "key string, file string, offset long, length long"
-DIRECTORY = "first string, file string, offset long, length long"
+DIRECTORY = "part int, block int, first string, last string, file string, offset long, length long"
 RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
@@ -134,17 +135,18 @@ def _write_blocks(captures: DataFrame, root: str, size: int) -> DataFrame:
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        from pyspark import TaskContext
 
         system, folder = _open(root)
         system.create_dir(folder, recursive=True)
-        name, offset, held, rows = f"{uuid.uuid4().hex}.idx", 0, [], []
+        part, name, offset, held, rows = TaskContext.get().partitionId(), f"{uuid.uuid4().hex}.idx", 0, [], []
         with system.open_output_stream(f"{folder}/{name}", compression=None) as out:
 
             def flush():
                 nonlocal offset, held
                 block = zlib.compress("\0".join(str(x) for row in held for x in row).encode())
                 out.write(block)
-                rows.append((held[0][0][:KEY], name, offset, len(block)))
+                rows.append((part, len(rows), held[0][0][:KEY], held[-1][0][:KEY], name, offset, len(block)))
                 offset, held = offset + len(block), []
 
             for batch in batches:
@@ -155,8 +157,8 @@ def _write_blocks(captures: DataFrame, root: str, size: int) -> DataFrame:
             if held:
                 flush()
         yield pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64()))],
-            ["first", "file", "offset", "length"],
+            [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()))],
+            ["part", "block", "first", "last", "file", "offset", "length"],
         )
 
     return captures.mapInArrow(run, DIRECTORY)
@@ -180,20 +182,20 @@ def write_archive(spark: SparkSession, pages: DataFrame, least: int = LEAST) ->
 
 def lookup(spark: SparkSession, archive: Archive, urls: DataFrame) -> DataFrame:
     """The records of all captures whose key is that of a row of ``urls`` (url), each once, with the payload of responses."""
-    blocks = archive.directory.orderBy("first", "file", "offset").collect()  # BLOCKS rows and one per index file at most
-    sent = spark.sparkContext.broadcast(([b[0] for b in blocks], [tuple(b)[1:] for b in blocks]))
+    blocks = archive.directory.orderBy("part", "block").collect()  # BLOCKS rows and one per index file at most
+    sent = spark.sparkContext.broadcast(([b["first"] for b in blocks], [b["last"] for b in blocks], [(b["file"], b["offset"], b["length"]) for b in blocks]))
     root = archive.root
 
     def find(batches: Iterator) -> Iterator:
         """The blocks that may hold a key."""
         import pyarrow as pa
 
-        firsts, _ = sent.value
+        firsts, lasts, _ = sent.value
         for batch in batches:
             at, keys = [], []
             for key in batch.column(0).to_pylist():
                 cut = key[:KEY]
-                for block in range(max(0, bisect_left(firsts, cut) - 1), bisect_right(firsts, cut)):
+                for block in range(bisect_left(lasts, cut), bisect_right(firsts, cut)):
                     at.append(block)
                     keys.append(key)
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(keys, pa.string())], ["block", "key"])
@@ -201,7 +203,7 @@ def lookup(spark: SparkSession, archive: Archive, urls: DataFrame) -> DataFrame:
     def read(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        _, places = sent.value
+        _, _, places = sent.value
         system, folder = _open(root)
         held, rows = -1, []
         archive_file = opened = None
