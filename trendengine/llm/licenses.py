@@ -1,9 +1,8 @@
 """Licences of documents by sparse TF-IDF cosine to templates, and what directories hand down.
 
 Each text, and each of its sentences (cut at line feeds and after ``.``, ``!``, ``?``, ``;`` before white space), is a vector of
-term counts times ``idf = ln((N + 1) / (df + 1)) + 1``. N and df are counted over all documents, df for the terms of the
-templates; a term that no template has weighs as one never seen, so it can only lower a cosine. The template
-with the largest cosine wins, the first listed among equals.
+term counts times ``idf = ln((N + 1) / (df + 1)) + 1``. N and the df of every term are counted over all documents. The template
+with the largest cosine wins, the first listed among equals; of sentences the first among those equal to `DIGITS` decimals.
 
 * licence file: the whole text is within `FILE` of a template; it licenses its directory;
 * header: else, the best sentence is within `HEADER`; it licenses its own document.
@@ -12,9 +11,14 @@ A document without a licence of its own takes that of its nearest ancestor direc
 cosine there, then the smallest doc_id.
 
 Most sentences are left without a vector, by an exact bound: if a sentence lacks all but the most common terms, its
-cosine to a template is at most the share of the template's length in these terms.
-
-Scale: one counting pass (one row per template term and task), one scoring pass, both narrow. Distinct directories, not
+cosine to a template is at most the share of the template's length in these terms. Of the others, only those go on that
+reach the threshold if each term of unknown df has the least idf, 1.
+
+Scale: a counting pass, in which tasks sum up terms before the shuffle (the table has a row per term), and a scoring pass. Weights of the
+templates' terms and of the `COMMON` most common ones are broadcast; those of rarer terms are joined, by term, to the few texts and
+sentences that pass the bound, each distinct text once. What a template scores before division by the vector's length
+needs template terms only, so the join adds up lengths and nothing else. Verdicts are joined to documents by
+the digest of the text. Distinct directories, not
 documents, are expanded to their ancestors and joined to licensed directories, so a directory with a third of all documents is one
 row there; only the last join carries documents, and Spark splits its hot keys. The templates are fixed, their
 terms bound the broadcast.
@@ -25,6 +29,7 @@ judged alike. No rows: no rows.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -34,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from trendengine.llm.common import fresh, stored, table, utf8, with_column
+from trendengine.llm.common import fresh, stored, table, utf8
 from trendengine.llm.decontaminate import words
 
 FILE, HEADER = 0.5, 0.6
@@ -71,6 +76,9 @@ TEMPLATES = [
 ]
 SENTENCE = re.compile(rb"\n|(?<=[.!?;])\s")
 KIND = "struct<kind:string,license:string,score:double>"
+#: Terms with broadcast weights, terms a task holds before it hands them on, decimals in which sentences are ranked.
+COMMON, HELD, DIGITS = 20_000, 200_000, 12
+PARTS = "digest string, part int, license string, top double, square double, rest array<struct<term:binary,count:bigint>>"
 
 Template = tuple[str, dict[bytes, float], float]  # name, weights, length
 
@@ -79,32 +87,40 @@ def vocabulary() -> list[bytes]:
     return sorted({w for _, text in TEMPLATES for w in words(text.encode())})
 
 
-def count_terms(docs: DataFrame) -> tuple[int, dict[bytes, int]]:
-    """The number of documents, and in how many each template term occurs."""
-    terms = vocabulary()
+def count_terms(docs: DataFrame) -> DataFrame:
+    """In how many documents each term occurs; the empty term stands for the number of documents."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        known, found, rows = set(terms), Counter(), 0
+        found, rows = Counter(), 0
+        hand_on = lambda: pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.int64())], ["term", "n"])
         for batch in batches:
             for text in utf8(batch.column(0)):
-                found.update(known.intersection(words(text)))
+                found.update(set(words(text)))
+                if len(found) > HELD:
+                    yield hand_on()
+                    found.clear()
             rows += batch.num_rows
         found[b""] = rows
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([t.decode() for t in found], pa.string()), pa.array(list(found.values()), pa.int64())], ["term", "n"]
-        )
+        yield hand_on()
+
+    return docs.select("text").mapInArrow(run, "term binary, n long").groupBy("term").agg(F.sum("n").alias("n"))
+
 
-    counted = docs.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    df = {r["term"].encode(): r["n"] for r in counted}  # one row per template term
+def known_terms(counted: DataFrame) -> tuple[int, dict[bytes, int]]:
+    """The number of documents, and df of template terms and the most common ones."""
+    by_name = counted.where(F.col("term").isin([b"", *vocabulary()])).collect()  # one row per template term
+    df = {bytes(r["term"]): r["n"] for r in by_name + counted.orderBy(F.desc("n")).limit(COMMON).collect()}
     return df.pop(b"", 0), df
 
 
 class Scorer:
+    """Scores with the weights of known terms: those of the templates and of ``df``."""
+
     def __init__(self, n: int, df: dict[bytes, int]):
         self.unseen = math.log(n + 1) + 1
-        self.idf = {t: math.log((n + 1) / (df.get(t, 0) + 1)) + 1 for t in vocabulary()}
+        self.idf = {t: math.log((n + 1) / (df.get(t, 0) + 1)) + 1 for t in {*vocabulary(), *df}}
         self.templates: list[Template] = []
         for name, text in TEMPLATES:
             weights = {t: c * self.idf[t] for t, c in Counter(words(text.encode())).items()}
@@ -114,47 +130,103 @@ class Scorer:
     def _needed(self, least: float) -> frozenset[bytes]:
         """Terms of which a vector must have one to come within ``least``: all but the most common, as long as these alone cannot."""
         common: set[bytes] = set()
-        for term in sorted(self.idf, key=lambda t: (self.idf[t], t)):
+        terms = vocabulary()
+        for term in sorted(terms, key=lambda t: (self.idf[t], t)):
             common.add(term)
             if any(math.sqrt(sum(w * w for t, w in ws.items() if t in common)) >= 0.999 * least * size for _, ws, size in self.templates):
                 common.remove(term)
                 break
-        return frozenset(self.idf) - common
+        return frozenset(terms) - common
 
-    def best(self, tokens: list[bytes]) -> tuple[float, str | None]:
-        """(cosine, licence) of the nearest template."""
+    def part(self, tokens: list[bytes], least: float) -> tuple[str, float, float, dict[bytes, int]] | None:
+        """(licence, cosine times the vector's length, square of its length in known terms, other terms), if it may come within ``least``."""
         if self.needed.isdisjoint(tokens):
-            return 0.0, None
-        vector = {t: c * self.idf.get(t, self.unseen) for t, c in Counter(tokens).items()}
-        size = math.sqrt(sum(w * w for w in vector.values()))
-        found = (0.0, None)
-        for name, weights, length in self.templates:
-            cosine = sum(w * vector[t] for t, w in weights.items() if t in vector) / (size * length)
-            if cosine > found[0]:
-                found = (cosine, name)
-        return found
+            return None
+        counts = Counter(tokens)
+        vector = {t: c * self.idf[t] for t, c in counts.items() if t in self.idf}
+        rest = {t: c for t, c in counts.items() if t not in vector}
+        square = sum(w * w for w in vector.values())
+        top, name = 0.0, None
+        for licence, weights, length in self.templates:
+            dot = sum(w * vector[t] for t, w in weights.items() if t in vector) / length
+            if dot > top:
+                top, name = dot, licence
+        shortest = math.sqrt(square + sum(c * c for c in rest.values()))
+        return (name, top, square, rest) if top >= 0.999 * least * shortest else None
+
+    def parts(self, text: bytes | None) -> Iterator[tuple]:
+        """(0 for the whole text or the number of the sentence, *part) of what may come within its threshold."""
+        tokens = words(text)
+        if self.needed.isdisjoint(tokens):
+            return
+        for at, part in [(0, self.part(tokens, FILE)), *((k, self.part(words(x), HEADER)) for k, x in enumerate(SENTENCE.split(text), 1))]:
+            if part:
+                yield at, *part
 
     def judge(self, text: bytes | None) -> dict:
-        tokens = words(text)
-        if not self.needed.isdisjoint(tokens):
-            score, name = self.best(tokens)
-            if score >= FILE:
-                return {"kind": "file", "license": name, "score": min(1.0, score)}
-            score, name = max((self.best(words(s)) for s in SENTENCE.split(text)), key=lambda b: b[0])
-            if score >= HEADER:
-                return {"kind": "header", "license": name, "score": min(1.0, score)}
+        """The verdict on a text whose other terms were never seen."""
+        whole, best = (0.0, None), (0.0, None)
+        for at, name, top, square, rest in self.parts(text):
+            score = top / math.sqrt(square + sum((c * self.unseen) ** 2 for c in rest.values()))
+            if not at:
+                whole = score, name
+            elif round(score, DIGITS) > round(best[0], DIGITS):
+                best = score, name
+        for kind, least, (score, name) in (("file", FILE, whole), ("header", HEADER, best)):
+            if score >= least:
+                return {"kind": kind, "license": name, "score": min(1.0, score)}
         return {"kind": "none", "license": None, "score": 0.0}
 
 
-def scan(docs: DataFrame, name: str = "own") -> DataFrame:
-    """``docs`` and a struct ``name``: kind (file, header, none), licence, cosine."""
-    n, df = count_terms(docs)
+def verdicts(docs: DataFrame) -> DataFrame:
+    """Digest of the text, and `KIND`, of each distinct text that has a licence."""
+    spark = docs.sparkSession
+    counted = stored(spark, count_terms(docs), "terms")
+    n, df = known_terms(counted)
+    sent, kind = spark.sparkContext.broadcast((n, df)), StructType.fromDDL(PARTS)
 
-    def make():
-        scorer = Scorer(n, df)
-        return lambda columns: [scorer.judge(text) for text in utf8(columns[0])]
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
 
-    return with_column(docs, ["text"], name, StructType.fromDDL(f"x {KIND}")[0].dataType, make)
+        scorer, schema, rows, held = Scorer(*sent.value), to_arrow_schema(kind), [], 0
+        for batch in batches:
+            for text in utf8(batch.column(0)):
+                for at, name, top, square, rest in scorer.parts(text):
+                    digest = hashlib.sha256(text).hexdigest()
+                    rows.append({"digest": digest, "part": at, "license": name, "top": top, "square": square, "rest": [{"term": t, "count": c} for t, c in rest.items()]})
+                    held += 1 + len(rest)
+                if held > HELD:
+                    yield pa.RecordBatch.from_pylist(rows, schema)
+                    rows, held = [], 0
+        yield pa.RecordBatch.from_pylist(rows, schema)
+
+    key = ["digest", "part"]
+    parts = stored(spark, docs.select("text").mapInArrow(run, PARTS).dropDuplicates(key), "parts")
+    rest = parts.select(*key, F.explode("rest").alias("rest")).select(*key, "rest.term", "rest.count")
+    idf = F.log(F.lit(n + 1.0) / (F.col("n") + 1)) + 1
+    lengths = rest.join(counted, "term").groupBy(*key).agg(F.sum(F.pow(F.col("count") * idf, F.lit(2))).alias("more"))
+    score = F.col("top") / F.sqrt(F.col("square") + F.coalesce("more", F.lit(0.0)))
+    scored = parts.join(lengths, key, "left").select(*key, "license", score.alias("score"))
+    rank = F.struct((-F.round("score", DIGITS)).alias("s"), "part", "license", "score")
+    best = scored.groupBy("digest").agg(
+        F.min(F.when((F.col("part") == 0) & (F.col("score") >= FILE), rank)).alias("file"),
+        F.min(F.when((F.col("part") > 0) & (F.col("score") >= HEADER), rank)).alias("header"),
+    )
+    found = F.coalesce("file", "header")
+    which = F.when(F.col("file").isNotNull(), "file").otherwise("header")
+    verdict = F.struct(which.alias("kind"), found["license"].alias("license"), F.least(F.lit(1.0), found["score"]).alias("score"))
+    return best.where(found.isNotNull()).select("digest", verdict.alias("verdict"))
+
+
+def scan(docs: DataFrame, name: str = "own") -> DataFrame:
+    """``docs`` and a struct ``name``: kind (file, header, none), licence, cosine."""
+    digest, verdict = fresh("digest", docs), fresh("verdict", docs)
+    found = verdicts(docs).toDF(f"{digest}_of", verdict)
+    keyed = docs.withColumn(digest, F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    none = F.struct(F.lit("none").alias("kind"), F.lit(None).cast("string").alias("license"), F.lit(0.0).alias("score"))
+    out = keyed.join(found, F.col(digest) == F.col(f"{digest}_of"), "left")
+    return out.select(*docs.columns, F.coalesce(verdict, none).alias(name))
 
 
 def _parent(path):
