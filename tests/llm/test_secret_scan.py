@@ -60,6 +60,25 @@ def test_random_tokens_are_found_and_ordinary_ones_left():
     assert not [p for p in plain if s.scan(" ".join(plain))[1]]
 
 
+def test_random_tokens_after_names_in_queries_and_in_paths():
+    rng = random.Random(7)
+    b62, b64, url = (string.ascii_letters + string.digits + x for x in ("", "+/", "-_"))
+    forms = [
+        ("AWS_SECRET_ACCESS_KEY={}", b64), ("SESSION_ID={}", b62), ("export A_NAME_OF_MORE_THAN_20={}==", b64), ("https://x.org/a?user=me&sig={}&x=1", url),
+        ("https://x.org/reset-link/{}", b62), ("/reset-link/{}", url), ("/a-b/c/{}/end-of_path", b62), ("https://x.org/some/longer/path/of-the/site/{}", b62),
+    ]
+    for form, alphabet in forms:
+        found = 0
+        for _ in range(50):
+            key = "".join(rng.choice(alphabet) for _ in range(40))
+            text = f"set {form.format(key)} now"
+            base, added = s.scan(text)
+            found += key not in s.redact(text, base + added)
+        assert found >= 40, form
+    plain = ["A_SETTING_WITH_A_LONG_NAME=its_value_is_ordinary_writing", "/some-path/with_names/and-more/of+them", "=" * 60, "-_" * 30 + "/", "x=" * 30]
+    assert not [p for p in plain if s.scan(f"the {p} of")[1]]
+
+
 def test_length_matters():
     rng = random.Random(6)
     share = lambda n: sum(bool(s.scan("".join(rng.choice(string.ascii_lowercase) for _ in range(n)))[1]) for _ in range(200))

@@ -1,8 +1,10 @@
 """Secrets in texts: fixed patterns, and a battery of randomness tests over long tokens.
 
 Patterns give the base spans. The method adds tokens that look drawn at random. A candidate is a run of 20 or more
-characters of the base64 alphabets; its encoding (hex, lower-case letters, base32, base62, base64) is inferred from the
-characters. Three tests ask whether it is uniform in that encoding: chi-squared over the alphabet, runs about the middle of
+characters of the base64 alphabets, with ``=`` at its end only, as padding: what follows it (``NAME=value``, ``?sig=value``) is a
+candidate of its own. Its encoding (hex, lower-case letters, base32, base62, base64) is inferred from the
+characters. Where the run fits none, or cannot pass as a whole, its parts between separators (``+ /``, ``- _``, or all four) are the
+candidates instead, so a path or name before a token does not hide it. Three tests ask whether it is uniform in that encoding: chi-squared over the alphabet, runs about the middle of
 the alphabet, serial correlation at lag 1. A token whose randomness any of them rejects (Bonferroni, level `REJECT`) is
 text, a counter or padding. For the others the chi-squared statistic is set against ordinary writing of the same length and
 alphabet, where it is noncentral with a noncentrality of length times `surplus`: the chance of so even a token in ordinary
@@ -28,7 +30,8 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+TOKEN = re.compile(r"[A-Za-z0-9+/_-]{20,}(?:=++(?![A-Za-z0-9+/_-]))?")
+PARTS = [re.compile(p) for p in (r"[A-Za-z0-9_-]{20,}=*", r"[A-Za-z0-9+/]{20,}=*", r"[A-Za-z0-9]{20,}=*")]
 LEAST = 12
 KINDS = ("assign", "access", "hex", "random")
 REJECT, FDR = 0.001, 0.01
@@ -108,18 +111,31 @@ def p_ordinary(chi: float, n: int, size: int) -> float:
     return normal_tail(-(chi - df - shift) / math.sqrt(2 * (df + 2 * shift)))
 
 
+def p_candidate(run: str) -> float | None:
+    """The p-value of a run without its padding; none if it fits no encoding."""
+    token = run.rstrip("=")
+    name = infer(token)
+    if name is None:
+        return None
+    alphabet = ENCODINGS[name]
+    chi, *ps = battery(token, alphabet)
+    return p_ordinary(chi, len(token), len(alphabet)) if 3 * min(ps) >= REJECT else 1.0
+
+
+def candidates(start: int, run: str) -> list[tuple[float, int, int]]:
+    """(p-value, start, end) of a run or, if its p-value is none or above every threshold, of its parts."""
+    p = p_candidate(run)
+    whole = [] if p is None else [(p, start, start + len(run))]
+    if whole and p <= FDR:
+        return whole
+    spans = {m.span() for pattern in PARTS for m in pattern.finditer(run)} - {(0, len(run))}
+    parts = [(q, start + a, start + b) for a, b in sorted(spans) if (q := p_candidate(run[a:b])) is not None]
+    return parts or whole
+
+
 def random_spans(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Tokens that pass as random, without those that overlap with ``taken``."""
-    tested = []
-    for m in TOKEN.finditer(text):
-        start, end = m.span()
-        token = m[0].rstrip("=")
-        name = infer(token)
-        if len(token) < 20 or name is None:
-            continue
-        alphabet = ENCODINGS[name]
-        chi, *ps = battery(token, alphabet)
-        tested.append((p_ordinary(chi, len(token), len(alphabet)) if 3 * min(ps) >= REJECT else 1.0, start, end))
+    tested = [c for m in TOKEN.finditer(text) for c in candidates(m.start(), m[0])]
     tested.sort()
     passed = max((k for k, (p, _, _) in enumerate(tested, 1) if p <= FDR * k / len(tested)), default=0)
     return [("random", s, e) for _, s, e in tested[:passed] if not any(s < b and a < e for _, a, b in taken)]
