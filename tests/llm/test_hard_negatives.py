@@ -1,0 +1,97 @@
+"""Hard negatives against SQL and a plain search over all pairs; intervals against exact scores."""
+
+import math
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tests.oracle_check import compare, connect
+from trendengine.llm import hard_negatives as h
+
+SF = "/root/testdata/sf0.01"
+SCHEMA = "vec_id long, embedding array<double>, label int, block int, codes string"
+
+
+def plain(rows, anchor, k, n_positives):
+    """rows: (vec_id, label, vector), one per vec_id."""
+    kept = [(i, y, [math.floor(256 * x) for x in v]) for i, y, v in rows
+            if i is not None and y is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for i, y, v in kept:
+        if not anchor(i):
+            continue
+        score = lambda w: sum(a * b for a, b in zip(v, w))
+        others = [(-score(w), j, z == y) for j, z, w in kept if j != i and len(w) == len(v)]
+        for p, positive, _ in sorted(o for o in others if o[2])[:n_positives]:
+            fit = sorted(o for o in others if not o[2] and 30 * -p <= 100 * -o[0] <= 90 * -p)[:k]
+            out += [(i, positive, rank, j, -p, -s) for rank, (s, j, _) in enumerate(fit, 1)]
+    return sorted(out)
+
+
+@pytest.fixture
+def small_blocks(monkeypatch):
+    monkeypatch.setattr(h, "ANCHORS", 5)
+    monkeypatch.setattr(h, "STRIPE", 20)
+    monkeypatch.setattr(h, "LEAST_STRIPES", 2)
+
+
+def test_query_is_the_sql(spark):
+    assert compare(h.query(spark, SF), connect(SF), h.SQL) is None
+
+
+def coded(x, n_labels=1):
+    codes, scales = h.encode(x)
+    n = len(x)
+    table = {"vec_id": pa.array(range(n)), "label": pa.array(np.arange(n) % n_labels), "vec": pa.array([r.astype("<i4").tobytes() for r in x])}
+    return table | {"codes": pa.array([r.tobytes() for r in codes]), "scales": pa.array([r.tobytes() for r in scales])}
+
+
+def test_intervals_hold_the_score_and_narrow():
+    rng = np.random.default_rng(3)
+    for d in (0, 1, 3, 64, 100):
+        x = rng.integers(-300, 300, (60, d))
+        x[1], x[2], x[3] = 0, x[4], -x[5]
+        rows, asked = h.Rows(coded(x)), h.Anchors(coded(x))
+        every, exact = np.arange(60), x @ x.T
+        estimate, unsure, widths = 0.0, 0.0, []
+        for level in range(h.LEVELS):
+            estimate, unsure, half = h.interval(asked, rows, every[:, None], every[None, :], level, estimate, unsure)
+            assert (np.abs(estimate - exact) <= half + 1e-9).all()
+            widths.append(half.mean())
+        assert widths == sorted(widths, reverse=True) and (d < 64 or widths[-1] < widths[0] / 6)
+        turned = h.rotate(h.spread(x), 1)
+        assert np.allclose(np.linalg.norm(turned, axis=1), np.linalg.norm(x, axis=1))
+
+
+def test_intervals_give_most_pairs_up(monkeypatch):
+    rng = np.random.default_rng(4)
+    x = rng.integers(-100, 100, (2000, 64))
+    table = coded(x, 2)
+    rows, asked = h.Rows(table), h.Anchors({c: v[:20] for c, v in table.items()})
+    scored, enter = [], h._enter
+    monkeypatch.setattr(h, "_enter", lambda ids, scores, a, *rest: (scored.append(len(a)), enter(ids, scores, a, *rest)))
+    free = np.full((20, 1), h.NONE)
+    ids, scores = h.best_rows(asked, rows, free, ~free, 5, same=True)
+    exact = x[:20] @ x.T
+    for i in range(20):
+        exact[i, i] = h.NONE
+        exact[i, np.arange(2000) % 2 != i % 2] = h.NONE
+        assert sorted(scores[i, 0]) == sorted(np.sort(exact[i])[-5:])
+    assert sum(scored) < 20 * 1000 / 4
+
+
+def test_ties_nulls_lengths_repeats_and_clashing_names(spark, small_blocks):
+    rng = np.random.default_rng(5)
+    rows = [(i, int(rng.integers(0, 3)), [float(x) / 8 for x in rng.integers(-2, 5, 6)]) for i in range(90)]
+    rows += [(100 + i, 1, rows[10][2]) for i in range(15)]  # one vector on many rows
+    rows += [(200, 0, [0.0] * 6), (210, 1, []), (211, 1, []), (212, 2, []), (220, 0, [1.0, 2.0]), (221, 1, [1.0, 1.0]), (222, 0, [2.0, 2.0]),
+             (230, None, rows[1][2]), (231, 1, None), (232, 1, [None] * 6), (233, 1, [math.nan] * 6), (None, 1, rows[2][2]), (235, 1, [math.inf] + [0.0] * 5)]
+    doubled = [rows[20], rows[20], (20, 5, rows[20][2])]  # the last one loses by its label
+    frame = spark.createDataFrame([(i, v, y, 3, "x") for i, y, v in rows + doubled], SCHEMA)
+    found = h.mine(spark, frame, "vec_id % 10 = 0", k=4, n_positives=3)
+    assert found.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    wanted = plain(rows, lambda i: i % 10 == 0, 4, 3)
+    assert sorted(tuple(r) for r in found.collect()) == wanted and len(wanted) > 50
+    assert h.mine(spark, frame.where("false"), "vec_id % 10 = 0").count() == 0
+    assert h.mine(spark, frame, "vec_id < 0").count() == 0
