@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from trendengine.llm import chat, decontaminate, langid, licenses, secret_scan, sentencepiece_fst, simhash, url_filter, vector_graph, warc
+from trendengine.llm import (
+    centroids,
+    chat,
+    decontaminate,
+    hard_negatives,
+    langid,
+    licenses,
+    mixing,
+    secret_scan,
+    sentencepiece_fst,
+    simhash,
+    url_filter,
+    vector_graph,
+    warc,
+)
 
 QUERIES = {
     "op1_simhash": simhash.query,
@@ -15,6 +29,9 @@ QUERIES = {
     "op8_urls": url_filter.query,
     "op9_language": langid.query,
     "op10_licenses": licenses.query,
+    "op11_centroids": centroids.query,
+    "op12_hard_negatives": hard_negatives.query,
+    "op13_mixing": mixing.query,
 }
 
 ORACLE = {
@@ -22,4 +39,7 @@ ORACLE = {
     "op5_warc": warc.SQL,
     "op7_chat": chat.SQL,
     "op8_urls": url_filter.SQL,
+    "op11_centroids": centroids.SQL,
+    "op12_hard_negatives": hard_negatives.SQL,
+    "op13_mixing": mixing.SQL,
 }
