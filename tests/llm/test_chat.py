@@ -49,6 +49,19 @@ def test_round_trip_merging_and_mask(spark):
         assert masked.replace("&lt;", "<").replace("&amp;", "&") == "".join(t for role, t in turns[c] if role == "assistant")
 
 
+def test_loss_text_is_what_the_mask_covers(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rows = [(1, 0, "user", "q é", "x", 1), (1, 1, "assistant", "a<&😀 &lt;", "x", 1), (1, 2, "assistant", "", "x", 1), (1, 3, "assistant", "b", "x", 1), (2, 0, "user", "", "x", 1)]
+    out = chat.format_conversations(spark.createDataFrame(rows, SCHEMA))
+    text = lambda df: {r[0]: r[1] for r in df.select("conv_id", chat.loss_text(F.col("formatted"), F.col("loss_runs"))).collect()}
+    assert text(out) == {1: "a<&😀 &lt;b", 2: ""}
+    shifted = F.transform("loss_runs", lambda r: F.struct(r["length"].alias("length"), (~r["loss"]).alias("loss")))
+    assert text(out.withColumn("loss_runs", shifted)) != text(out)
+    monkeypatch.setattr(chat, "LOSS_ROLE", "user")  # a wrong mask shows in the query
+    assert compare(chat.query(spark, SF), connect(SF), chat.SQL) is not None
+
+
 def test_ties_repeats_nulls_and_empty(spark):
     rows = [(None, 1, "user", "n", None, None), (4, None, "user", "first", None, None), (4, 2, "user", "b", None, None), (4, 2, "user", "a", None, None),
             (4, 2, "assistant", "z", None, None), (4, 2, "user", "a", None, None)]

@@ -5,6 +5,8 @@ their texts. Inside texts and roles ``&`` becomes ``&amp;`` and ``<`` becomes ``
 control strings occur only as control strings and the texts come back exactly. The loss mask is a list of runs
 (length in code points, loss or not): loss covers the escaped texts of assistant turns and nothing else.
 
+What the mask covers is read from ``formatted`` and ``loss_runs`` alone (`loss_text`): a wrong mask gives a wrong text.
+
 Only Spark expressions run here. A conversation is one row of the result, so its turns meet in one task; that is the feature,
 and work per conversation is linear in its length. Turns are ordered by turn, then role, then text; a null text or role is
 empty, a null turn comes first, rows with a null conv_id form a conversation of their own. Repeated rows are turns of their own.
@@ -88,6 +90,13 @@ def read_conversations(formatted: DataFrame) -> DataFrame:
     return formatted.withColumn("turns", F.flatten(F.transform(blocks, read)))
 
 
+def loss_text(formatted: Column, runs: Column) -> Column:
+    """The text under the mask, unescaped. Each code point is looked at once, so this is linear in the text, whatever the runs."""
+    mask = F.flatten(F.transform(runs, lambda r: F.array_repeat(r["loss"], r["length"].cast("int"))))
+    marked = F.arrays_zip(F.split(formatted, "").alias("c"), mask.alias("loss"))
+    return unescape_text(F.array_join(F.transform(F.filter(marked, lambda x: x["loss"]), lambda x: x["c"]), ""))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hard = spark.range(2).select(
@@ -98,13 +107,13 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     back = read_conversations(format_conversations(rows.unionByName(hard)))
     line = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == LOSS_ROLE), lambda t: t["text"]), "")
+    back = back.withColumn("loss", loss_text(F.col("formatted"), F.col("loss_runs")))
     return back.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
         F.sha2(F.array_join(line, ""), 256).alias("turns_sha256"),
-        F.length(loss).cast("long").alias("loss_chars"),
-        F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
 
