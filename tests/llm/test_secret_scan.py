@@ -79,6 +79,21 @@ def test_random_tokens_after_names_in_queries_and_in_paths():
     assert not [p for p in plain if s.scan(f"the {p} of")[1]]
 
 
+def test_added_spans_never_overlap_and_repeats_are_one_test():
+    rng = random.Random(9)
+    url = string.ascii_letters + string.digits + "-_"
+    for form in ("/reset-link/{}", "/a-b/c/{}/end-of_path", "x/{}+{}/y_{}-z"):
+        for _ in range(100):
+            keys = ["".join(rng.choice(url) for _ in range(40)) for _ in range(3)]
+            added = s.scan(f"go {form.format(*keys)} on")[1]
+            assert all(b <= c for (_, _, b), (_, c, _) in zip(added, added[1:])), added
+    token = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(40))
+    words = "electroencephalographically"
+    assert len(s.scan(f"{token} {words} " * 5)[1]) == 5
+    tests = lambda n: s.scan(f"{token[:24]} " * n + f"{words} ")[1]
+    assert bool(tests(1)) == bool(tests(50))
+
+
 def test_length_matters():
     rng = random.Random(6)
     share = lambda n: sum(bool(s.scan("".join(rng.choice(string.ascii_lowercase) for _ in range(n)))[1]) for _ in range(200))

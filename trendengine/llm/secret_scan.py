@@ -8,10 +8,13 @@ candidates instead, so a path or name before a token does not hide it. Three tes
 the alphabet, serial correlation at lag 1. A token whose randomness any of them rejects (Bonferroni, level `REJECT`) is
 text, a counter or padding. For the others the chi-squared statistic is set against ordinary writing of the same length and
 alphabet, where it is noncentral with a noncentrality of length times `surplus`: the chance of so even a token in ordinary
-writing is its p-value. So short tokens need more evidence, and Benjamini-Hochberg over the candidates of the document
-keeps the expected share of false finds at `FDR`.
+writing is its p-value. So short tokens need more evidence. Of overlapping candidates the one with the smallest p-value stays, then the longest, then the
+first, its p-value times the number of parts tested in the run; so added spans never overlap. A token that repeats in a document is one test.
+Benjamini-Hochberg over the tests of the document keeps the expected share of false finds at `FDR`, document by document: other documents do not
+change a verdict.
 
-Narrow: one pass, no shuffle, state of one document at a time. A null text is empty.
+Narrow: one pass, no shuffle, state of one document at a time, linear in its length. A null or empty text has no spans. Repeated rows are scanned alike.
+Ties in place are listed by kind. Documents keep their other columns, of any name and type.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from trendengine.llm.common import fresh, table, with_column
+from trendengine.llm.common import any_columns, fresh, table, with_column
 
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A
@@ -123,22 +126,30 @@ def p_candidate(run: str) -> float | None:
 
 
 def candidates(start: int, run: str) -> list[tuple[float, int, int]]:
-    """(p-value, start, end) of a run or, if its p-value is none or above every threshold, of its parts."""
+    """(p-value, start, end) of a run or, if its p-value is none or above every threshold, of disjoint parts of it."""
     p = p_candidate(run)
     whole = [] if p is None else [(p, start, start + len(run))]
     if whole and p <= FDR:
         return whole
     spans = {m.span() for pattern in PARTS for m in pattern.finditer(run)} - {(0, len(run))}
-    parts = [(q, start + a, start + b) for a, b in sorted(spans) if (q := p_candidate(run[a:b])) is not None]
-    return parts or whole
+    parts = [(q, a, b) for a, b in spans if (q := p_candidate(run[a:b])) is not None]
+    chosen: list[tuple[float, int, int]] = []
+    for q, a, b in sorted(parts, key=lambda x: (x[0], x[1] - x[2], x[1])):
+        if not any(a < e and d < b for _, d, e in chosen):
+            chosen.append((min(1.0, q * len(parts)), a, b))
+    return [(q, start + a, start + b) for q, a, b in chosen] or whole
 
 
 def random_spans(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Tokens that pass as random, without those that overlap with ``taken``."""
-    tested = [c for m in TOKEN.finditer(text) for c in candidates(m.start(), m[0])]
-    tested.sort()
-    passed = max((k for k, (p, _, _) in enumerate(tested, 1) if p <= FDR * k / len(tested)), default=0)
-    return [("random", s, e) for _, s, e in tested[:passed] if not any(s < b and a < e for _, a, b in taken)]
+    found = [c for m in TOKEN.finditer(text) for c in candidates(m.start(), m[0])]
+    tests: dict[str, float] = {}
+    for p, start, end in found:
+        token = text[start:end]
+        tests[token] = min(p, tests.get(token, 1.0))
+    ranked = sorted(tests.values())
+    passed = max((p for k, p in enumerate(ranked, 1) if p <= FDR * k / len(ranked)), default=-1.0)
+    return [("random", s, e) for _, s, e in sorted(found) if tests[text[s:e]] <= passed and not any(s < b and a < e for _, a, b in taken)]
 
 
 def scan(text: str | None) -> tuple[list, list]:
@@ -186,6 +197,7 @@ def find_secrets(docs: DataFrame, name: str = "secrets") -> DataFrame:
     return with_column(docs, ["text"], name, kind, make)
 
 
+@any_columns("text", "n_chars")
 def redact_secrets(docs: DataFrame) -> DataFrame:
     """The documents, each secret replaced with MARK; n_chars follows where the table has it. All rows stay."""
     name = fresh("secrets", docs)
