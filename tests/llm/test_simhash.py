@@ -79,6 +79,26 @@ def test_links_connect_as_all_pairs_do(spark, monkeypatch, node_rows):
     assert {r.node: r.root for r in found} == wanted
 
 
+def test_the_descent_returns_the_links_of_the_table(spark, monkeypatch):
+    """Without the descent no link of the given table is found: small nodes go through the tree as well."""
+    import numpy as np
+
+    fps = np.array(sorted({plain_fingerprint(r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}), dtype=np.uint64)
+    found = 0
+    for mask in map(np.uint64, simhash._parts(0)):
+        x = fps[np.lexsort((simhash.gray_rank(fps), fps & mask))]
+        group = np.cumsum(np.concatenate([[False], np.diff(x & mask) != 0]))
+        assert np.bincount(group).max() <= simhash.FANOUT  # small nodes only
+        got = {(int(a), int(b)) for i, j in simhash._close_below(x, group) for a, b in zip(i, j)}
+        near = lambda i, j: group[i] == group[j] and int(x[i] ^ x[j]).bit_count() <= 2
+        assert got == {(i, j) for i in range(len(x)) for j in range(i + 1, min(len(x), i + 16)) if near(i, j)}
+        found += len(got)
+    assert found
+    monkeypatch.setattr(simhash, "_close_below", lambda x, group=None: iter(()))
+    a, _ = simhash._forest(group, x, np.arange(len(x)))
+    assert not len(a)
+
+
 def test_components_of_long_chain_and_hub(spark):
     links = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5, None), (7, 7)]
     found = components(spark, spark.createDataFrame(links, "a long, b long"))

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import wraps
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendengine.session import scratch_path
+from trendengine.session import remove_folder, scratch_path
 
 #: Rows whose results a Python worker holds before it hands them back.
 ROWS_AT_ONCE = 1000
@@ -18,18 +20,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Where each table made by `stored` lies.
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: cut lineage that outlives lost executors."""
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    _paths[found] = path
+    return found
 
 
 def remove_stored(spark: SparkSession, df: DataFrame) -> None:
     """Delete the folder of a table made by ``stored`` that nothing reads any more."""
-    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    remove_folder(spark, _paths.pop(df))
 
 
 def utf8(column) -> list[bytes | None]:
@@ -71,3 +77,30 @@ def fresh(name: str, docs: DataFrame) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def any_columns(*used: str):
+    """For functions from a table to a table with all its columns: lets these have any name and type.
+
+    The columns named in ``used`` keep their names, the others get plain ones while the function runs, so dots, blanks and names that the
+    function makes for itself do no harm. What it adds gets underscores if the table has that name.
+    """
+
+    def around(function):
+        @wraps(function)
+        def run(*args, **named):
+            at = next(i for i, x in enumerate(args) if isinstance(x, DataFrame))
+            docs = args[at]
+            inside = [c if c.lower() in used else f"column_{i}_" for i, c in enumerate(docs.columns)]
+            out = function(*args[:at], docs.toDF(*inside), *args[at + 1 :], **named)
+            outside, names = dict(zip(inside, docs.columns)), []
+            for c in out.columns:
+                name = outside.get(c, c)
+                while c not in outside and name.lower() in {x.lower() for x in docs.columns}:
+                    name += "_"
+                names.append(name)
+            return out.toDF(*names)
+
+        return run
+
+    return around

@@ -7,8 +7,9 @@ differing bits at most agree on one part, so each fingerprint hangs below three
 lies below a common node. A node with more than ``NODE_ROWS`` fingerprints is cut the same way along its remaining bits,
 again without losing a link; as fingerprints are distinct, nodes get small enough before the bits run out. No
 bucket is capped. Below a node, fingerprints are sorted by Gray rank, runs of ``FANOUT`` share a node that holds the bits
-common to all of them, runs of such nodes share a parent, and a pair of nodes is given up with all below it as soon
-as the differences gathered on the way down exceed ``MOST``.
+common to all of them, and runs of such nodes share a parent, up to the masked pattern. All nodes of a task are one tree that is
+descended at once, whatever their size; a pair of nodes is given up with all below it as soon as the differences gathered on the way
+down exceed ``MOST``.
 
 Scale. Equal fingerprints are one row before anything is compared. Nodes hand on a spanning forest of their links, at most
 one row per fingerprint, instead of pairs; `graph.components` joins the forests.
@@ -25,7 +26,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trendengine.llm.common import ASCII_LOWER, fresh, stored, table, utf8
+from trendengine.llm.common import ASCII_LOWER, any_columns, stored, table, utf8
 from trendengine.llm.graph import components
 
 MOST = 2
@@ -100,41 +101,62 @@ def gray_rank(x):
     return x
 
 
-def _close_below(x):
-    """Index pairs (i < j) of ``x`` that differ in MOST bits at most; x is in Gray order. In blocks, by descent."""
+def _levels(x, group):
+    """The tree, leaves first: per level (bits shared below each node, their values, first child, number of children).
+
+    Leaves are fingerprints, sorted by group and Gray rank. Runs of FANOUT nodes of a group share a parent, until each group is one node.
+    """
     import numpy as np
 
-    levels = [(np.full(len(x), ONES, dtype=np.uint64), x)]  # (bits shared below the node, their values), leaves first
-    while len(levels[-1][0]) > FANOUT:
-        mask, pattern = levels[-1]
-        at = np.arange(0, len(mask), FANOUT)
+    levels = [(np.full(len(x), ONES, dtype=np.uint64), x, None, None)]
+    while True:
+        mask, pattern, *_ = levels[-1]
+        new = np.concatenate([[True], group[1:] != group[:-1]]) if len(group) else np.zeros(0, dtype=bool)
+        if len(levels) > 1 and new.all():
+            return levels
+        start = np.flatnonzero(new)
+        place = np.arange(len(group)) - np.repeat(start, np.diff(np.append(start, len(group))))
+        at = np.flatnonzero(place % FANOUT == 0)
         ones = np.bitwise_and.reduceat(pattern & mask, at)
         zeros = np.bitwise_and.reduceat(~pattern & mask, at)
-        levels.append((ones | zeros, ones))
+        levels.append((ones | zeros, ones, at, np.diff(np.append(at, len(group)))))
+        group = group[at]
+
+
+def _close_below(x, group=None):
+    """Index pairs (i < j) within a group of ``x`` that differ in MOST bits at most; x is sorted by group, then in Gray order.
+
+    In blocks, by descent from the pair of each group with itself. On the way down the differing bits among those that both nodes share add up,
+    each bit once; pairs of nodes beyond MOST are given up with all below them.
+    """
+    import numpy as np
+
+    if not len(x):
+        return
+    levels = _levels(x, np.zeros(len(x), dtype=np.int64) if group is None else group)
     top = len(levels) - 1
-    i, j = np.triu_indices(len(levels[top][0]))
-    todo = [(top, i, j, np.zeros(len(i), dtype=np.int64), np.zeros(len(i), dtype=np.uint64))]
+    i = np.arange(len(levels[top][0]))
+    todo = [(top, i, i, np.zeros(len(i), dtype=np.int64), np.zeros(len(i), dtype=np.uint64))]
     while todo:
         level, i, j, gathered, seen = todo.pop()
-        mask, pattern = levels[level]
+        mask, pattern, first, children = levels[level]
         shared = mask[i] & mask[j]
         gathered = gathered + np.bitwise_count((pattern[i] ^ pattern[j]) & shared & ~seen)
         keep = gathered <= MOST
         i, j, gathered, seen = i[keep], j[keep], gathered[keep], (shared | seen)[keep]
         if level == 0:
-            keep = i < j
-            yield i[keep], j[keep]
+            yield i, j
             continue
-        size = len(levels[level - 1][0])
         for at in range(0, len(i), 4096):
             part = slice(at, at + 4096)
-            a = (i[part, None] * FANOUT + np.repeat(np.arange(FANOUT), FANOUT)).ravel()
-            b = (j[part, None] * FANOUT + np.tile(np.arange(FANOUT), FANOUT)).ravel()
-            keep = (a < size) & (b < size) & (a <= b)
-            again = FANOUT * FANOUT
-            todo.append(
-                (level - 1, a[keep], b[keep], np.repeat(gathered[part], again)[keep], np.repeat(seen[part], again)[keep])
-            )
+            wide = children[j[part]]
+            pairs = children[i[part]] * wide
+            each = np.repeat(np.arange(len(pairs)), pairs)
+            place = np.arange(len(each)) - np.repeat(np.cumsum(pairs) - pairs, pairs)
+            a = first[i[part]][each] + place // wide[each]
+            b = first[j[part]][each] + place % wide[each]
+            keep = (a < b) if level == 1 else (a <= b)
+            todo.append((level - 1, a[keep], b[keep], gathered[part][each][keep], seen[part][each][keep]))
 
 
 def _hang(label, i, j):
@@ -157,17 +179,8 @@ def _forest(group, fp, doc):
     import numpy as np
 
     label = np.arange(len(fp))
-    sizes = np.bincount(group)
-    small = sizes[group] <= FANOUT
-    for step in range(1, FANOUT):  # nodes of one run: neighbours at each distance, for all nodes at once
-        i = np.flatnonzero(small[:-step] & (group[:-step] == group[step:]))
-        i = i[np.bitwise_count(fp[i] ^ fp[i + step]) <= MOST]
-        label = _hang(label, i, i + step)
-    starts = np.concatenate([[0], np.cumsum(sizes)])
-    for g in np.flatnonzero(sizes > FANOUT):
-        at = starts[g]
-        for i, j in _close_below(fp[at : starts[g + 1]]):
-            label = _hang(label, i + at, j + at)
+    for i, j in _close_below(fp, group):
+        label = _hang(label, i, j)
     linked = label != np.arange(len(fp))
     return doc[linked], doc[label[linked]]
 
@@ -242,17 +255,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     )
 
 
+@any_columns("doc_id", "text")
 def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The row of the smallest doc_id of each group; rows without doc_id stay. Columns as they come.
+    """The row of the smallest doc_id of each group; rows without doc_id stay. Columns as they come, of any name and type.
 
-    Of several rows with that doc_id, the one first by text hash, then text, stays.
+    Of several rows with that doc_id, the one first by text hash, then text, then the other columns as JSON, stays.
     """
     groups = near_duplicates(spark, docs.select("doc_id", "text"))
-    kept, place = fresh("kept", docs), fresh("place", docs)
-    ids = groups.where("doc_id = component_id").select(F.col("doc_id").alias(kept)).distinct()
-    found = docs.where("doc_id IS NOT NULL").join(ids, F.col("doc_id") == F.col(kept), "left_semi")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text", *(c for c in docs.columns if c not in ("doc_id", "text")))
-    found = found.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).drop(place)
+    ids = groups.where("doc_id = component_id").select(F.col("doc_id").alias("kept")).distinct()
+    found = docs.where("doc_id IS NOT NULL").join(ids, F.col("doc_id") == F.col("kept"), "left_semi")
+    others = [c for c in docs.columns if c.lower() not in ("doc_id", "text")]
+    last = F.to_json(F.struct(*others)) if others else F.lit("")
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text", last)
+    found = found.withColumn("place", F.row_number().over(first)).where("place = 1").drop("place")
     return found.unionByName(docs.where("doc_id IS NULL"))
 
 
