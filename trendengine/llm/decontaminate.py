@@ -20,7 +20,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendengine.llm.common import fresh, stored, table, utf8, with_column
+from trendengine.llm.common import any_columns, fresh, stored, table, utf8, with_column
 
 WINDOW = 13
 BLOCK = 2
@@ -162,6 +162,7 @@ def _contaminated(found: str):
     return (hit > 0) & (SHARE * hit >= F.col(f"{found}.n_words"))
 
 
+@any_columns("text")
 def drop_contaminated(spark: SparkSession, docs: DataFrame, bench: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with their columns as they came."""
     name = fresh("found", docs)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from trendengine.llm.common import fresh, table, with_column
+from trendengine.llm.common import any_columns, fresh, table, with_column
 
 BUCKETS = 1 << 14
 MODEL_BYTES = 256 << 20
@@ -153,6 +153,7 @@ def identify(spark: SparkSession, docs: DataFrame, model, name: str = "language"
     return with_column(docs, ["text"], name, StructType.fromDDL(f"x {KIND}")[0].dataType, make)
 
 
+@any_columns("doc_id", "text", "lang")
 def drop_unidentified(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Documents in a learned language, with their columns as they came; ``und`` goes."""
     name = fresh("language", docs)

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from trendengine.llm.common import fresh, stored, table, utf8
+from trendengine.llm.common import any_columns, fresh, stored, table, utf8
 from trendengine.llm.decontaminate import words
 
 FILE, HEADER = 0.5, 0.6
@@ -219,6 +219,7 @@ def verdicts(docs: DataFrame) -> DataFrame:
     return best.where(found.isNotNull()).select("digest", verdict.alias("verdict"))
 
 
+@any_columns("text")
 def scan(docs: DataFrame, name: str = "own") -> DataFrame:
     """``docs`` and a struct ``name``: kind (file, header, none), licence, cosine."""
     digest, verdict = fresh("digest", docs), fresh("verdict", docs)
@@ -235,7 +236,14 @@ def _parent(path):
 
 
 def inherit(scanned: DataFrame, own: str = "own", path: str = "path") -> DataFrame:
-    """``scanned`` and a struct ``given``: licence and the directory it comes from, for documents without one of their own."""
+    """``scanned`` and a struct ``given``: licence and the directory it comes from, for documents without one of their own.
+
+    Where the documents had a column ``own`` before `scan`, its struct is called ``own_``.
+    """
+    return any_columns("doc_id", own.lower(), path.lower())(_inherit)(scanned, own, path)
+
+
+def _inherit(scanned: DataFrame, own: str, path: str) -> DataFrame:
     directory, given = fresh("directory", scanned), fresh("given", scanned)
     placed = scanned.withColumn(directory, _parent(F.col(path)))
     files = placed.where((F.col(f"{own}.kind") == "file") & F.col(directory).isNotNull())

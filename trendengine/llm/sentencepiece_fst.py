@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from trendengine.llm.common import fresh, table, with_column
+from trendengine.llm.common import any_columns, fresh, table, with_column
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MODEL_BYTES = 16 << 20
@@ -299,6 +299,7 @@ def round_trip(spark: SparkSession, docs: DataFrame, model: str = MODEL, name: s
     return with_column(docs, ["text"], name, kind, _apply(_model(spark, model), True))
 
 
+@any_columns("text")
 def with_ids(spark: SparkSession, docs: DataFrame, model: str = MODEL) -> DataFrame:
     """The documents with ids and n_ids."""
     ids = fresh("ids", docs)

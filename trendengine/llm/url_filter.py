@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendengine.llm.common import fresh, table
+from trendengine.llm.common import any_columns, fresh, table
 
 SHORT = 8
 DEFAULT = "allow"
@@ -46,6 +46,7 @@ def _labels(host):
     return F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
 
 
+@any_columns("url")
 def judge(spark: SparkSession, pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFrame:
     """``pages`` and host, path, rule (or null), verdict; a clashing column of ``pages`` keeps its name, the new one grows."""
     rules = rules.dropna(subset=["rule_host", "rule_path"]).select(
