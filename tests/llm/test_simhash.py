@@ -83,7 +83,8 @@ def test_the_descent_returns_the_links_of_the_table(spark, monkeypatch):
     """Without the descent no link of the given table is found: small nodes go through the tree as well."""
     import numpy as np
 
-    fps = np.array(sorted({plain_fingerprint(r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}), dtype=np.uint64)
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    fps = np.unique(np.array([r.fp for r in simhash.fingerprints(docs).collect()], dtype=np.int64).view(np.uint64))
     found = 0
     for mask in map(np.uint64, simhash._parts(0)):
         x = fps[np.lexsort((simhash.gray_rank(fps), fps & mask))]
