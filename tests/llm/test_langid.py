@@ -60,3 +60,64 @@ def test_odd_rows(spark):
     assert g.drop_unidentified(spark, none).count() == 0
     unlabelled = docs.withColumn("lang", g.F.lit(None).cast("string"))
     assert {r.language_.lang for r in g.identify(spark, unlabelled, g.train(unlabelled), "language_").collect()} == {"und"}
+
+
+def test_any_number_of_labels(spark, monkeypatch):
+    """Counts in place of a full matrix predict the same; thousands of dirty labels are no error."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    langs, full = g.train(docs)
+    monkeypatch.setattr(g, "MODEL_BYTES", len(langs) * 4 * g.BUCKETS - 1)
+    names, counts = g.train(docs)
+    assert names == langs and isinstance(counts, g.Counts)
+    for r in docs.limit(100).collect():
+        one, other = g.infer(r.text, langs, full), g.infer(r.text, langs, counts)
+        assert one["lang"] == other["lang"] and abs(one["score"] - other["score"]) < 1e-3
+    dirty = spark.createDataFrame([(i, f"{w} {w}{i}", f"label {i}") for i, w in enumerate(["word", "other"] * 3000)], "doc_id long, text string, lang string")
+    monkeypatch.undo()
+    names, model = g.train(dirty)
+    assert len(names) > 4096 and g.infer("word word0", names, model)["lang"] in names
+
+
+def plain_mixture(text, langs, likelihoods):
+    """EM and the penalised choice, one trigram and language at a time."""
+    import math
+
+    at, counts = g.trigrams(text)
+    rows = [(float(c), [float(x) for x in likelihoods[b]]) for b, c in zip(at, counts)]
+    n = sum(c for c, _ in rows)
+
+    def em(cols, shares):
+        for _ in range(g.ROUNDS):
+            after = [0.0] * len(cols)
+            for c, p in rows:
+                total = sum(s * p[k] for s, k in zip(shares, cols))
+                for i, k in enumerate(cols):
+                    after[i] += shares[i] * p[k] * c / total / n
+            moved, shares = max(abs(a - b) for a, b in zip(after, shares)), after
+            if moved < 1e-3:
+                break
+        return shares, sum(c * math.log(sum(s * p[k] for s, k in zip(shares, cols))) for c, p in rows)
+
+    shares, _ = em(range(len(langs)), [1 / len(langs)] * len(langs))
+    order, best, chosen = sorted(range(len(langs)), key=lambda k: -shares[k]), -math.inf, None
+    for k in range(1, len(langs) + 1):
+        start = [max(shares[i], 1e-6) for i in order[:k]]
+        part, fit = em(order[:k], [s / sum(start) for s in start])
+        fit -= g.PENALTY * math.log(n + 1) * k
+        if fit <= best:
+            break
+        best, chosen = fit, dict(zip(order[:k], part))
+    top = min(chosen, key=lambda i: (-chosen[i], i))
+    return langs[top], chosen[top]
+
+
+def test_query_is_the_plain_mixture(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = g.train(docs)
+    found = {r.doc_id: r for r in g.query(spark, "/root/testdata/sf0.001").collect()}
+    for r in docs.collect():
+        if not any(c.isalpha() for c in r.text or ""):
+            assert found[r.doc_id].lang_pred == "und"
+            continue
+        lang, score = plain_mixture(r.text, *model)
+        assert found[r.doc_id].lang_pred == lang and abs(found[r.doc_id].score - score) < 1e-6
