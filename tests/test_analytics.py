@@ -257,3 +257,27 @@ def test_profiles_read_the_table_once(spark, tmp_path, profile):
     df = profile(spark.read.parquet(path))
     df.collect()
     assert scanned(df._jdf.queryExecution().executedPlan()) == 1000
+
+
+@pytest.mark.parametrize("name", ["regional_genre_share", "trend_rollups", "velocity", "rising_artists", "top_artists", "genre_direction"])
+def test_summaries_scan_the_raw_rows_once(spark, name):
+    from trendengine.plans.queries import REGISTRY
+
+    df = REGISTRY[name](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Join" not in plan
+
+
+def test_queries_read_the_tables_they_are_given_each_time(spark, tmp_path):
+    """A table that changes under its path changes the result: nothing is kept for the session."""
+    from trendengine.plans.queries import REGISTRY
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    path = str(tmp_path / "events.parquet")
+    events.where("event_id % 2 = 0").write.parquet(path)
+    names = ("fact_key_counts", "batch_date_from_path")
+    before = [REGISTRY[n](spark, str(tmp_path)).toPandas().iloc[:, -1].sum() for n in names]
+    events.write.mode("overwrite").parquet(path)
+    spark.catalog.refreshByPath(path)
+    after = [REGISTRY[n](spark, str(tmp_path)).toPandas().iloc[:, -1].sum() for n in names]
+    assert before[1] < after[1]

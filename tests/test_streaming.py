@@ -54,16 +54,67 @@ def test_stream_dedup_across_files(spark, tmp_path, raw_frame):
     assert take_in() == found and take_in() == found
 
 
-def test_a_micro_batch_that_comes_twice_counts_once(spark, tmp_path, raw_frame, monkeypatch):
+def _days(raw_frame, *days, score="1"):
+    return raw_frame(*(("A", str(i % 5), "pop|rock", "NV", day, score) for day in days for i in range(7)))
+
+
+def _found(spark, out):
+    return sorted(tuple(r) for r in spark.read.parquet(f"{out}/rows").select("id", "genres", "date", "trend_score").collect())
+
+
+def test_stored_rows_are_read_for_late_rows_only(spark, tmp_path, raw_frame, monkeypatch):
     root, out = str(tmp_path / "in"), str(tmp_path / "out")
-    _write(raw_frame(("A", "1", "pop", "NV", "2025-01-01", "1")), root, "2025_01_01")
+    asked, read = [], ST.stored_rows
+    monkeypatch.setattr(ST, "stored_rows", lambda s, o, n, months: (asked.append(sorted(months)), read(s, o, n, months))[1])
+
+    def take_in():
+        ST.dedup_stream(ST.read_raw_stream(spark, f"{root}/*/*.csv", files_per_trigger=1), out, f"{out}/state", delay="5 days")
+
+    # overlapping days, nothing older than the delay: state alone tells new keys from known ones
+    for n, days in enumerate((("2025-03-01", "2025-03-02"), ("2025-03-02", "2025-03-04"), ("2025-03-04", "2025-03-05"), ("2025-03-20",))):
+        _write(_days(raw_frame, *days, score=str(n)), root, f"2025_03_2{n}")
+        take_in()
+    assert asked == []
+    one = lambda day, score: [(str(i), g, day, score) for i in range(5) for g in ("pop", "rock")]
+    import datetime as dt
+
+    wanted = [x for d, n in ((1, 0.0), (2, 0.0), (4, 1.0), (5, 2.0), (20, 3.0)) for x in one(dt.date(2025, 3, d), n)]
+    assert _found(spark, out) == sorted(wanted)
+    # late: a known day, a new one, and one of another month; only these months are read
+    _write(_days(raw_frame, "2025-03-01", "2025-03-03", "2024-07-01", "2025-03-20", score="9"), root, "2025_03_30")
+    take_in()
+    wanted += one(dt.date(2025, 3, 3), 9.0) + one(dt.date(2024, 7, 1), 9.0)
+    assert asked == [[(2024, 7), (2025, 3)]] and _found(spark, out) == sorted(wanted)
+    take_in()
+    assert len(asked) == 1 and _found(spark, out) == sorted(wanted)
+
+
+def test_state_forgets_what_the_watermark_passed(spark, tmp_path, raw_frame):
+    root, out = str(tmp_path / "in"), str(tmp_path / "out")
+    kept = []
+    for n, day in enumerate(("2025-01-01", "2025-03-01", "2025-03-02")):
+        _write(_days(raw_frame, day), root, f"2025_03_2{n}")
+        query = ST.dedup_stream(ST.read_raw_stream(spark, f"{root}/*/*.csv"), out, f"{out}/state", delay="5 days")
+        kept.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert kept[-1] <= 20 and spark.read.parquet(f"{out}/rows").count() == 30
+
+
+def test_a_micro_batch_that_comes_twice_counts_once(spark, tmp_path, raw_frame, monkeypatch):
+    """The part after the state: its answer and the rows of a micro-batch are handed over again."""
+    out = str(tmp_path / "out")
     takes = []
     monkeypatch.setattr(ST, "run_batches", lambda raw, take, checkpoint: takes.append(take))
-    ST.dedup_stream(None, out, f"{out}/state")
-    rows = spark.read.schema("artist string, id string, genres string, location string, date string, trend_score string").option("header", "true").csv(f"{root}/*/*.csv")
-    for number in (0, 0, 1):
+    spark.createDataFrame([], ST.LANDED_SCHEMA).write.parquet(f"{out}/arrived/x")
+    ST.dedup_landed(spark, out, f"{out}/state", "5 days")
+    schema = "artist string, id string, genres string, location string, date date, trend_score double, batch_id long, known boolean"
+    import datetime as dt
+
+    row = ("A", "1", "pop", "NV", dt.date(2025, 1, 1), 1.0, 0, None)
+    first = spark.createDataFrame([row, (None, "1", "pop", "NV", dt.date(2025, 1, 1), None, None, False)], schema)
+    later = spark.createDataFrame([row[:4] + (dt.date(2025, 2, 1), 1.0, 1, None), row, (None, "1", "pop", "NV", dt.date(2025, 2, 1), None, None, False)], schema)
+    for rows, number in ((first, 0), (first, 0), (later, 1), (later, 1)):
         takes[0](rows, number)
-    assert spark.read.parquet(f"{out}/rows").count() == 1
+    assert sorted(str(r["date"]) for r in spark.read.parquet(f"{out}/rows").collect()) == ["2025-01-01", "2025-02-01"]
 
 
 def test_stream_keeps_rows_counts_and_dimensions(spark, tmp_path, raw_frame):

@@ -36,12 +36,12 @@ def fact_genre_trends(trends: DataFrame) -> DataFrame:
 def regional_genre_share(trends: DataFrame) -> DataFrame:
     """Share of each genre in the summed score of its location."""
     cells = trends.groupBy("location", "genres").agg(F.sum("trend_score").alias("score"))
-    totals = cells.groupBy("location").agg(F.sum("score").alias("total"))
-    return cells.join(totals, "location").select(
+    total = F.sum("score").over(W.partitionBy("location"))  # one row per genre
+    return cells.select(
         "location",
         "genres",
         _rounded(F.col("score"), "score"),
-        _rounded(F.try_divide(F.col("score"), F.col("total")), "share"),
+        _rounded(F.try_divide(F.col("score"), total), "share"),
     )
 
 

@@ -400,6 +400,7 @@ _BODIES = {
     "stream_clean": f"SELECT {_FACT} FROM exploded",
     "stream_counts": _SUMMARY,
     "stream_dedup": "SELECT * FROM trends",
+    "stream_dedup_late": f"SELECT {_FACT} FROM ({_first('exploded', 'id, genres, location, date', 'ingest_seq % 3 = 0, ingest_seq, genre_pos')})",
 }
 
 

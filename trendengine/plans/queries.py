@@ -75,6 +75,11 @@ def _trends(s, d):
     return dedup.dedup_trends(_exploded(s, d)).select(*FACT)
 
 
+def _scores(s, d):
+    """Keys and scores of the same rows, in one aggregate."""
+    return dedup.first_scores(_exploded(s, d))
+
+
 def _artist_rows(s, d):
     return analytics.artist_fact_rows(_clean(s, d))
 
@@ -116,18 +121,11 @@ def _listed_dims(s, root, fmt="parquet"):
     return enrich.union_playlists(parts)
 
 
-_WAREHOUSES: dict = {}
-
-
 def _warehouse(s, d, raw=fx.raw_trends):
-    """A cleaned table and its dimensions as the batch job leaves them, made once per session: (rows, artists, genres, locations)."""
-    key = (s.sparkContext.applicationId, d, raw.__name__)
-    if key not in _WAREHOUSES:
-        root = scratch_path(s, "warehouse")
-        path = writers.write_partitioned(batch.clean_trends(raw(s, d)), root, "2024_01_31")
-        batch.refresh_dims(s, readers.read_cleaned(s, path), f"{root}/dims")
-        _WAREHOUSES[key] = root, path
-    root, path = _WAREHOUSES[key]
+    """A cleaned table and its dimensions as the batch job leaves them: (rows, artists, genres, locations)."""
+    root = scratch_path(s, "warehouse")
+    path = writers.write_partitioned(batch.clean_trends(raw(s, d)), root, "2024_01_31")
+    batch.refresh_dims(s, readers.read_cleaned(s, path), f"{root}/dims")
     stored = [dim.valid(readers.read_dim(s, f"{root}/dims/{dim.name}", dim.schema)) for dim in dims.DIMENSIONS]
     return readers.read_cleaned(s, path), *stored
 
@@ -144,27 +142,20 @@ def _write_documents(rows, record, folders, path, size=5000):
     documents.write.partitionBy(*folders, "part").text(path)
 
 
-_ROOTS: dict[tuple[str, str], str] = {}
-
-
 def _batch_root(s: SparkSession, d: str) -> str:
-    """Raw rows as dated CSV batches, written once per session: three trend batches, and a
-    later folder that holds an artist list only."""
-    key = (s.sparkContext.applicationId, d)
-    if key not in _ROOTS:
-        root = scratch_path(s, "batches")
-        events, day = fx.table(s, d, "events"), F.to_date("ts")
-        start = dt.date(1970, 1, 1)
-        for end in BATCH_ENDS:
-            ended = F.lit(True) if end == BATCH_ENDS[-1] else day <= F.lit(end)
-            arrived = events.where((day > F.lit(start)) & ended)
-            path = writers.raw_path(root, f"{end:%Y_%m_%d}")
-            writers.write_csv(s.sql(fx.RAW_SQL, events=arrived).select(*RAW_COLUMNS), path)
-            start = end
-        record = F.struct("artist", "id", "scrape_date", "genres")
-        _write_documents(_artist_list(s, d), record, [], writers.raw_path(root, "2024_02_05", RISING_STEM, "json"))
-        _ROOTS[key] = root
-    return _ROOTS[key]
+    """Raw rows as dated CSV batches: three trend batches, and a later folder that holds an artist list only."""
+    root = scratch_path(s, "batches")
+    events, day = fx.table(s, d, "events"), F.to_date("ts")
+    start = dt.date(1970, 1, 1)
+    for end in BATCH_ENDS:
+        ended = F.lit(True) if end == BATCH_ENDS[-1] else day <= F.lit(end)
+        arrived = events.where((day > F.lit(start)) & ended)
+        path = writers.raw_path(root, f"{end:%Y_%m_%d}")
+        writers.write_csv(s.sql(fx.RAW_SQL, events=arrived).select(*RAW_COLUMNS), path)
+        start = end
+    record = F.struct("artist", "id", "scrape_date", "genres")
+    _write_documents(_artist_list(s, d), record, [], writers.raw_path(root, "2024_02_05", RISING_STEM, "json"))
+    return root
 
 
 def _read_back_csv(s, path, schema=RAW_SCHEMA):
@@ -310,9 +301,9 @@ def load_staging(s, d):
 @query
 def load_latest_batch(s, d):
     """The load step: the newest cleaned batch is found by name and handed to a sink."""
-    out, path = scratch_path(s, "transformed"), scratch_path(s, "staging")
-    for end in BATCH_ENDS[1:]:
-        batch.transform_batch(s, out, override=writers.raw_path(_batch_root(s, d), f"{end:%Y_%m_%d}"))
+    root, out, path = _batch_root(s, d), scratch_path(s, "transformed"), scratch_path(s, "staging")
+    for end in BATCH_ENDS:
+        batch.transform_batch(s, out, override=writers.raw_path(root, f"{end:%Y_%m_%d}"))
     day = batch.load_batch(s, out, lambda rows: rows.write.mode("append").parquet(path))
     return s.read.parquet(path).drop("load_timestamp").withColumn("batch_date", F.lit(day))
 
@@ -702,12 +693,12 @@ def fact_genre_trends(s, d):
 
 @query
 def regional_genre_share(s, d):
-    return analytics.regional_genre_share(_trends(s, d))
+    return analytics.regional_genre_share(_scores(s, d))
 
 
 @query
 def trend_rollups(s, d):
-    return analytics.trend_rollups(_trends(s, d))
+    return analytics.trend_rollups(_scores(s, d))
 
 
 @query
@@ -774,12 +765,12 @@ def dims_incremental(s, d):
 
 @query
 def velocity(s, d):
-    return analytics.velocity(_trends(s, d))
+    return analytics.velocity(_scores(s, d))
 
 
 @query
 def rising_artists(s, d):
-    return analytics.rising_artists(_trends(s, d))
+    return analytics.rising_artists(_scores(s, d))
 
 
 @query
@@ -789,12 +780,12 @@ def trajectory_7d(s, d):
 
 @query
 def genre_direction(s, d):
-    return analytics.genre_direction(analytics.fact_genre_trends(_trends(s, d)))
+    return analytics.genre_direction(analytics.fact_genre_trends(_scores(s, d)))
 
 
 @query
 def top_artists(s, d):
-    return analytics.top_artists(_trends(s, d))
+    return analytics.top_artists(_scores(s, d))
 
 
 @query
@@ -849,8 +840,20 @@ def stream_counts(s, d):
 @query
 def stream_dedup(s, d):
     """One file per micro-batch; started again after the end, which must add nothing."""
-    out = scratch_path(s, "stream")
+    root, out = _batch_root(s, d), scratch_path(s, "stream")
     for _ in range(2):
-        raw = stream.read_raw_stream(s, f"{_batch_root(s, d)}/*/*.csv", files_per_trigger=1)
-        stream.dedup_stream(raw, out, f"{out}/state")
+        raw = stream.read_raw_stream(s, f"{root}/*/*.csv", files_per_trigger=1)
+        stream.dedup_stream(raw, out, f"{out}/state", files_per_trigger=1)
+    return s.read.parquet(f"{out}/rows").select(*FACT)
+
+
+@query
+def stream_dedup_late(s, d):
+    """A third of the rows comes weeks late, among rows that are known by then; days older than three are late."""
+    root, out = scratch_path(s, "batches"), scratch_path(s, "stream")
+    raw, day = _raw(s, d), F.col("ingest_seq") % 3
+    for date, rows in (("2024_01_31", raw.where(day != 0)), ("2024_02_20", raw)):
+        writers.write_csv(rows.select(*RAW_COLUMNS), writers.raw_path(root, date))
+        found = stream.read_raw_stream(s, f"{root}/*/*.csv", files_per_trigger=1)
+        stream.dedup_stream(found, out, f"{out}/state", delay="3 days")
     return s.read.parquet(f"{out}/rows").select(*FACT)
