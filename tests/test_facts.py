@@ -1,0 +1,98 @@
+"""Facts by batch against the full recomputation; sketches against the values."""
+
+import datetime as dt
+import random
+
+import pytest
+
+from trendengine.operators import analytics, profile, sketches
+from trendengine.plans import facts
+from trendengine.schemas import CLEAN_SCHEMA
+
+
+@pytest.fixture
+def make(spark):
+    def rows(seed, n, days):
+        draw = random.Random(seed)
+        return spark.createDataFrame(
+            [("A", str(draw.randrange(40)), draw.choice(["pop", "rock", "dub"]), draw.choice(["NV", "CA"]), draw.choice(days), float(draw.randrange(101))) for _ in range(n)],
+            CLEAN_SCHEMA,
+        )
+
+    return rows
+
+
+def collected(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def stamps(tmp_path, month):
+    return {p.name: p.stat().st_mtime_ns for p in (tmp_path / "cells").rglob(f"month={month}/*.parquet")}
+
+
+def test_batches_equal_the_whole_and_untouched_months_stay(spark, tmp_path, make):
+    root = str(tmp_path)
+    jan, feb, mar = ([dt.date(2025, m, d) for d in (1, 15, 28)] for m in (1, 2, 3))
+    parts = [make(1, 300, jan + feb), make(2, 200, feb), make(3, 100, mar)]
+    assert facts.update_facts(spark, parts[0], root, "b1") == {(2025, 1), (2025, 2)}
+    january = stamps(tmp_path, 1)
+    assert facts.update_facts(spark, parts[1], root, "b2") == {(2025, 2)}
+    assert facts.update_facts(spark, parts[2], root, "b3") == {(2025, 3)}
+    assert january and stamps(tmp_path, 1) == january
+    whole = parts[0].union(parts[1]).union(parts[2])
+    check = lambda df: (collected(facts.genre_fact(spark, root)), collected(facts.rollups(spark, root))) == (
+        collected(analytics.fact_genre_trends(df)), collected(analytics.trend_rollups(df)))
+    assert check(whole)
+    facts.update_facts(spark, parts[1], root, "b2")  # again
+    assert check(whole)
+    # a corrected batch gives up a month that no other batch has, and touches another
+    again = make(4, 50, jan)
+    assert facts.update_facts(spark, again, root, "b3") == {(2025, 1), (2025, 3)}
+    assert check(parts[0].union(parts[1]).union(again)) and not stamps(tmp_path, 3)
+    assert facts.update_facts(spark, again.where("false"), root, "b9") == set()
+
+
+def test_a_run_after_a_crash_merges_what_the_crashed_one_touched(spark, tmp_path, make, monkeypatch):
+    root, jan, feb = str(tmp_path), [dt.date(2025, 1, 3)], [dt.date(2025, 2, 3)]
+    first, second = make(1, 100, jan + feb), make(2, 50, feb)
+    facts.update_facts(spark, first, root, "b1")
+    with monkeypatch.context() as m:
+        m.setattr(analytics, "merged_cells", lambda *a: (_ for _ in ()).throw(RuntimeError("crash")))
+        with pytest.raises(RuntimeError):  # partial cells are replaced, merged ones are not
+            facts.update_facts(spark, second, root, "b1")
+    assert facts.update_facts(spark, second, root, "b1") == {(2025, 1), (2025, 2)}
+    assert collected(facts.genre_fact(spark, root)) == collected(analytics.fact_genre_trends(second))
+
+
+def test_empty_store(spark, tmp_path):
+    assert facts.genre_fact(spark, str(tmp_path)).count() == 0
+
+
+def test_merged_states_stay_within_their_bounds(spark):
+    draw = random.Random(3)
+    rows = [(f"id {draw.randrange(30_000)}", f"g{int(draw.paretovariate(0.7)) % 5000}", draw.gauss(50, 20), i % 3) for i in range(60_000)]
+    rows += [("id x", "g1", None, 0), ("id y", "g1", float("nan"), 1)]
+    df = spark.createDataFrame(rows, "id string, genres string, trend_score double, b int").cache()
+    states = sketches.profile_states(df.where("b = 0"), "0")
+    for b in (1, 2):
+        states = states.union(sketches.profile_states(df.where(f"b = {b}"), str(b)))
+    merged = sketches.merged_profile(states)
+    found, exact = merged.head(), profile.describe_scores(df).head()
+    assert (found["n_batches"], found["n_rows"], found["min"], found["max"]) == (3, 60_000, exact["min"], exact["max"])
+    values = sorted(r[2] for r in rows if r[2] is not None and r[2] == r[2])
+    for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")):
+        assert abs(sum(v <= found[name] for v in values) / len(values) - p) <= sketches.RANK_ERROR + 1e-4
+    for name, n in (("n_distinct", exact["n_distinct"]), ("n_keys", len({r[0] for r in rows}))):
+        assert abs(found[name] - n) <= sketches.DISTINCT_ERROR * n
+    from collections import Counter
+
+    top = Counter(r[1] for r in rows).most_common(2)
+    assert [i["item"] for i in found["frequent"]][:2] == [g for g, _ in top]
+    assert all(r["within"] for r in sketches.within_bounds(df, merged).collect())
+    df.unpersist()
+
+
+def test_states_of_no_rows(spark):
+    df = spark.createDataFrame([], "id string, genres string, trend_score double")
+    found = sketches.merged_profile(sketches.profile_states(df, "0")).head()
+    assert found["n_rows"] == 0 and found["n_keys"] == 0

@@ -24,12 +24,33 @@ def _rounded(c: Column, name: str) -> Column:
     return F.round(F.round(c, PLACES + 3), PLACES).alias(name)
 
 
+def trend_cells(trends: DataFrame, *keys: str) -> DataFrame:
+    """Count, sum and maximum of the scores per key: cells that add up, so those of several batches merge (`merged_cells`)."""
+    return trends.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("trend_score").alias("s"),
+        F.max("trend_score").alias("m"),
+    )
+
+
+def merged_cells(cells: DataFrame, *keys: str) -> DataFrame:
+    return cells.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.max("m").alias("m"))
+
+
 def fact_genre_trends(trends: DataFrame) -> DataFrame:
     """Scores per genre, location and day."""
-    return trends.groupBy("genres", "location", "date").agg(
-        _rounded(F.avg("trend_score"), "avg_score"),
-        F.max("trend_score").alias("max_score"),
-        F.count(F.lit(1)).alias("n_artists"),
+    return genre_fact_of(trend_cells(trends, "genres", "location", "date"))
+
+
+def genre_fact_of(cells: DataFrame) -> DataFrame:
+    """The genre fact from its merged cells."""
+    return cells.select(
+        "genres",
+        "location",
+        "date",
+        _rounded(F.col("s") / F.col("n"), "avg_score"),
+        F.col("m").alias("max_score"),
+        F.col("n").alias("n_artists"),
     )
 
 
@@ -50,11 +71,15 @@ def trend_rollups(trends: DataFrame) -> DataFrame:
 
     Grouping sets copy each input row once per set, so they run over the cells.
     """
-    cells = trends.groupBy("genres", "location").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("trend_score").alias("s"),
-        F.max("trend_score").alias("m"),
-    )
+    return _cube(trend_cells(trends, "genres", "location"))
+
+
+def rollups_of(cells: DataFrame) -> DataFrame:
+    """Totals from finer cells, such as those of the genre fact."""
+    return _cube(merged_cells(cells, "genres", "location"))
+
+
+def _cube(cells: DataFrame) -> DataFrame:
     return cells.cube("genres", "location").agg(
         F.sum("n").alias("n_rows"),
         _rounded(F.sum("s") / F.sum("n"), "avg_score"),

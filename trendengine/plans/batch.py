@@ -18,6 +18,7 @@ from trendengine.operators.clean import clean
 from trendengine.operators.enrich import staging_rows
 from trendengine.operators.explode import explode_genres
 from trendengine.session import remove_folder
+from trendengine.sinks.bulk_load import bulk_load
 from trendengine.sinks.writers import append_rows, init_table, write_partitioned
 from trendengine.sources.batches import latest_with_file, resolve_input
 from trendengine.sources.readers import read_cleaned, read_dim, read_raw_csv, with_file_order
@@ -112,3 +113,9 @@ def load_batch(spark: SparkSession, out_root: str, sink: Callable[[DataFrame], N
         return None
     sink(rows)
     return batch_date
+
+
+def load_batch_files(spark: SparkSession, out_root: str, path: str) -> str | None:
+    """`load_batch` as files that the warehouse copies in: the batch is published by one manifest, and a second run replaces it."""
+    batch_date = latest_cleaned(spark, out_root)[1]
+    return load_batch(spark, out_root, lambda rows: bulk_load(rows, path, batch_date))

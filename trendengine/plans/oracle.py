@@ -214,6 +214,9 @@ _BODIES = {
     "load_staging": f"""
         SELECT coalesce(artist, '') AS artist, id, genres AS genre, location AS state_code, name AS state_name, date, trend_score
         FROM exploded LEFT JOIN (VALUES {_STATES}) st(code, name) ON location = code""",
+    "load_copy": f"""
+        SELECT coalesce(artist, '') AS artist, id, genres AS genre, location AS state_code, name AS state_name, date, trend_score
+        FROM exploded LEFT JOIN (VALUES {_STATES}) st(code, name) ON location = code""",
     "load_latest_batch": f"""
         SELECT coalesce(artist, '') AS artist, id, genres AS genre, location AS state_code, name AS state_name, date, trend_score, batch_date
         FROM exploded JOIN batch_of ON ingest_seq = event_id LEFT JOIN (VALUES {_STATES}) st(code, name) ON location = code
@@ -348,6 +351,14 @@ _BODIES = {
         SELECT genres, location, count(*) AS n_rows, round(avg(trend_score), 6) AS avg_score, max(trend_score) AS max_score,
           CAST(GROUPING_ID(genres, location) AS BIGINT) AS level FROM trends
         GROUP BY GROUPING SETS ((genres, location), (genres), (location), ())""",
+    "trend_rollups_incremental": """
+        SELECT genres, location, count(*) AS n_rows, round(avg(trend_score), 6) AS avg_score, max(trend_score) AS max_score,
+          CAST(GROUPING_ID(genres, location) AS BIGINT) AS level FROM trends
+        GROUP BY GROUPING SETS ((genres, location), (genres), (location), ())""",
+    "fact_genre_incremental": "SELECT * FROM genre_fact",
+    "sketch_profile": """
+        SELECT metric, (SELECT count(*) FROM exploded) AS n_rows, true AS "within"
+        FROM (VALUES ('p25'), ('p50'), ('p75'), ('n_distinct'), ('n_keys')) AS t(metric)""",
     "dedup_artists_last": f"""
         SELECT artist, id, coalesce(array_to_string(genres, ';'), '') AS genres, '{RUN_TS}' AS scrape_date FROM artists_last""",
     "dedup_trends": "SELECT * FROM trends",

@@ -13,8 +13,8 @@ from trendengine.constants import MARKETS, RISING_STEM
 from trendengine.functions import genres as G
 from trendengine.functions import scores as S
 from trendengine.functions import text as X
-from trendengine.operators import analytics, clean, dedup, dims, enrich, explode, profile, quality, reshape
-from trendengine.plans import batch
+from trendengine.operators import analytics, clean, dedup, dims, enrich, explode, profile, quality, reshape, sketches
+from trendengine.plans import batch, facts
 from trendengine.schemas import (
     ARTIST_OBJECT_SCHEMA,
     CLEAN_SCHEMA,
@@ -23,7 +23,7 @@ from trendengine.schemas import (
     RISING_SCHEMA,
 )
 from trendengine.session import scratch_path
-from trendengine.sinks import writers
+from trendengine.sinks import bulk_load, writers
 from trendengine.sources import batches, readers
 from trendengine.streaming import stream
 
@@ -298,6 +298,26 @@ def load_staging(s, d):
     return s.read.parquet(path).drop("load_timestamp")
 
 
+def _by_batch(rows):
+    """(batch date, rows) of the days of each batch."""
+    start = None
+    for end in BATCH_ENDS:
+        here = F.col("date") > F.lit(start) if start else F.lit(True)
+        yield f"{end:%Y_%m_%d}", rows.where(here & (F.lit(True) if end == BATCH_ENDS[-1] else F.col("date") <= F.lit(end)))
+        start = end
+
+
+@query
+def load_copy(s, d):
+    """Batches as files to copy in, one manifest each; every batch is loaded twice, the first time cut short."""
+    path, rows = scratch_path(s, "bulk"), _stored_exploded(s, d)
+    for day, batch_rows in _by_batch(rows):
+        staged = enrich.staging_rows(batch_rows).drop("load_timestamp")
+        bulk_load.bulk_load(staged.where("state_code <> 'NV'"), path, day)
+        bulk_load.bulk_load(staged, path, day)
+    return bulk_load.read_bulk(s, path, staged.schema)
+
+
 @query
 def load_latest_batch(s, d):
     """The load step: the newest cleaned batch is found by name and handed to a sink."""
@@ -691,6 +711,36 @@ def fact_genre_trends(s, d):
     return batch.genre_facts(_raw(s, d))
 
 
+def _facts_by_batch(s, d):
+    """Cells of all batches, taken in one by one; the second one comes twice, the first time without a region."""
+    root = scratch_path(s, "facts")
+    rows = _trends(s, d).where("date IS NOT NULL")
+    for n, (day, fresh) in enumerate(_by_batch(rows)):
+        if n == 1:
+            facts.update_facts(s, fresh.where("location <> 'NV'"), root, day)
+        facts.update_facts(s, fresh, root, day)
+    return root
+
+
+@query
+def fact_genre_incremental(s, d):
+    return facts.genre_fact(s, _facts_by_batch(s, d))
+
+
+@query
+def trend_rollups_incremental(s, d):
+    return facts.rollups(s, _facts_by_batch(s, d))
+
+
+@query
+def sketch_profile(s, d):
+    """Quartiles and distinct counts from the merged states of three batches, against the values."""
+    rows, path = _stored_exploded(s, d), scratch_path(s, "states")
+    for day, part in _by_batch(rows):
+        sketches.profile_states(part, day).write.mode("append").parquet(path)
+    return sketches.within_bounds(rows, sketches.merged_profile(s.read.parquet(path)))
+
+
 @query
 def regional_genre_share(s, d):
     return analytics.regional_genre_share(_scores(s, d))
@@ -843,7 +893,7 @@ def stream_dedup(s, d):
     root, out = _batch_root(s, d), scratch_path(s, "stream")
     for _ in range(2):
         raw = stream.read_raw_stream(s, f"{root}/*/*.csv", files_per_trigger=1)
-        stream.dedup_stream(raw, out, f"{out}/state", files_per_trigger=1)
+        stream.dedup_stream(raw, out, f"{out}/state", files_per_trigger=4)
     return s.read.parquet(f"{out}/rows").select(*FACT)
 
 
