@@ -281,3 +281,21 @@ def test_queries_read_the_tables_they_are_given_each_time(spark, tmp_path):
     spark.catalog.refreshByPath(path)
     after = [REGISTRY[n](spark, str(tmp_path)).toPandas().iloc[:, -1].sum() for n in names]
     assert before[1] < after[1]
+
+
+def test_control_limits_alert_on_jumps_and_drift_only(spark):
+    import random
+
+    draw = random.Random(4)
+    level = [10 + draw.uniform(-1, 1) for _ in range(40)]
+    series = {
+        "still": level, "jump": level[:30] + [40.0] + level[31:], "drift": level[:20] + [v + 0.25 * i for i, v in enumerate(level[20:])],
+        "constant": [0.0] * 40, "short": level[:3] + [90.0],
+    }
+    rows = [(f"{i:03}", name, float(v)) for name, values in series.items() for i, v in enumerate(values)]
+    found = {(r.metric, int(r.batch)): r for r in Q.control_limits(spark.createDataFrame(rows, "batch string, metric string, value double")).collect()}
+    alerts = {m: [i for (x, i), r in sorted(found.items()) if x == m and r.outside] for m in series}
+    assert alerts["still"] == alerts["constant"] == alerts["short"] == [] and alerts["jump"] == [30]
+    assert not any(r.drifting for (m, _), r in found.items() if m in ("still", "constant"))
+    drifting = [i for (m, i), r in sorted(found.items()) if m == "drift" and r.drifting]
+    assert drifting and drifting[0] < 36 and drifting[-1] == 39

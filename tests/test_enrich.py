@@ -128,3 +128,20 @@ def test_several_genres_fail_the_load(spark):
     assert assert_single_genre(good).count() == 2
     with pytest.raises(PySparkException):
         assert_single_genre(spark.createDataFrame([("pop;rock",)], "genre string")).collect()
+
+
+def test_an_upsert_replaces_only_the_buckets_it_touches(spark, tmp_path):
+    from trendengine.operators import enrich
+
+    root = str(tmp_path)
+    rows = lambda ids, v: spark.createDataFrame([(i, v) for i in ids], "k long, v string")
+    names = lambda: {str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*.parquet")}
+    assert enrich.upsert_buckets(spark, root, rows(range(200), "a"), ["k"], 16) == list(range(16))
+    before = names()
+    touched = enrich.upsert_buckets(spark, root, rows([3, 1000], "b"), ["k"], 16)
+    assert 1 <= len(touched) <= 2
+    kept = {n for n in before if int(n.split("bucket=")[1].split("/")[0]) not in touched}
+    assert kept and kept <= names() and not (before - kept) & names()
+    wanted = {**dict.fromkeys(range(200), "a"), 3: "b", 1000: "b"}
+    assert {r.k: r.v for r in enrich.read_buckets(spark, root).collect()} == wanted
+    assert enrich.upsert_buckets(spark, root, rows([], "c"), ["k"], 16) == [] and enrich.read_buckets(spark, root).count() == 201

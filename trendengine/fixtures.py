@@ -136,8 +136,8 @@ def nested_tracks(flat: DataFrame) -> DataFrame:
     return flat.select("playlist", "position", track.alias("track"))
 
 
-def enriched_lines(rows: DataFrame) -> DataFrame:
-    """JSON lines in both spellings of the enriched record, from clean rows."""
+def enriched_lines(rows: DataFrame, *kept: str) -> DataFrame:
+    """JSON lines in both spellings of the enriched record, from clean rows; columns ``kept`` stay beside them."""
     from pyspark.sql import functions as F
 
     key = F.concat(F.lit("daily_trends_"), F.col("location"))
@@ -154,4 +154,4 @@ def enriched_lines(rows: DataFrame) -> DataFrame:
     line = F.concat(
         F.regexp_replace(record, r"\}$", ""), F.lit(',"daily_trends_US_only":true,'), body, F.lit("}")
     )
-    return rows.select(line.alias("value"))
+    return rows.select(line.alias("value"), *kept)

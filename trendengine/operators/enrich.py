@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ from trendengine.functions import text as X
 from trendengine.operators.clean import require_columns
 from trendengine.operators.dedup import keep_first, keep_last
 from trendengine.operators.joins import spread_join
+from trendengine.session import remove_folder
+from trendengine.sources.batches import folder_names
 
 
 def state_table(spark: SparkSession) -> DataFrame:
@@ -136,6 +139,40 @@ def cache_upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return keep_last(both, keys, "_gen").drop("_gen")
 
 
+#: Buckets of a stored cache. It is part of the layout: another number needs a new folder.
+CACHE_BUCKETS = 64
+
+
+def in_buckets(entries: DataFrame, keys: list[str], buckets: int = CACHE_BUCKETS) -> DataFrame:
+    return entries.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
+def upsert_buckets(spark: SparkSession, root: str, new: DataFrame, keys: list[str], buckets: int = CACHE_BUCKETS) -> list[int]:
+    """`cache_upsert` on a stored cache, ``<root>/data/bucket=…``: only buckets with new entries are read and replaced. Their numbers.
+
+    New entries are written beside the cache first, then merged with what their buckets hold; a run that is cut short leaves the cache
+    as it was, or with some buckets replaced whole, and may be repeated.
+    """
+    data, staged = f"{root}/data", f"{root}/_staged-{uuid.uuid4().hex}"
+    in_buckets(new, keys, buckets).write.parquet(f"{staged}/new")
+    new = spark.read.parquet(f"{staged}/new")
+    touched = sorted(r[0] for r in new.select("bucket").distinct().collect())  # as many as there are buckets
+    if touched:
+        if folder_names(spark, data):
+            old = spark.read.schema(new.schema).parquet(data).where(F.col("bucket").isin(touched))
+            new = cache_upsert(old, new, [*keys, "bucket"])
+        new.select(*new.columns).write.parquet(f"{staged}/merged")
+        merged = spark.read.schema(new.schema).parquet(f"{staged}/merged")
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(data)
+    remove_folder(spark, staged)
+    return touched
+
+
+def read_buckets(spark: SparkSession, root: str) -> DataFrame:
+    """All entries of a stored cache."""
+    return spark.read.parquet(f"{root}/data").drop("bucket")
+
+
 def merge_cached_scores(cached: DataFrame, fresh: DataFrame, keys: list[str]) -> DataFrame:
     """Scores per request: the cached ones, else those just fetched.
 

@@ -47,6 +47,54 @@ def unpivot_trends(lines: DataFrame, value: str = "value", mode: str = "FAILFAST
     ).where(F.col("trend_score").isNotNull())
 
 
+def parsed_records(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Lines that are not blank, with their record as a VARIANT ``v``; null where a line is no JSON object or names a key twice."""
+    rows = lines.where(F.trim(value) != "").withColumn("v", F.try_parse_json(value))
+    return rows.withColumn("v", F.when(F.schema_of_variant("v").startswith("OBJECT"), F.col("v")))
+
+
+def rejected_records(parsed: DataFrame, value: str = "value") -> DataFrame:
+    """Broken lines, each with the place of a first look: cut short, no object, or other."""
+    text = F.trim(value)
+    reason = (
+        F.when(text.startswith("{") & ~text.endswith("}"), "cut short").when(~text.startswith("{"), "no object").otherwise("malformed")
+    )
+    return parsed.where("v IS NULL").select(F.col(value), reason.alias("reason"))
+
+
+def unpivot_records(parsed: DataFrame) -> DataFrame:
+    """`unpivot_trends` over parsed records: long rows from keys that are data. The record is parsed once, its keys become rows as they are.
+
+    Broken lines have no rows here; `rejected_records` has them.
+    """
+    text = lambda v, path="$": F.try_variant_get(v, path, "string")
+    is_object = lambda c: f"schema_of_variant({c}) LIKE 'OBJECT%'"
+    genres = F.when(
+        F.schema_of_variant(F.try_variant_get("v", "$.genres", "variant")).startswith("ARRAY"),
+        X.join_list(F.try_variant_get("v", "$.genres", "array<string>")),
+    ).otherwise(F.coalesce(text("v", "$.genres"), F.lit("")))
+    records = parsed.where("v IS NOT NULL").select("v", text("v", "$.artist").alias("artist"), text("v", "$.id").alias("id"), genres.alias("genres"))
+    spark = parsed.sparkSession
+    # a score by itself is one row with an empty day; a map of scores gives its own
+    found = spark.sql(
+        f"""SELECT artist, id, genres, e.key AS k, coalesce(d.key, '') AS day, coalesce(d.value, e.value) AS score
+        FROM {{records}}, LATERAL variant_explode(v) AS e,
+          LATERAL variant_explode_outer(CASE WHEN {is_object("e.value")} THEN e.value END) AS d
+        WHERE startswith(e.key, '{TREND_KEY_PREFIX}') AND NOT is_variant_null(e.value)""",
+        records=records,
+    )
+    key = F.when(F.col("day") == "", F.col("k")).otherwise(F.concat_ws("_", "k", "day"))
+    part = lambda i: F.regexp_extract("k", TREND_KEY_PATTERN, i)
+    return found.withColumn("k", key).where(F.col("k").rlike(TREND_KEY_PATTERN)).select(
+        "artist",
+        "id",
+        "genres",
+        F.upper(part(1)).alias("location"),
+        S.to_day(part(2)).alias("date"),
+        text("score").try_cast("double").alias("trend_score"),
+    ).where(F.col("trend_score").isNotNull())
+
+
 def processed_artists(lines: DataFrame, value: str = "value") -> DataFrame:
     """Names already in the enriched lines, for a run that goes on where another stopped; broken lines have none."""
     name = F.trim(F.get_json_object(F.col(value), "$.artist"))

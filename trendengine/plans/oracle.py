@@ -7,7 +7,7 @@ import re
 from trendengine import fixtures as fx
 from trendengine.constants import MARKETS, REGION_CODES, STATE_NAMES, WHITESPACE, WORD
 from trendengine.plans.queries import BATCH_ENDS, MONTH, RUN_TS
-from trendengine.operators.quality import THRESHOLDS
+from trendengine.operators.quality import DRIFT_WIDTH, HISTORY, LEAST_HISTORY, LEAST_SPREAD, MAD_TO_SIGMA, NEWEST, THRESHOLDS, WIDTH
 
 
 def _list(values) -> str:
@@ -253,6 +253,14 @@ _BODIES = {
     "explode_genres": "SELECT * FROM exploded",
     "unpivot_trends": "SELECT artist, id, genres, location, date, trend_score FROM cleaned".replace(
         "genres,", "array_to_string(string_split(genres, ';'), '; ') AS genres,"),
+    "unpivot_variant": "SELECT artist, id, array_to_string(string_split(genres, ';'), '; ') AS genres, location, date, trend_score FROM cleaned "
+    "WHERE ingest_seq % 50 <> 0 AND ingest_seq % 49 <> 0",
+    "unpivot_rejects": """
+        SELECT CASE WHEN ingest_seq % 50 = 0 THEN 'cut short' ELSE 'no object' END AS reason, count(*) AS n FROM cleaned
+        WHERE ingest_seq % 50 = 0 OR ingest_seq % 49 = 0 GROUP BY ALL""",
+    "land_records": """
+        SELECT count(*) FILTER (WHERE NOT bad) AS n_rows, count(*) FILTER (WHERE bad) AS n_aside, count(*) FILTER (WHERE bad) AS n_broken
+        FROM (SELECT ingest_seq % 50 = 0 OR ingest_seq % 49 = 0 AS bad FROM cleaned)""",
     "land_enriched_batch": f"""
         SELECT artist, id, trim(coalesce(nullif(array_to_string(string_split(genres, ';'), '; '), ''), 'Unknown')) AS genres, location, date, trend_score,
           '2024_02_01' AS batch_date FROM cleaned""",
@@ -286,6 +294,11 @@ _BODIES = {
         SELECT artist_key, geo, month, day, score FROM score_days WHERE status = 'O'
         UNION ALL SELECT artist_key, geo, month, day, score FROM score_days
         ANTI JOIN renewed USING (artist_key, geo, month) WHERE status = 'F'""",
+    "cache_upsert_buckets": """
+        WITH_ renewed AS (SELECT DISTINCT artist_key, geo, month FROM order_scores WHERE status = 'O')
+        SELECT artist_key, geo, month, day, score FROM score_days WHERE status = 'O'
+        UNION ALL SELECT artist_key, geo, month, day, score FROM score_days
+        ANTI JOIN renewed USING (artist_key, geo, month) WHERE status = 'F'""",
     "fact_with_keys": """
         SELECT artist_id, genre_id, location_id, date, trend_score FROM trends JOIN d_artists ON id = spotify_id
         JOIN d_genres ON genres = genre JOIN d_locations ON location = state_code""",
@@ -407,6 +420,24 @@ _BODIES = {
         SELECT count(*) AS n_rows, count(*) FILTER (WHERE NOT regexp_matches(location, '^[A-Z]{2}$')) AS bad_locations,
           min(length(id)) AS min_id_length, max(length(id)) AS max_id_length, count(DISTINCT length(id)) AS n_id_lengths FROM cleaned""",
     "dq_report": _DQ,
+    "control_limits": f"""
+        WITH_ days AS (SELECT event_id, CAST(ts AS DATE) AS day FROM events),
+        planted AS (
+          SELECT typed.* REPLACE (CASE WHEN day >= DATE '2024-01-28' AND ingest_seq % 2 = 0 THEN NULL ELSE location END AS location), day
+          FROM typed JOIN days ON event_id = ingest_seq),
+        shares AS (
+          SELECT CAST(day AS VARCHAR) AS batch, unnest(['missing_keys', 'score_out_of_range', 'missing_genres', 'location_not_two_letters', 'bad_dates']) AS metric,
+            unnest([count(*) FILTER (WHERE id IS NULL OR location IS NULL OR date IS NULL), count(*) FILTER (WHERE {_BAD_SCORE}),
+              count(*) FILTER (WHERE genres IS NULL OR genres = 'Unknown'), count(*) FILTER (WHERE length(location) <> 2), count(*) FILTER (WHERE date IS NULL)])
+              * 100.0::DOUBLE / count(*) AS value
+          FROM planted GROUP BY day),
+        past AS (SELECT *, coalesce(list(value) OVER (PARTITION BY metric ORDER BY batch ROWS BETWEEN {HISTORY} PRECEDING AND 1 PRECEDING), []) AS p FROM shares),
+        mid AS (SELECT *, list_aggregate(p, 'median') AS c FROM past),
+        wide AS (SELECT *, greatest({MAD_TO_SIGMA}::DOUBLE * list_aggregate(list_transform(p, lambda v: abs(v - c)), 'median'), {LEAST_SPREAD}::DOUBLE) AS w FROM mid),
+        smooth AS (SELECT *, list_reduce(list_concat([c], p, [value]), lambda a, v: {1 - NEWEST}::DOUBLE * a + {NEWEST}::DOUBLE * v) AS e FROM wide)
+        SELECT batch, metric, round(value, 6) AS value, len(p)::BIGINT AS n_before, round(c, 6) AS center, round(w, 6) AS spread,
+          coalesce(len(p) >= {LEAST_HISTORY} AND abs(value - c) > {WIDTH}::DOUBLE * w, false) AS outside,
+          coalesce(len(p) >= {LEAST_HISTORY} AND abs(e - c) > {DRIFT_WIDTH}::DOUBLE * sqrt({NEWEST}::DOUBLE / (2 - {NEWEST}::DOUBLE)) * w, false) AS drifting FROM smooth""",
     # streams
     "stream_clean": f"SELECT {_FACT} FROM exploded",
     "stream_counts": _SUMMARY,

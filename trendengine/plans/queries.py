@@ -482,6 +482,36 @@ def unpivot_trends(s, d):
     return reshape.unpivot_trends(readers.read_json_lines(s, path))
 
 
+def _broken_lines(s, d):
+    """Enriched lines, every 50th one cut short and every 49th no object."""
+    path, lines = scratch_path(s, "enriched"), fx.enriched_lines(_clean(s, d), "ingest_seq")
+    short, seq = F.expr("substr(value, 1, length(value) - 3)"), F.col("ingest_seq")
+    lines.select(F.when(seq % 50 == 0, short).when(seq % 49 == 0, '["a", 1]').otherwise(F.col("value")).alias("value")).write.text(path)
+    return path
+
+
+@query
+def unpivot_variant(s, d):
+    """Records as VARIANT; lines that are broken on the way give no rows and end nothing."""
+    return reshape.unpivot_records(reshape.parsed_records(readers.read_json_lines(s, _broken_lines(s, d))))
+
+
+@query
+def unpivot_rejects(s, d):
+    parsed = reshape.parsed_records(readers.read_json_lines(s, _broken_lines(s, d)))
+    return reshape.rejected_records(parsed).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query
+def land_records(s, d):
+    """Lines, some of them broken, to a raw batch; the broken ones are counted and set aside."""
+    root = scratch_path(s, "raw")
+    path, n = writers.land_records(s, _broken_lines(s, d), root, "2024_02_01")
+    aside = s.read.schema("value string, reason string").json(f"{root}/2024_02_01/quarantine")
+    rows = _read_back_csv(s, path).agg(F.count("*").alias("n_rows"))
+    return rows.crossJoin(aside.agg(F.count("*").alias("n_aside"))).withColumn("n_broken", F.lit(n).cast("long"))  # one row each
+
+
 @query
 def land_enriched_batch(s, d):
     """Enriched lines to a raw batch, read back and cleaned as any other."""
@@ -592,6 +622,15 @@ def cache_upsert(s, d):
     return merged.select(*_REQUEST, F.explode("scores").alias("day", "score"))
 
 
+@query
+def cache_upsert_buckets(s, d):
+    """The same entries in a stored cache, where an upsert replaces only the buckets it touches."""
+    root, scores = scratch_path(s, "cache"), _order_scores(s, d)
+    for status in ("F", "O"):
+        enrich.upsert_buckets(s, root, _score_maps(scores.where(F.col("status") == status)), _REQUEST)
+    return enrich.read_buckets(s, root).select(*_REQUEST, F.explode("scores").alias("day", "score"))
+
+
 @query
 def fact_with_keys(s, d):
     rows, artists, genres, locations = _warehouse(s, d)
@@ -866,6 +905,15 @@ def dq_report(s, d):
     return quality.dq_report(_typed(s, d))
 
 
+@query
+def control_limits(s, d):
+    """Shares of defects per day against the days before; in the last days one of them is planted to rise."""
+    raw = _raw(s, d).join(fx.table(s, d, "events").select(F.col("event_id").alias("ingest_seq"), F.to_date("ts").alias("day")), "ingest_seq")
+    planted = (F.col("day") >= F.lit("2024-01-28").cast("date")) & (F.col("ingest_seq") % 2 == 0)
+    typed = clean.type_columns(raw.withColumn("location", F.when(~planted, F.col("location"))))
+    return quality.control_limits(quality.batch_metrics(typed, F.col("day").cast("string")))
+
+
 # ---- streams ------------------------------------------------------------------------------
 
 

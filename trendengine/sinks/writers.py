@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from trendengine.constants import CLEANED_STEM, RAW_STEM
-from trendengine.operators.reshape import unpivot_trends
+from trendengine.operators.reshape import parsed_records, rejected_records, unpivot_records, unpivot_trends
 from trendengine.schemas import RAW_COLUMNS
 from trendengine.sources.readers import CSV_OPTIONS, empty_table, read_json_lines, read_raw_csv
 
@@ -82,6 +82,21 @@ def land_enriched_batch(spark: SparkSession, lines: str, root: str, batch_date:
     return write_csv(rows, path)
 
 
+def land_records(spark: SparkSession, lines: str, root: str, batch_date: str) -> tuple[str, int]:
+    """`land_enriched_batch` that broken lines do not end: they go to ``<root>/<date>/quarantine`` with a reason; path and their number.
+
+    Lines are counted while the rows are written; only if there are broken ones are the lines read again.
+    """
+    parsed = parsed_records(read_json_lines(spark, lines))
+    broken = Observation()
+    counted = parsed.observe(broken, F.count_if(F.col("v").isNull()).alias("n"))
+    path = write_csv(unpivot_records(counted).select(*RAW_COLUMNS), raw_path(root, batch_date))
+    n = broken.get["n"]
+    if n:
+        rejected_records(parsed).write.mode("overwrite").json(f"{root.rstrip('/')}/{batch_date}/quarantine")
+    return path, n
+
+
 def land_raw_batch(spark: SparkSession, source: str, root: str, batch_date: str) -> str:
     """Copy a raw batch to ``<root>/data/raw/<date>/``, in place of an earlier copy."""
     target = raw_path(f"{root.rstrip('/')}/data/raw", batch_date)
