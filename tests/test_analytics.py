@@ -298,4 +298,4 @@ def test_control_limits_alert_on_jumps_and_drift_only(spark):
     assert alerts["still"] == alerts["constant"] == alerts["short"] == [] and alerts["jump"] == [30]
     assert not any(r.drifting for (m, _), r in found.items() if m in ("still", "constant"))
     drifting = [i for (m, i), r in sorted(found.items()) if m == "drift" and r.drifting]
-    assert drifting and drifting[0] < 36 and drifting[-1] == 39
+    assert drifting and drifting[-1] == 39 and drifting[0] <= min(alerts["drift"] or [39])  # before any single batch is outside

@@ -83,7 +83,7 @@ def dq_report(typed: DataFrame, thresholds: dict[str, float] | None = None) -> D
 #: Batches before the judged one that make its limits, and how many there must be.
 HISTORY, LEAST_HISTORY = 30, 10
 #: Width of the limits in robust standard deviations; weight of the newest batch in the moving average, and the width for that.
-WIDTH, NEWEST, DRIFT_WIDTH = 4.0, 0.3, 3.0
+WIDTH, NEWEST, DRIFT_WIDTH = 4.0, 0.3, 4.0
 #: The median deviation of a normal distribution times this is its standard deviation.
 MAD_TO_SIGMA = 1.4826
 #: Least spread, in percentage points, so that a metric that never moved does not alert on noise.
