@@ -313,6 +313,7 @@ _BODIES = {
           count(*) FILTER (artist_id + genre_id + location_id IS NULL) AS n_rejected, count(*) FILTER (artist_id IS NULL) AS without_artist_id,
           count(*) FILTER (genre_id IS NULL) AS without_genre_id, count(*) FILTER (location_id IS NULL) AS without_location_id FROM hard_keyed""",
     "fact_artist_trends": "SELECT * FROM keyed_days",
+    "fact_artist_buckets": "SELECT artist_id, location, date, trend_score FROM artist_rows JOIN d_artists ON id = spotify_id",
     "artist_genres": "SELECT * FROM pairs",
     "exploded_view": "SELECT artist_id, genre_id, location_id, date, trend_score FROM keyed_days JOIN pairs USING (artist_id)",
     # aggregates and profiles
@@ -389,6 +390,11 @@ _BODIES = {
         _numbered(_NEAR, "exploded", "dim_genres", "genres", "(ingest_seq, genre_pos)"),
         _numbered(_NEAR, "exploded", "dim_locations", "location", "(ingest_seq, genre_pos)"),
     ]),
+    "dims_concurrent": " UNION ALL ".join([
+        _numbered(_NEAR, "exploded", "dim_artists", "id", "(ingest_seq, genre_pos)"),
+        _numbered(_NEAR, "exploded", "dim_genres", "genres", "(ingest_seq, genre_pos)"),
+        _numbered(_NEAR, "exploded", "dim_locations", "location", "(ingest_seq, genre_pos)"),
+    ]),
     # windows, calendar, top-k
     "velocity": "SELECT * FROM moving",
     "rising_artists": """

@@ -13,8 +13,8 @@ from trendengine.constants import MARKETS, RISING_STEM
 from trendengine.functions import genres as G
 from trendengine.functions import scores as S
 from trendengine.functions import text as X
-from trendengine.operators import analytics, clean, dedup, dims, enrich, explode, profile, quality, reshape, sketches
-from trendengine.plans import batch, facts
+from trendengine.operators import analytics, clean, colocated, dedup, dims, enrich, explode, profile, quality, reshape, sketches
+from trendengine.plans import batch, facts, published
 from trendengine.schemas import (
     ARTIST_OBJECT_SCHEMA,
     CLEAN_SCHEMA,
@@ -659,6 +659,15 @@ def fact_artist_trends(s, d):
     return dims.fact_artist_trends(_artist_rows(s, d), artists, locations)
 
 
+@query
+def fact_artist_buckets(s, d):
+    """Daily artist rows with artist numbers, both tables in buckets of the id: joined without a shuffle."""
+    artists = _warehouse(s, d)[1]
+    rows = _artist_rows(s, d).withColumnRenamed("id", "spotify_id")
+    fact = colocated.bucketed(s, rows, "spotify_id", 8, "artist_rows")
+    return colocated.artist_fact(fact, colocated.bucketed(s, artists, "spotify_id", 8, "artists"))
+
+
 @query
 def artist_genres(s, d):
     rows, artists, genres, _ = _warehouse(s, d)
@@ -849,6 +858,22 @@ def dims_incremental(s, d):
     return _listed_dims(s, root)
 
 
+@query
+def dims_concurrent(s, d):
+    """Two runs over the same versions: while one writes its keys, the other publishes; the first one numbers anew."""
+    root, rows = scratch_path(s, "dims"), _stored_exploded(s, d)
+    for dim in dims.DIMENSIONS:
+        others = [lambda dim=dim: published.publish_dim(s, rows.where(F.col("location").isin("NV", "CA")), root, dim)]
+        published.publish_dim(s, rows, root, dim, lambda others=others: others and others.pop()())
+    parts = [
+        published.read_published(s, root, dim).select(
+            F.lit(dim.name).alias("dim"), F.col(dim.id_col).alias("number"), F.col(dim.key_col).alias("natural_key")
+        )
+        for dim in dims.DIMENSIONS
+    ]
+    return enrich.union_playlists(parts)
+
+
 # ---- windows, calendar, top-k -----------------------------------------------------------
 
 

@@ -7,6 +7,7 @@ import re
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Runtime settings the plans are written for. All are session settings, so they can
@@ -76,3 +77,22 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder that this engine made and nothing reads any more."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def create_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless there is one of that name; whether it was written.
+
+    The name is taken in the call that creates it: of two callers one is refused.
+    """
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        out = system.create(target, False)
+    except Py4JJavaError as error:
+        if "AlreadyExists" not in error.java_exception.getClass().getName():
+            raise
+        return False
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
