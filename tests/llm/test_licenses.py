@@ -1,10 +1,13 @@
 """Licence scan against a plain TF-IDF, and inheritance against walking up the paths."""
 
 import math
+import os
 import re
+import textwrap
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from trendengine.llm import licenses as s
 
@@ -16,26 +19,37 @@ def tokens(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
 
 
-def plain_scan(texts):
+def plain_scan(given):
     """(kind, licence, score) of each text, every vector in full, with the df of every word."""
-    n, df = len(texts), Counter(w for t in texts for w in set(tokens(t)))
+    n, df = len(given), Counter(w for t in given for w in set(tokens(t)))
     idf = lambda w: math.log((n + 1) / (df[w] + 1)) + 1
     vector = lambda t: {w: c * idf(w) for w, c in Counter(tokens(t)).items()}
     length = lambda v: math.sqrt(sum(x * x for x in v.values()))
-    templates = [(name, vector(t)) for name, t in s.TEMPLATES]
+    notices = [(name, vector(t), length(vector(t))) for name, t in s.TEMPLATES]
+    texts = [(name, vector(t), length(vector(t))) for name, t in s.LICENCE_TEXTS]
 
-    def best(t):
+    def best(t, templates=notices):
         v = vector(t)
-        return max(((sum(x * v.get(w, 0) for w, x in u.items()) / (length(u) * length(v) or 1), -k, name) for k, (name, u) in enumerate(templates)))
+        n = length(v) or 1
+        return max(((sum(x * v.get(w, 0) for w, x in u.items()) / (m * n), -k, name) for k, (name, u, m) in enumerate(templates)))
+
+    def runs(t):
+        pieces = re.split(r"\n|(?<=[.!?;])[ \t\r\f\v]", t or "")
+        for k in range(len(pieces)):
+            for n in range(1, s.LINES + 1):
+                if k + n <= len(pieces):
+                    yield "\n".join(pieces[k : k + n])
 
     def judge(t):
-        score, _, name = best(t or "")
-        if score >= s.FILE:
+        files = [(best(t or "", texts), s.FULL), (best(t or ""), s.FILE)]
+        files = [b for b, least in files if b[0] >= least]
+        if files:
+            score, _, name = max(files, key=lambda b: round(b[0], 12))
             return "file", name, score
-        score, _, name = max((best(x) for x in re.split(r"\n|(?<=[.!?;])[ \t\r\f\v]", t or "")), key=lambda b: round(b[0], 12))
+        score, _, name = max(map(best, runs(t)), key=lambda b: round(b[0], 12))
         return ("header", name, score) if score >= s.HEADER else ("none", None, 0.0)
 
-    return [judge(t) for t in texts]
+    return [judge(t) for t in given]
 
 
 def plain_inherit(rows):
@@ -113,3 +127,35 @@ def test_every_word_has_its_document_frequency(spark, monkeypatch):
     wanted = plain_scan([r.text for r in rows])
     for r, (kind, name, score) in zip(rows, wanted):
         assert (r.own.kind, r.own.license) == (kind, name) and r.own.score == pytest.approx(score)
+
+
+FOLDER = "/usr/share/common-licenses"
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no licence files on this machine")
+def test_licence_files_are_files_and_hand_down(spark):
+    """Whole licence files among ordinary documents: each is its licence, and licenses its directory."""
+    names = {"Apache-2.0": "Apache-2.0", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0", "GPL-2": "GPL-2.0-only", "GPL-3": "GPL-3.0-only", "LGPL-3": "LGPL-3.0-only", "MPL-2.0": "MPL-2.0"}
+    rows = [(i, f"{name}/LICENSE", open(f"{FOLDER}/{name}").read()) for i, name in enumerate(names)]
+    copyright = "Copyright (c) 2019, 2021 Jane Doe and others. All rights reserved.\n\n"
+    short = {k: v for k, v in s.LICENCE_TEXTS if k in ("MIT", "BSD-2-Clause", "ISC", "Zlib", "PSF-2.0")}
+    rows += [(100 + i, f"{name}/LICENSE", f"{name} license\n{copyright}{text}") for i, (name, text) in enumerate(short.items())]
+    rows += [(200 + i, f"{name}/src/a/{i}", "plain words of a file that says nothing") for i, name in enumerate([*names, *short])]
+    filler = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", F.lit("other/x").alias("path"), "text").limit(300)
+    docs = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    found = s.inherit(s.scan(docs.unionByName(filler.withColumn("doc_id", F.col("doc_id") + 1000)))).where("doc_id < 1000").collect()
+    wanted = {**names, **{k: k for k in short}}
+    for r in found:
+        licence = wanted[r.path.split("/")[0]]
+        assert (r.own.kind, r.own.license) == (("file", licence) if r.path.endswith("LICENSE") else ("none", None)), r.path
+        assert r.path.endswith("LICENSE") or (r.given.license, r.given.directory) == (licence, r.path.split("/")[0])
+    assert len(found) == len(rows)
+
+
+def test_a_wrapped_notice_is_a_header(spark):
+    notice = s.TEMPLATES[2][1]
+    lines = textwrap.wrap(notice, 75)
+    text = "plain words of a file\n" + "\n".join(f" # {x}" for x in lines) + "\n" + "and more plain words than before\n" * 30
+    docs = spark.createDataFrame([(1, text), *((i, f"some other words {i}") for i in range(2, 60))], "doc_id long, text string")
+    own = {r.doc_id: r.own for r in s.scan(docs).collect()}
+    assert len(lines) == 3 and (own[1].kind, own[1].license) == ("header", "MIT") and own[2].kind == "none"

@@ -1,11 +1,11 @@
 """Licences of documents by sparse TF-IDF cosine to templates, and what directories hand down.
 
-Each text, and each of its sentences (cut at line feeds and after ``.``, ``!``, ``?``, ``;`` before white space), is a vector of
-term counts times ``idf = ln((N + 1) / (df + 1)) + 1``. N and the df of every term are counted over all documents. The template
+Each text, each of its sentences (cut at line feeds and after ``.``, ``!``, ``?``, ``;`` before white space), and each run of up to `LINES` adjacent
+sentences, as a notice wrapped over lines makes them, is a vector of term counts times ``idf = ln((N + 1) / (df + 1)) + 1``. N and the df of every term are counted over all documents. The template
 with the largest cosine wins, the first listed among equals; of sentences the first among those equal to `DIGITS` decimals.
 
-* licence file: the whole text is within `FILE` of a template; it licenses its directory;
-* header: else, the best sentence is within `HEADER`; it licenses its own document.
+* licence file: the whole text is within `FULL` of a licence text or within `FILE` of a notice; it licenses its directory;
+* header: else, the best sentence or run is within `HEADER` of a notice; it licenses its own document.
 
 A document without a licence of its own takes that of its nearest ancestor directory that has one: the file with the largest
 cosine there, then the smallest doc_id.
@@ -21,7 +21,7 @@ needs template terms only, so the join adds up lengths and nothing else. Verdict
 the digest of the text. Distinct directories, not
 documents, are expanded to their ancestors and joined to licensed directories, so a directory with a third of all documents is one
 row there; only the last join carries documents, and Spark splits its hot keys. The templates are fixed, their
-terms bound the broadcast.
+terms bound the broadcast. A file that bundles several licences counts as the one that has most of its words.
 
 Nulls: a null text has no licence of its own. A null path lies in no directory and inherits nothing. Rows that repeat are
 judged alike. No rows: no rows.
@@ -41,8 +41,9 @@ from pyspark.sql.types import StructType
 
 from trendengine.llm.common import any_columns, fresh, stored, table, utf8
 from trendengine.llm.decontaminate import words
+from trendengine.llm.licence_texts import LICENCE_TEXTS
 
-FILE, HEADER = 0.5, 0.6
+FILE, FULL, HEADER = 0.5, 0.7, 0.6
 #: Licence names (SPDX) and the notices that go with them.
 TEMPLATES = [
     ("MIT", "Released under the MIT License."),
@@ -76,6 +77,7 @@ TEMPLATES = [
 ]
 SENTENCE = re.compile(rb"\n|(?<=[.!?;])\s")
 KIND = "struct<kind:string,license:string,score:double>"
+LINES = 4
 #: Terms with broadcast weights, terms a task holds before it hands them on, decimals in which sentences are ranked.
 COMMON, HELD, DIGITS = 20_000, 200_000, 12
 PARTS = "digest string, part int, license string, top double, square double, rest array<struct<term:binary,count:bigint>>"
@@ -84,7 +86,7 @@ Template = tuple[str, dict[bytes, float], float]  # name, weights, length
 
 
 def vocabulary() -> list[bytes]:
-    return sorted({w for _, text in TEMPLATES for w in words(text.encode())})
+    return sorted({w for _, text in [*TEMPLATES, *LICENCE_TEXTS] for w in words(text.encode())})
 
 
 def count_terms(docs: DataFrame) -> DataFrame:
@@ -121,59 +123,67 @@ class Scorer:
     def __init__(self, n: int, df: dict[bytes, int]):
         self.unseen = math.log(n + 1) + 1
         self.idf = {t: math.log((n + 1) / (df.get(t, 0) + 1)) + 1 for t in {*vocabulary(), *df}}
-        self.templates: list[Template] = []
-        for name, text in TEMPLATES:
-            weights = {t: c * self.idf[t] for t, c in Counter(words(text.encode())).items()}
-            self.templates.append((name, weights, math.sqrt(sum(w * w for w in weights.values()))))
-        self.needed = self._needed(min(FILE, HEADER))
+        self.notices = [self._template(*t) for t in TEMPLATES]
+        self.texts = [self._template(*t) for t in LICENCE_TEXTS]
+        self.needed = self._needed(self.notices, min(FILE, HEADER))
+        self.needed_whole = self._needed(self.texts, FULL)
 
-    def _needed(self, least: float) -> frozenset[bytes]:
+    def _template(self, name: str, text: str) -> Template:
+        weights = {t: c * self.idf[t] for t, c in Counter(words(text.encode())).items()}
+        return name, weights, math.sqrt(sum(w * w for w in weights.values()))
+
+    def _needed(self, templates: list[Template], least: float) -> frozenset[bytes]:
         """Terms of which a vector must have one to come within ``least``: all but the most common, as long as these alone cannot."""
         common: set[bytes] = set()
-        terms = vocabulary()
+        terms = {t for _, weights, _ in templates for t in weights}
         for term in sorted(terms, key=lambda t: (self.idf[t], t)):
             common.add(term)
-            if any(math.sqrt(sum(w * w for t, w in ws.items() if t in common)) >= 0.999 * least * size for _, ws, size in self.templates):
+            if any(math.sqrt(sum(w * w for t, w in ws.items() if t in common)) >= 0.999 * least * size for _, ws, size in templates if term in ws):
                 common.remove(term)
                 break
         return frozenset(terms) - common
 
-    def part(self, tokens: list[bytes], least: float) -> tuple[str, float, float, dict[bytes, int]] | None:
+    def part(self, tokens: list[bytes], least: float, templates: list[Template]) -> tuple[str, float, float, dict[bytes, int]] | None:
         """(licence, cosine times the vector's length, square of its length in known terms, other terms), if it may come within ``least``."""
-        if self.needed.isdisjoint(tokens):
-            return None
         counts = Counter(tokens)
         vector = {t: c * self.idf[t] for t, c in counts.items() if t in self.idf}
         rest = {t: c for t, c in counts.items() if t not in vector}
         square = sum(w * w for w in vector.values())
+        shortest = math.sqrt(square + sum(c * c for c in rest.values()))
         top, name = 0.0, None
-        for licence, weights, length in self.templates:
-            dot = sum(w * vector[t] for t, w in weights.items() if t in vector) / length
+        for licence, weights, length in templates:
+            few, many = (weights, vector) if len(weights) < len(vector) else (vector, weights)
+            dot = sum(w * many[t] for t, w in few.items() if t in many) / length
             if dot > top:
                 top, name = dot, licence
-        shortest = math.sqrt(square + sum(c * c for c in rest.values()))
         return (name, top, square, rest) if top >= 0.999 * least * shortest else None
 
     def parts(self, text: bytes | None) -> Iterator[tuple]:
-        """(0 for the whole text or the number of the sentence, *part) of what may come within its threshold."""
+        """(place, *part) of what may come within its threshold: -1 is the whole text against licence texts, 0 against notices, then runs of sentences."""
         tokens = words(text)
+        if not self.needed_whole.isdisjoint(tokens) and (part := self.part(tokens, FULL, self.texts)):
+            yield -1, *part
         if self.needed.isdisjoint(tokens):
             return
-        for at, part in [(0, self.part(tokens, FILE)), *((k, self.part(words(x), HEADER)) for k, x in enumerate(SENTENCE.split(text), 1))]:
-            if part:
-                yield at, *part
+        if part := self.part(tokens, FILE, self.notices):
+            yield 0, *part
+        sentences = [words(x) for x in SENTENCE.split(text)]
+        near = [not self.needed.isdisjoint(x) for x in sentences]
+        for k in range(len(sentences)):
+            for n in range(1, min(LINES, len(sentences) - k) + 1):
+                if any(near[k : k + n]) and (part := self.part([w for x in sentences[k : k + n] for w in x], HEADER, self.notices)):
+                    yield LINES * k + n, *part
 
     def judge(self, text: bytes | None) -> dict:
         """The verdict on a text whose other terms were never seen."""
-        whole, best = (0.0, None), (0.0, None)
+        found = {"file": (0.0, None), "header": (0.0, None)}
         for at, name, top, square, rest in self.parts(text):
             score = top / math.sqrt(square + sum((c * self.unseen) ** 2 for c in rest.values()))
-            if not at:
-                whole = score, name
-            elif round(score, DIGITS) > round(best[0], DIGITS):
-                best = score, name
-        for kind, least, (score, name) in (("file", FILE, whole), ("header", HEADER, best)):
-            if score >= least:
+            kind, least = ("header", HEADER) if at > 0 else ("file", FILE if at == 0 else FULL)
+            if score >= least and round(score, DIGITS) > round(found[kind][0], DIGITS):
+                found[kind] = score, name
+        for kind, (score, name) in found.items():
+            if name:
                 return {"kind": kind, "license": name, "score": min(1.0, score)}
         return {"kind": "none", "license": None, "score": 0.0}
 
@@ -210,7 +220,7 @@ def verdicts(docs: DataFrame) -> DataFrame:
     scored = parts.join(lengths, key, "left").select(*key, "license", score.alias("score"))
     rank = F.struct((-F.round("score", DIGITS)).alias("s"), "part", "license", "score")
     best = scored.groupBy("digest").agg(
-        F.min(F.when((F.col("part") == 0) & (F.col("score") >= FILE), rank)).alias("file"),
+        F.min(F.when(((F.col("part") == 0) & (F.col("score") >= FILE)) | ((F.col("part") < 0) & (F.col("score") >= FULL)), rank)).alias("file"),
         F.min(F.when((F.col("part") > 0) & (F.col("score") >= HEADER), rank)).alias("header"),
     )
     found = F.coalesce("file", "header")
