@@ -74,7 +74,7 @@ def test_stages_keep_columns_and_take_odd_rows(spark):
 
 def test_each_operator_is_registered_once():
     numbers = [int(re.match(r"op(\d+)_", name)[1]) for name in registry.QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert registry.QUERIES.items() <= entry.queries().items() and "pipeline" in entry.queries()
     assert registry.ORACLE.keys() <= registry.QUERIES.keys() and entry.oracle_sql().keys() <= entry.queries().keys()
     assert corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5
