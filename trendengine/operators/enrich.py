@@ -96,6 +96,13 @@ def with_artist_key(df: DataFrame, name: str = "artist") -> DataFrame:
     return df.withColumn("artist_key", X.norm_key(name))
 
 
+def all_requests(artists: DataFrame, month: str) -> DataFrame:
+    """Requests (artist, region) of one month, answered or not."""
+    keys = with_artist_key(artists).where(F.col("artist_key") != "").select("artist_key").distinct()
+    regions = F.array(*(F.lit(f"{NATIONAL_GEO}-{code}") for code in REGION_CODES))
+    return keys.select("artist_key", F.explode(regions).alias("geo"), F.lit(month).alias("month"))
+
+
 def pending_requests(artists: DataFrame, cache: DataFrame, month: str) -> DataFrame:
     """Requests (artist, region) not answered by the cache for one month.
 

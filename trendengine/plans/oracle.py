@@ -276,10 +276,18 @@ _BODIES = {
         SELECT c_custkey, c_name AS artist FROM customer WHERE lower(c_name) NOT IN (
           SELECT lower(c_name) FROM customer JOIN orders ON o_custkey = c_custkey
           WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')""",
+    "unprocessed_artists_filtered": """
+        SELECT c_custkey, c_name AS artist FROM customer WHERE lower(c_name) NOT IN (
+          SELECT lower(c_name) FROM customer JOIN orders ON o_custkey = c_custkey
+          WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')""",
     "pending_requests": f"""
         SELECT k AS artist_key, 'US-' || r AS geo, '{MONTH}' AS month
         FROM (SELECT DISTINCT lower(c_name) AS k FROM customer), (SELECT unnest({_list(REGION_CODES)}) AS r)
         WHERE NOT EXISTS (SELECT 1 FROM order_scores o WHERE o.artist_key = k AND o.geo = 'US-' || r AND o.month = '{MONTH}')""",
+    "pending_requests_filtered": f"""
+        SELECT k AS artist_key, 'US-' || r AS geo, '{MONTH}' AS month
+        FROM (SELECT DISTINCT lower(c_name) AS k FROM customer), (SELECT unnest({_list(REGION_CODES)}) AS r)
+        WHERE NOT EXISTS (SELECT 1 FROM order_scores o WHERE o.artist_key = k AND o.geo = 'US-' || r AND o.month = '{MONTH}')""",
     "genre_market_grid": f"SELECT genre, unnest({_list(MARKETS)}) AS market FROM d_genres",
     "national_gate": """
         SELECT * FROM artist_rows WHERE id IN (SELECT CAST(user_id AS VARCHAR) FROM events

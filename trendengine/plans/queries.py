@@ -13,7 +13,7 @@ from trendengine.constants import MARKETS, RISING_STEM
 from trendengine.functions import genres as G
 from trendengine.functions import scores as S
 from trendengine.functions import text as X
-from trendengine.operators import analytics, clean, colocated, dedup, dims, enrich, explode, profile, quality, reshape, sketches
+from trendengine.operators import analytics, clean, colocated, dedup, dims, enrich, explode, history, profile, quality, reshape, sketches
 from trendengine.plans import batch, facts, published
 from trendengine.schemas import (
     ARTIST_OBJECT_SCHEMA,
@@ -565,15 +565,29 @@ def genre_cache_stats(s, d):
     return enrich.genre_cache_stats(_enriched(s, d))
 
 
-@query
-def unprocessed_artists(s, d):
-    customers = fx.table(s, d, "customer")
+def _processed(s, d):
+    """Artists that an earlier run finished, with other case and spaces, and their segment."""
     urgent = fx.table(s, d, "orders").where(
         (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")
     )
-    done = customers.join(urgent, F.col("o_custkey") == F.col("c_custkey"), "left_semi")
-    done = done.select(F.concat(F.lit(" "), F.upper("c_name"), F.lit(" ")).alias("artist"))
-    return enrich.unprocessed_artists(customers.select("c_custkey", F.col("c_name").alias("artist")), done)
+    done = fx.table(s, d, "customer").join(urgent, F.col("o_custkey") == F.col("c_custkey"), "left_semi")
+    return done.select(F.concat(F.lit(" "), F.upper("c_name"), F.lit(" ")).alias("artist"), "c_mktsegment")
+
+
+@query
+def unprocessed_artists(s, d):
+    customers = fx.table(s, d, "customer").select("c_custkey", F.col("c_name").alias("artist"))
+    return enrich.unprocessed_artists(customers, _processed(s, d).select("artist"))
+
+
+@query
+def unprocessed_artists_filtered(s, d):
+    """The same work list against a recorded history of two runs, asked through its filters."""
+    root, done = scratch_path(s, "history"), history.artist_names(_processed(s, d))
+    for earlier in (F.col("c_mktsegment") == "BUILDING", F.col("c_mktsegment") != "BUILDING"):
+        history.record(s, root, done.where(earlier), ["_name"])
+    customers = fx.table(s, d, "customer").select("c_custkey", F.col("c_name").alias("artist"))
+    return history.unprocessed_artists(s, root, customers)
 
 
 @query
@@ -582,6 +596,16 @@ def pending_requests(s, d):
     return enrich.pending_requests(artists, _order_scores(s, d), MONTH)
 
 
+@query
+def pending_requests_filtered(s, d):
+    """The same requests against recorded answers of any month."""
+    root, answered = scratch_path(s, "history"), _order_scores(s, d)
+    for status in ("F", "O", "P"):
+        history.record(s, root, answered.where(F.col("status") == status), _REQUEST)
+    artists = fx.table(s, d, "customer").select(F.col("c_name").alias("artist"))
+    return history.pending(s, root, enrich.all_requests(artists, MONTH), _REQUEST)
+
+
 @query
 def genre_market_grid(s, d):
     return enrich.genre_market_grid(dims.GENRES.new_rows(_exploded(s, d), pos=batch.POS))
