@@ -10,9 +10,10 @@
    keeps at most `DEGREE` edges per vector that no kept edge makes superfluous, reverse edges are added and pruned again.
 4. Union. The adjacency lists that a vector got in its shards are joined into one list.
 5. Search. Home vectors of a shard search its part of the joined graph from the medoid, greedily with a beam, then expand from each
-   hit along edges through everything within `SLACK` below the threshold, until no more comes in range. In every shard a sample of
-   `AUDIT` searches is audited against all its members; a recall below `RECALL` widens the beam and searches again, up
-   to the whole shard; where that is not enough either, the shard is compared in blocks.
+   hit along edges through everything within `SLACK` below the threshold, until no more comes in range. In every shard samples of
+   `AUDIT` searches, of its largest knot and of all others, are audited against all its members, query by query; a recall below
+   `RECALL` widens the beam of these queries and searches again, up to the whole shard; where that is not enough either, and where a
+   vector does not even meet itself, queries are compared with all members.
 6. Verify. Only cosines of at least `LEAST` in double precision count.
 
 Shards that pivots can no longer split (one knot) are cut into blocks of `SHARD` members with a graph each, and blocks of queries
@@ -40,7 +41,7 @@ SHARD, SAMPLE, PIVOTS, OVERLAP, LEVELS = 1024, 512, 64, 3, 16
 APART = 0.9
 CHUNK = 8192
 DEGREE, BEAM, ALPHA = 24, 24, 1.2
-AUDIT, RECALL = 16, 0.99
+AUDIT, RECALL = 64, 0.99
 ROWS = "node string, home boolean, rep long, copies long, vec binary"
 
 
@@ -179,31 +180,46 @@ def in_range(queries, v, edges, beam: int):
     return np.nonzero(hit)
 
 
-def audited(queries, v, edges):
-    """`in_range` with a beam that finds RECALL of what a sample of queries links with."""
+def audited(queries, v, edges, own=None):
+    """`in_range` with beams that find RECALL of what a sample of queries links with, as the mean over the queries of the sample.
+
+    Queries with over half as many hits as the best one (a knot) and all others are audited and searched again apart, so the links
+    of a knot do not hide what others miss. ``own``: where each query lies among ``v``, -1 for nowhere; a query that does not meet
+    itself went astray and is compared with all.
+    """
     import numpy as np
 
-    beam = min(BEAM, len(v))
-    sample = np.unique(np.linspace(0, len(queries) - 1, min(AUDIT, len(queries))).astype(int))
-    truth = queries[sample] @ v.T >= LEAST
-    while True:
-        q, x = in_range(queries, v, edges, beam)
-        hit = np.zeros((len(queries), len(v)), dtype=bool)
-        hit[q, x] = True
-        if (hit[sample] & truth).sum() >= RECALL * truth.sum():
-            return q, x
-        if beam == len(v):  # the graph falls apart
-            return tuple(np.concatenate(x) for x in zip(*_in_blocks(queries, v)))
-        beam = min(4 * beam, len(v))
-
-
-def _in_blocks(queries, v):
-    """The same pairs without a graph, block by block."""
+    hit = np.zeros((len(queries), len(v)), dtype=bool)
+    hit[in_range(queries, v, edges, min(BEAM, len(v)))] = True
+    found = hit.sum(axis=1)
+    many = 2 * found > found.max(initial=0)
+    for part in filter(len, (np.flatnonzero(many), np.flatnonzero(~many))):
+        beam = min(BEAM, len(v))
+        sample = part[np.unique(np.linspace(0, len(part) - 1, min(AUDIT, len(part))).astype(int))]
+        truth = _compared(queries[sample], v)
+        while np.mean((hit[sample] & truth).sum(axis=1) / np.maximum(1, truth.sum(axis=1)) + ~truth.any(axis=1)) < RECALL:
+            if beam == len(v):  # the graph falls apart
+                hit[part] = _compared(queries[part], v)
+                break
+            beam = min(4 * beam, len(v))
+            q, x = in_range(queries[part], v, edges, beam)
+            hit[part[q], x] = True
+    if own is not None:
+        astray = np.flatnonzero((own >= 0) & ~hit[np.arange(len(queries)), own])
+        hit[astray] = _compared(queries[astray], v)
+    return np.nonzero(hit)
+
+
+def _compared(queries, v):
+    """Which pairs link, without a graph; what is near LEAST is computed as in `in_range`."""
     import numpy as np
 
-    for at in range(0, len(queries), 1024):
-        q, x = np.nonzero(queries[at : at + 1024] @ v.T >= LEAST)
-        yield q + at, x
+    hit = queries @ v.T >= LEAST - 1e-9
+    q, x = np.nonzero(hit)
+    for i in range(0, len(q), 65536):
+        some = slice(i, i + 65536)
+        hit[q[some], x[some]] = np.einsum("ij,ij->i", queries[q[some]], v[x[some]]) >= LEAST
+    return hit
 
 
 # --- Spark --------------------------------------------------------------------------------------
@@ -349,7 +365,8 @@ def find_links(spark: SparkSession, reps: DataFrame) -> tuple[DataFrame, DataFra
         rank = np.arange(len(row)) - np.searchsorted(row, row)
         edges = np.full((len(v), max(1, int(rank.max(initial=0)) + 1)), -1)
         edges[row, rank] = target
-        q, x = audited(queries, v, edges)
+        at = order[np.searchsorted(ids, q_ids, sorter=order).clip(0, len(v) - 1)]
+        q, x = audited(queries, v, edges, np.where(ids[at] == q_ids, at, -1))
         apart = q_ids[q] != ids[x]
         q, x = q[apart], x[apart]
         n = np.bincount(q, weights=copies[~asks][x], minlength=len(queries)).astype(np.int64)
