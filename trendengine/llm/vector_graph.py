@@ -105,12 +105,14 @@ def prune(v, ids, alpha: float):
     out = np.full((m, DEGREE), -1)
     for at in range(0, m, 256):
         some = ids[at : at + 256]
-        far = 1 - np.einsum("ij,ikj->ik", v[at : at + 256], v[some])
+        near = v[some]
+        far = 1 - (near @ v[at : at + 256, :, None])[:, :, 0]
         far[(some < 0) | (some == np.arange(at, at + len(some))[:, None])] = np.inf
         order = np.argsort(far, axis=1, kind="stable")
         some, far = np.take_along_axis(some, order, axis=1), np.take_along_axis(far, order, axis=1)
+        near = near[np.arange(len(near))[:, None], order]
         far[:, 1:][some[:, 1:] == some[:, :-1]] = np.inf  # met twice
-        between = 1 - np.einsum("ikj,ilj->ikl", v[some], v[some])
+        between = 1 - near @ near.transpose(0, 2, 1)
         rows = np.arange(len(some))
         for k in range(DEGREE):
             first = np.argmin(far, axis=1)
