@@ -1,6 +1,7 @@
 """Paths of the transducer against the public library, merging by rank, and the round trip."""
 
 import random
+import struct
 
 import pytest
 import sentencepiece
@@ -16,7 +17,7 @@ LIBRARY = sentencepiece.SentencePieceProcessor(model_file=f.MODEL)
 @pytest.fixture(scope="module")
 def machine():
     with open(f.MODEL, "rb") as file:
-        return f.Transducer(f.read_model(file.read()))
+        return f.compiled(f.read_model(file.read()))
 
 
 @settings(max_examples=400, deadline=None)
@@ -76,4 +77,96 @@ def test_nulls_names_and_empty(spark):
 
 def test_other_models_are_refused():
     with pytest.raises(ValueError):
-        f.read_model(b"\x12\x02\x18\x01")
+        f.read_model(b"\x12\x02\x18\x03")
+
+
+def _number(n: int) -> bytes:
+    out = b""
+    while n > 127:
+        out, n = out + bytes([n & 127 | 128]), n >> 7
+    return out + bytes([n])
+
+
+def _message(fields) -> bytes:
+    return b"".join(_number(k << 3) + _number(v) if isinstance(v, int) else _number(k << 3 | 2) + _number(len(v)) + v for k, v in fields)
+
+
+def _model_file(pieces, kind, rules="identity", dummy=1, squeeze=1, fallback=1) -> bytes:
+    """A model file of (piece, score, type) with the public library's own rules of that name."""
+    own = dict(f._fields(dict(f._fields(sentencepiece.SentencePieceNormalizer(rule_name=rules).serialized_model_proto()))[3]))
+    normaliser = [(1, own[1]), (2, own.get(2, b"")), (3, dummy), (4, squeeze), (5, 1)]
+    rows = [(1, _message([(1, p.encode()), (3, t)]) + b"\x15" + struct.pack("<f", score)) for p, score, t in pieces]
+    return _message([*rows, (2, _message([(3, kind), (35, fallback)])), (3, _message(normaliser))])
+
+
+def _pieces(scored, bytes_too=True):
+    fixed = [("<unk>", 0.0, f.UNKNOWN), ("<s>", 0.0, f.CONTROL), ("</s>", 0.0, f.CONTROL)]
+    return fixed + [(f"<0x{b:02X}>", 0.0, f.BYTE) for b in range(256) if bytes_too] + scored
+
+
+def _unigram(rng, **options):
+    with open(f.MODEL, "rb") as file:
+        taken = [p for p, _, kind in f.read_model(file.read()).pieces if kind == f.NORMAL][:: rng.randrange(3, 7)]
+    taken = [p for p in taken if p.strip(f.BLANK)] + [f.BLANK]  # runs of blanks in one way only: no two paths of equal weight
+    return _model_file(_pieces([(p, -rng.uniform(1, 15), f.NORMAL) for p in taken], options.get("fallback", 1)), f.UNIGRAM, **options)
+
+
+def _same(own, library, text):
+    """The ids of the library, or the same pieces in another order: a path of equal weight."""
+    found, want = own.encode(text), library.encode(text)
+    return found == want or sorted(found) == sorted(want) and own.decode(found) == library.decode(want)
+
+
+TEXTS = ["", " ", "   ", "the ", " the", "ing", "ﬁne", "Ａ１", "e\u0301", "é", "\u200b", "\t", "\n", "\u3000", "中", "😀", "▁", "한", "①", "½", "a", "nation", "…"]
+
+
+@pytest.mark.parametrize("rules", ["identity", "nmt_nfkc", "nfkc_cf"])
+@pytest.mark.parametrize("dummy, squeeze, fallback", [(1, 1, 1), (1, 0, 1), (0, 1, 0), (1, 0, 0), (0, 0, 1)])
+def test_unigram_models_are_the_library(rules, dummy, squeeze, fallback):
+    rng = random.Random(7)
+    blob = _unigram(rng, rules=rules, dummy=dummy, squeeze=squeeze, fallback=fallback)
+    library, own = sentencepiece.SentencePieceProcessor(model_proto=blob), f.compiled(f.read_model(blob))
+    assert isinstance(own, f.PieceWeights)
+    texts = TEXTS if fallback else [x for x in TEXTS if x != "…"]  # runs of full stops: paths of equal weight join unknown ones differently
+    for _ in range(600):
+        text = "".join(rng.choice(texts) for _ in range(rng.randrange(12)))
+        assert own.normalise(text) == library.normalize(text), text
+        assert _same(own, library, text), text
+        assert own.decode(library.encode(text)) == library.decode(library.encode(text)), text
+
+
+def test_rules_and_pieces_of_the_user():
+    rng = random.Random(8)
+    with open(f.MODEL, "rb") as file:
+        normal = [row for row in f.read_model(file.read()).pieces if row[2] == f.NORMAL]
+    own_pieces = [("<tool>", 0.0, f.USER_DEFINED), ("ﬁx", 0.0, f.USER_DEFINED)]
+    blob = _model_file(_pieces(normal + own_pieces), f.BYTE_PAIR, "nmt_nfkc")
+    library, own = sentencepiece.SentencePieceProcessor(model_proto=blob), f.compiled(f.read_model(blob))
+    for _ in range(1500):
+        text = "".join(rng.choice([*TEXTS, "<tool>", "ﬁx", "<to"]) for _ in range(rng.randrange(12)))
+        assert own.encode(text) == library.encode(text), text
+    with pytest.raises(ValueError):
+        f.read_model(_model_file(_pieces(normal + own_pieces), f.UNIGRAM))
+
+
+def test_shortest_path_is_the_least_of_all_paths():
+    pieces = [("a", -1.0, f.NORMAL), ("b", -2.5, f.NORMAL), ("ab", -3.0, f.NORMAL), ("ba", -2.0, f.NORMAL), ("aba", -4.75, f.NORMAL), (f.BLANK, -0.5, f.NORMAL)]
+    own = f.compiled(f.read_model(_model_file(_pieces(pieces), f.UNIGRAM)))
+    costs = {p: -score for p, score, _ in pieces}
+
+    def least(word):
+        return min([costs[word[:k]] + least(word[k:]) for k in range(1, len(word) + 1) if word[:k] in costs], default=0.0)
+
+    rng = random.Random(9)
+    for _ in range(200):
+        word = f.BLANK + "".join(rng.choice("ab") for _ in range(rng.randrange(1, 11)))
+        assert sum(own.cost[i] for i in own.path(word)) == least(word)
+
+
+def test_query_over_a_unigram_model(spark, tmp_path):
+    blob = _unigram(random.Random(10), rules="nmt_nfkc")
+    (tmp_path / "unigram.model").write_bytes(blob)
+    library = sentencepiece.SentencePieceProcessor(model_proto=blob)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    for r in f.with_ids(spark, docs, str(tmp_path / "unigram.model")).collect():
+        assert r.ids == library.encode(r.text)

@@ -1,33 +1,44 @@
 """SentencePiece encoding and decoding by shortest paths through a weighted transducer.
 
-Three machines are compiled from a byte-pair model file and composed with each text:
+Machines are compiled from a model file and composed with each text:
 
-* the normaliser: identity on characters, blanks to U+2581, one blank in front;
+* the normaliser: the rules of the model (the longest that fits at a place, else the character itself), blanks to U+2581, one
+  blank in front; where the model says so, runs of blanks become one;
 * the pieces: an Aho-Corasick machine whose arcs spell a piece; where no arc ends on a path, the byte fallback spells a
   character as its UTF-8 bytes;
-* the pairs: an arc of weight 0 from piece p to piece q where merging the characters of p + q gives back p, q,
-  and of infinite weight otherwise.
+* the weights of the arcs, by the kind of model.
 
-Weights add along a path and the least sum wins (the tropical semiring). In a byte-pair model the first merge across a
-boundary depends on the two pieces beside it only, so exactly one path has finite weight for every prefix, and that path is
-what merging the whole text by rank would give. The shortest path is hence found left to right, one
-piece per position. No piece of these models holds a blank after another character, so a text is
-composed blank by blank, and the paths of repeated words are remembered, up to twice `CACHE` words per worker.
+Weights add along a path and the least sum wins (the tropical semiring).
 
-Runs of blanks and other merges of equal rank depend on position, not on rank: words with two or more blanks in front are merged
-by rank directly.
+* Unigram models: an arc weighs what its piece does, minus its score. One pass from left to right relaxes the arcs that end at
+  each place (`PieceWeights`). Of equal sums the arc that starts first wins. Sums are of double precision; among paths of equal weight,
+  such as one piece before or after another in a run of blanks, the public library's rounding may pick another one.
+* Byte-pair models: an arc from piece p to piece q weighs 0 where merging the characters of p + q gives back p, q, and is of
+  infinite weight otherwise (`PairWeights`). The first merge across a boundary depends on the two pieces beside it only, so
+  exactly one path has finite weight for every prefix, and that path is what merging the whole text by rank would give. It is
+  found left to right, one piece per position.
 
-Narrow: one pass, no shuffle; the model (about half a MB, checked against `MODEL_BYTES`) is broadcast. A null text
-gives null ids. Decoding gives back the text, but for U+2581 itself, which reads as a blank.
+No piece of these models holds a blank after another character, so a text is composed blank by blank, and the paths of repeated
+words are remembered, up to twice `CACHE` words per worker. Pieces that the user defined are cut out first in byte-pair models.
+
+Runs of blanks and other merges of equal rank depend on position, not on rank: words of byte-pair models with two or more blanks
+in front are merged by rank directly.
+
+Narrow: one pass, no shuffle; the model (about half a MB, checked against `MODEL_BYTES`) is broadcast. A null text gives null ids,
+an empty one no ids; texts of any length are taken whole, with memory in proportion. Rows are independent: repeated rows and ids
+give repeated results. Other columns keep their names and values, what is added gets underscores where its name is taken. Without
+rules decoding gives back the text, but for U+2581 itself, which reads as a blank; with rules, the normalised text.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import struct
 from collections.abc import Iterator
 from heapq import heappop, heappush
 from itertools import chain
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,7 +53,20 @@ PAIRS = 500_000
 BLANK = "▁"
 #: Fixed values of the model file: types of pieces and of models.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-BYTE_PAIR = 2
+UNIGRAM, BYTE_PAIR = 1, 2
+#: Fixed value: what an unknown character costs beyond the worst piece.
+UNKNOWN_COST = 10.0
+
+
+class Model(NamedTuple):
+    pieces: list[tuple[str, float, int]]  # (piece, score, type) by id
+    kind: int
+    rules: bytes  # of the normaliser: a double array of keys, then their replacements
+    dummy: bool  # a blank goes in front
+    squeeze: bool  # runs of blanks become one, those at the ends none
+    escape: bool  # blanks become U+2581
+    fallback: bool  # unknown characters are spelled as bytes
+    surface: bytes  # what an unknown piece reads as
 
 
 def _fields(blob: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -70,10 +94,8 @@ def _fields(blob: bytes) -> Iterator[tuple[int, int | bytes]]:
         at += size
 
 
-def read_model(blob: bytes) -> list[tuple[str, float, int]]:
-    """(piece, score, type) by id. Raises where the model asks for more than the machines above."""
-    import struct
-
+def read_model(blob: bytes) -> Model:
+    """The parts of a model file. Raises where it asks for more than the machines above."""
     pieces, trainer, normaliser = [], {}, {}
     for number, value in _fields(blob):
         if number == 1:
@@ -83,27 +105,108 @@ def read_model(blob: bytes) -> list[tuple[str, float, int]]:
             trainer = dict(_fields(value))
         elif number == 3:
             normaliser = dict(_fields(value))
-    if trainer.get(3, 1) != BYTE_PAIR:
-        raise ValueError("not a byte-pair model")
-    plain = not normaliser.get(2) and normaliser.get(3, 1) and not normaliser.get(4, 1) and normaliser.get(5, 1)
-    if not plain or any(kind == USER_DEFINED for _, _, kind in pieces):
-        raise ValueError("the normaliser has rules, or pieces are defined by the user")
-    if any(BLANK in p.lstrip(BLANK) for p, _, kind in pieces if kind == NORMAL):
+    kind, types = trainer.get(3, UNIGRAM), {t for _, _, t in pieces}
+    if kind not in (UNIGRAM, BYTE_PAIR) or UNKNOWN not in types or trainer.get(24, 0):
+        raise ValueError("neither a byte-pair nor a unigram model with blanks in front of words")
+    if kind == BYTE_PAIR and UNUSED in types:
+        raise ValueError("a byte-pair model with unused pieces")
+    if kind == UNIGRAM and USER_DEFINED in types:
+        raise ValueError("a unigram model with pieces defined by the user")
+    if any(BLANK in p.lstrip(BLANK) for p, _, t in pieces if t == NORMAL):
         raise ValueError("pieces span words")
-    return pieces
+    dummy, squeeze, escape = (bool(normaliser.get(n, 1)) for n in (3, 4, 5))
+    surface = trainer.get(44, b" \xe2\x81\x87 ")
+    return Model(pieces, kind, normaliser.get(2, b""), dummy, squeeze, escape, bool(trainer.get(35, 0)), surface)
+
+
+def read_rules(blob: bytes) -> dict[str, str]:
+    """Replacements by key of a normaliser's rules: the length of a double array, its units, and the replacements, each behind a zero."""
+    import numpy as np
+
+    if not blob:
+        return {}
+    size = int.from_bytes(blob[:4], "little")
+    units = np.frombuffer(blob, "<u4", size // 4, 4).astype(np.int64)
+    texts, labels, rules = blob[4 + size :], np.arange(1, 256), {}
+
+    def base(node: int) -> int:
+        unit = int(units[node])
+        return node ^ ((unit >> 10) << ((unit & 512) >> 6))
+
+    open_nodes = [(base(0), b"")]
+    while open_nodes:
+        at, key = open_nodes.pop()
+        nodes = at ^ labels
+        inside = nodes < len(units)
+        found = units[np.where(inside, nodes, 0)]
+        for label in labels[inside & (found & 0x800000FF == labels)].tolist():
+            child, longer = at ^ label, key + bytes([label])
+            if units[child] >> 8 & 1:
+                start = int(units[base(child)]) & 0x7FFFFFFF
+                rules[longer.decode()] = texts[start : texts.index(b"\0", start)].decode()
+            open_nodes.append((base(child), longer))
+    return rules
+
+
+class Normaliser:
+    """Text to the characters that pieces spell. Pieces of the user are left as they are."""
+
+    def __init__(self, model: Model):
+        self.dummy, self.squeeze, self.escape = model.dummy, model.squeeze, model.escape
+        self.rules = read_rules(model.rules) | {p: p for p, _, kind in model.pieces if kind == USER_DEFINED}
+        self.longest: dict[str, int] = {}
+        for key in self.rules:
+            self.longest[key[0]] = max(len(key), self.longest.get(key[0], 0))
+        #: whether a text comes out as it is, with blanks replaced and one in front
+        self.plain = self.dummy and not self.squeeze and self.escape and all(k == v for k, v in self.rules.items())
+
+    def _segments(self, text: str) -> Iterator[str]:
+        at, longest, rules = 0, self.longest.get, self.rules
+        while at < len(text):
+            for size in range(longest(text[at], 0), 0, -1):
+                found = rules.get(text[at : at + size])
+                if found is not None:
+                    break
+            else:
+                found, size = text[at], 1
+            yield found
+            at += size
+
+    def __call__(self, text: str) -> str:
+        if not text:
+            return text
+        out, after_blank = [], self.squeeze
+        for part in self._segments(text) if self.rules else text:
+            if after_blank:
+                part = part.lstrip(" ")
+            if part:
+                out.append(part)
+                after_blank = self.squeeze and part.endswith(" ")
+        mark = BLANK if self.escape else " "
+        found = mark * self.dummy + "".join(out).replace(" ", mark)
+        return found.rstrip(mark) if self.squeeze else found
 
 
 class Transducer:
-    def __init__(self, pieces: list[tuple[str, float, int]]):
+    """What both kinds of model share; `path` gives the ids of the shortest path through a word."""
+
+    def __init__(self, model: Model):
         import ahocorasick
 
+        pieces = model.pieces
+        self.normalise = Normaliser(model)
         self.rank = {p: score for p, score, kind in pieces if kind == NORMAL}
         self.id = {p: i for i, (p, _, kind) in enumerate(pieces) if kind == NORMAL}
         self.spell = [p for p, _, _ in pieces]
-        self.bytes_of = [p.encode() if kind == NORMAL else b"" for p, _, kind in pieces]
+        self.user = {p: i for i, (p, _, kind) in enumerate(pieces) if kind == USER_DEFINED}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.user, key=len, reverse=True))) + ")") if self.user else None
+        spelled = (NORMAL, USER_DEFINED)
+        self.bytes_of = [p.replace(BLANK, " ").encode() if kind in spelled else b"" for p, _, kind in pieces]
+        #: pieces that lose the blank in front where a text begins with them
+        self.leads = {i for i, (p, _, kind) in enumerate(pieces) if kind in spelled and p.startswith(BLANK)} if model.dummy or model.squeeze else set()
         self.unknown = next(i for i, (_, _, kind) in enumerate(pieces) if kind == UNKNOWN)
-        self.bytes_of[self.unknown] = b" \xe2\x81\x87 "
-        self.byte = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == BYTE}
+        self.bytes_of[self.unknown] = model.surface
+        self.byte = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == BYTE} if model.fallback else {}
         for value, i in self.byte.items():
             self.bytes_of[i] = bytes([value])
         self.machine = ahocorasick.Automaton()
@@ -111,10 +214,111 @@ class Transducer:
             self.machine.add_word(p, (i, len(p)))
         self.machine.make_automaton()
         self.length = [len(p) for p in self.spell]
-        self._forget()
         self.young: dict[str, list[int]] = {}  # paths by word without its blank: those met of late, and those before
         self.old: dict[str, list[int]] = {}
 
+    def path(self, word: str) -> list[int]:
+        raise NotImplementedError
+
+    def _bytes(self, character: str) -> list[int]:
+        """An unknown character as its bytes, or as one unknown piece where the model has none."""
+        return [self.byte[b] for b in character.encode()] if self.byte else [self.unknown]
+
+    def _word(self, word: str) -> list[int]:
+        return self.path(word)
+
+    def encode(self, text: str) -> list[int]:
+        if not text:
+            return []
+        words = text.split(" ") if self.normalise.plain and not self.user else None
+        if words is None or BLANK in text or "" in words:
+            return self._encode_normalised(self.normalise(text))
+        known, young = self.young.get, self.young
+        out = []
+        for word in words:
+            ids = known(word)
+            if ids is None:
+                ids = self.old.get(word)
+                if ids is None:
+                    ids = self.path(BLANK + word)
+                if len(word) < 40:
+                    if len(young) >= CACHE:
+                        self.old, self.young = young, {}
+                        known, young = self.young.get, self.young
+                    young[word] = ids
+            out += ids
+        return self._joined(out)
+
+    def _encode_normalised(self, text: str) -> list[int]:
+        out = []
+        for k, part in enumerate(self.cut.split(text) if self.cut else [text]):
+            words = [] if k % 2 else re.findall(f"{BLANK}*[^{BLANK}]+|{BLANK}+", part)
+            out += [self.user[part]] if k % 2 else chain.from_iterable(map(self._word, words))
+        return self._joined(out)
+
+    def _joined(self, ids: list[int]) -> list[int]:
+        """Without byte pieces a run of unknown characters is one unknown piece."""
+        if self.byte or self.unknown not in ids:
+            return ids
+        return [i for i, before in zip(ids, [-1, *ids]) if i != self.unknown or before != i]
+
+    def decode(self, ids) -> str:
+        found, at = b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace"), 0
+        for i in ids:  # one blank in front of the first piece goes; all of them where runs of blanks are one
+            if self.bytes_of[i]:
+                at += i in self.leads
+                if i not in self.leads or self.bytes_of[i] != b" " or not self.normalise.squeeze:
+                    break
+        return found[at:]
+
+
+class PieceWeights(Transducer):
+    """Unigram models: the least sum of minus the scores."""
+
+    def __init__(self, model: Model):
+        super().__init__(model)
+        self.cost = [-score for _, score, _ in model.pieces]
+        self.strange = UNKNOWN_COST - min(self.rank.values(), default=0.0)
+
+    def path(self, word: str) -> list[int]:
+        far, cost = float("inf"), self.cost
+        least = [0.0] + [far] * len(word)  # by place: the least sum up to it, and the arc that it ends with
+        arc: list[tuple[int, int]] = [(-1, 1)] * (len(word) + 1)
+        arcs, done = self.machine.iter(word), 0
+
+        def close(place: int) -> None:
+            """An unknown character leads where no piece of one character does."""
+            nonlocal done
+            while done < place:
+                done += 1
+                if not alone[done] and least[done - 1] + self.strange < least[done]:
+                    least[done], arc[done] = least[done - 1] + self.strange, (-1, 1)
+
+        alone = [False] * (len(word) + 1)
+        for last, token in arcs:  # by end, and of one end those that start first come first
+            end = last + 1
+            close(last)
+            i, length = token
+            alone[end] = alone[end] or length == 1
+            total = least[end - length] + cost[i]
+            if total < least[end]:
+                least[end], arc[end] = total, token
+        close(len(word))
+        at, out = len(word), []
+        while at:
+            i, length = arc[at]
+            out += reversed(self._bytes(word[at - 1])) if i < 0 else (i,)
+            at -= length
+        return out[::-1]
+
+
+class PairWeights(Transducer):
+    """Byte-pair models: arcs of weight 0 or infinity by the pair of pieces that they join."""
+
+    def __init__(self, model: Model):
+        super().__init__(model)
+        self._forget()
+
     def merge(self, text: str) -> list[str]:
         """The pieces that merging by rank makes of a text: best rank first, leftmost among equals."""
         parts, n = list(text), len(text)
@@ -185,7 +389,7 @@ class Transducer:
                 out.append(token)
                 at -= self.length[token]
             else:
-                out += [self.byte.get(b, self.unknown) for b in reversed(word[at].encode())]
+                out += reversed(self._bytes(word[at]))
                 at -= 1
         out.reverse()
         return out
@@ -200,42 +404,19 @@ class Transducer:
         """Ids by merging directly."""
         out = []
         for p in self.merge(word):
-            out += [self.id[p]] if p in self.id else [self.byte.get(b, self.unknown) for b in p.encode()]
-        return out
-
-    def encode(self, text: str) -> list[int]:
-        if not text:
-            return []
-        words = text.split(" ")
-        if BLANK in text or "" in words:
-            words = re.findall(f"{BLANK}*[^{BLANK}]+|{BLANK}+", BLANK + text.replace(" ", BLANK))
-            return list(chain.from_iterable(self._word(w) for w in words))
-        known, young = self.young.get, self.young
-        out = []
-        for word in words:
-            ids = known(word)
-            if ids is None:
-                ids = self.old.get(word)
-                if ids is None:
-                    ids = self.path(BLANK + word)
-                if len(word) < 40:
-                    if len(young) >= CACHE:
-                        self.old, self.young = young, {}
-                        known, young = self.young.get, self.young
-                    young[word] = ids
-            out += ids
+            out += [self.id[p]] if p in self.id else self._bytes(p)
         return out
 
     def _word(self, word: str) -> list[int]:
         return self.ranked(word) if word.startswith(BLANK * 2) else self.path(word)
 
-    def decode(self, ids) -> str:
-        found = b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace").replace(BLANK, " ")
-        return found.removeprefix(" ")
+
+def compiled(model: Model) -> Transducer:
+    return PieceWeights(model) if model.kind == UNIGRAM else PairWeights(model)
 
 
 def _model(spark: SparkSession, path: str):
-    """A digest of the model file and its pieces, read on the driver, as a broadcast."""
+    """A digest of the model file and its parts, read on the driver, as a broadcast."""
     with open(path, "rb") as file:
         blob = file.read(MODEL_BYTES + 1)
     if len(blob) > MODEL_BYTES:
@@ -247,9 +428,9 @@ _held: list = []  # the transducer of this Python worker, kept from task to task
 
 
 def _transducer(sent) -> Transducer:
-    key, pieces = sent.value
+    key, model = sent.value
     if not _held or _held[0] != key:
-        _held[:] = [key, Transducer(pieces)]
+        _held[:] = [key, compiled(model)]
     return _held[1]
 
 
