@@ -3,6 +3,7 @@
 import random
 import struct
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -75,6 +76,20 @@ def test_nulls_names_and_empty(spark):
     assert f.with_ids(spark, docs.where("false")).count() == 0
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.none() | st.text() | st.lists(st.sampled_from(["a", "the", " ", "é", f.BLANK, "\n", "中"])).map("".join)))
+def test_batches_are_their_texts(machine, texts):
+    texts = [None if x is None else x.encode("utf-8", "ignore").decode() for x in texts]
+    ids = machine.encode_all(pa.array(texts, pa.string()))
+    assert ids.to_pylist() == [None if x is None else LIBRARY.encode(x) for x in texts]
+    assert machine.decode_all(ids).to_pylist() == [None if x is None else machine.decode(machine.encode(x)) for x in texts]
+
+
+def test_batches_that_are_no_utf8(machine):
+    lists = [[machine.byte[0xE4], machine.byte[0xB8]], [], [machine.id[f.BLANK + "a"], machine.byte[0xFF]]]
+    assert machine.decode_all(pa.array(lists, pa.list_(pa.int32()))).to_pylist() == [machine.decode(x) for x in lists]
+
+
 def test_other_models_are_refused():
     with pytest.raises(ValueError):
         f.read_model(b"\x12\x02\x18\x03")
