@@ -71,6 +71,36 @@ def test_filters_are_shuffled_once(spark):
     assert plan.count("Exchange") == 1
 
 
+def test_blocks_hold_the_bits_of_their_keys(spark):
+    keys = keyed(spark, range(300)).select("k")
+    first, step = H._first_and_step(["k"])
+    want = {}
+    for r in keys.select(H._block(["k"], F.lit(3)).alias("b"), first.alias("f"), step.alias("s")).collect():
+        want.setdefault(r.b, set()).update((r.f + r.s * i) % H.BLOCK_BITS for i in range(H.HASHES))
+    made = H.filter_blocks(keys, ["k"], 3)
+    assert {r.block: {i for i in range(H.BLOCK_BITS) if r.bits[i // 8] >> i % 8 & 1} for r in made.collect()} == want
+    words = made.select("block", H._words(F.col("bits")).alias("w"))
+    bits = words.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(H.BLOCK_BITS - 1))))
+    got = bits.where(H._is_set(F.col("w"), F.col("i"))).groupBy("block").agg(F.collect_set("i").alias("i")).collect()
+    assert {r.block: set(r.i) for r in got} == want
+
+
+@pytest.mark.parametrize("small", [1024, 1])
+def test_rows_are_asked_without_a_sort_and_before_they_are_made_distinct(spark, tmp_path, monkeypatch, small):
+    monkeypatch.setattr(H, "SMALL_BLOCKS", small)
+    root, asked = str(tmp_path), []
+    H.record(spark, root, keyed(spark, range(5000)), ["k"])
+    real = H.possible_hits
+    monkeypatch.setattr(H, "possible_hits", lambda *a: asked.append((a[2], real(*a))) or asked[-1][1])
+    rows = keyed(spark, [1, 1, 2, 9000])
+    assert [r.k for r in left(spark, root, rows)] == ["k9000"]
+    ((wanted, hits),) = asked
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan(wanted) and "Sort" not in plan(hits)
+    assert ("ShuffledHashJoin" in plan(hits)) == (small == 1)
+    assert hits.count() == hits.select("_key_0").distinct().count() >= 2
+
+
 def test_keys_of_several_columns_and_types(spark, tmp_path):
     root = str(tmp_path)
     rows = spark.createDataFrame([("a", 1, "x"), ("a", 2, "x"), ("b", None, "x"), ("ab", 1, "x")], "`a.b` string, bucket int, generation string")

@@ -116,3 +116,16 @@ def test_windows_see_aggregated_rows_only(skewed):
     weekly = analytics.weekly_means(skewed).where("id = 'hot'").count()
     assert weekly <= 30
     assert analytics.velocity(skewed).where("id = 'hot'").count() == weekly
+
+
+def test_hot_keys_by_way_of_cells(spark, skewed, monkeypatch):
+    """A cell that many keys fill has no hot key for that; null keys count as one, as before."""
+    from trendengine.operators import joins
+
+    rows = skewed.select(F.concat("id", F.col("ingest_seq").cast("string")).alias("k"))
+    assert hot_keys(rows, ["k"], hot_rows=10).isEmpty()
+    monkeypatch.setattr(joins, "CELLS", 1)
+    assert hot_keys(rows, ["k"], hot_rows=10).isEmpty()
+    assert [tuple(r) for r in hot_keys(skewed, ["id"], hot_rows=1000).collect()] == [("hot", 3)]
+    nulls = skewed.select(F.when(F.col("id") != "hot", F.col("id")).alias("id"))
+    assert [tuple(r) for r in hot_keys(nulls, ["id"], hot_rows=1000).collect()] == [(None, 3)]

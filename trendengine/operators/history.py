@@ -74,9 +74,15 @@ def _bit(i: int):
     return (F.col("_first") + F.col("_step") * i) % BLOCK_BITS
 
 
-def _is_set(bits, position):
-    byte = F.conv(F.hex(F.substring(bits, F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return F.getbit(byte, position % 8) == 1
+def _words(bits):
+    """A block as longs of eight bytes each, the first one on top; made once a block, so that a test of a bit copies nothing."""
+    at = F.sequence(F.lit(0), F.lit(BLOCK_BITS // 64 - 1))
+    return F.transform(at, lambda i: F.conv(F.hex(F.substring(bits, i * 8 + 1, F.lit(8))), 16, -10).cast("long"))
+
+
+def _is_set(words, position):
+    inside = position.bitwiseAND(63).bitwiseXOR(F.lit(56))  # bytes stand the other way round in a word
+    return F.getbit(F.get(words, F.shiftright(position, 6)), inside) == 1
 
 
 def _named(keys: list[str]) -> dict:
@@ -84,17 +90,21 @@ def _named(keys: list[str]) -> dict:
     return {f"_key_{i}": F.col(f"`{k}`").cast("string") for i, k in enumerate(keys)}
 
 
-def _distinct(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The keys of rows, without nulls and repeats."""
-    return rows.select(*(column.alias(name) for name, column in _named(keys).items())).dropna().distinct()
+def _keys_in(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys of rows, without nulls."""
+    return rows.select(*(column.alias(name) for name, column in _named(keys).items())).dropna()
 
 
 def filter_blocks(rows: DataFrame, keys: list[str], blocks: int) -> DataFrame:
-    """(block, bits) over distinct keys. Hashes are shuffled once, by block, and become bits behind the shuffle."""
+    """(block, bits) over distinct keys. Hashes are shuffled once, by block, and become bits behind the shuffle.
+
+    Each hash makes a bitmap of its own from the rows as they are, then these are joined: what is sorted by block is keys, not bits.
+    """
     first, step = _first_and_step(keys)
     hashed = rows.select(_block(keys, F.lit(blocks)).alias("block"), first.alias("_first"), step.alias("_step")).repartition("block")
-    bits = hashed.select("block", F.explode(F.array(*(_bit(i) for i in range(HASHES)))).alias("bit"))
-    return bits.groupBy("block").agg(F.bitmap_construct_agg(F.col("bit").cast("long")).alias("bits"))
+    each = hashed.groupBy("block").agg(*(F.bitmap_construct_agg(_bit(i).cast("long")).alias(f"_{i}") for i in range(HASHES)))
+    bits = each.select("block", F.explode(F.array(*(f"_{i}" for i in range(HASHES)))).alias("bits"))
+    return bits.groupBy("block").agg(F.bitmap_or_agg("bits").alias("bits"))
 
 
 def _keys_of(spark: SparkSession, root: str, generation: Generation, keys: list[str]) -> DataFrame:
@@ -102,30 +112,39 @@ def _keys_of(spark: SparkSession, root: str, generation: Generation, keys: list[
     return spark.read.schema(schema).parquet(f"{root}/keys/{generation.folder}")
 
 
+def _numbered(values, kind: str):
+    """The value of generation ``_g``."""
+    return F.get(F.array(*map(F.lit, values)), F.col("_g")).cast(kind)
+
+
 def possible_hits(spark: SparkSession, root: str, wanted: DataFrame, keys: list[str], found: list[Generation]) -> DataFrame:
-    """(keys, generation, bucket): distinct keys and the generations whose filters let them through."""
+    """(keys, generation, bucket): distinct keys and the generations whose filters let them through.
+
+    What is asked need not be distinct: rows go to the blocks as they are, once, and only those let through are made distinct. The
+    blocks are the hashed side of the join, BLOCK_BITS for BLOCK_KEYS keys, so the rows are not sorted.
+    """
     first, step = _first_and_step(keys)
-    hashed = wanted.withColumns({"_first": first, "_step": step})
+    hashed = wanted.select(*keys, first.alias("_first"), step.alias("_step"), _place(keys).alias("_place"))
     parts = []
     for small in (True, False):
         some = [g for g in found if (g.blocks < SMALL_BLOCKS) == small]
         if not some:
             continue
-        each = F.explode(
-            F.array(*(F.struct(F.lit(g.folder).alias("generation"), F.lit(g.blocks).alias("blocks"), F.lit(g.buckets).alias("buckets")) for g in some))
-        )
-        asked = hashed.withColumn("_g", each).select(*keys, "_first", "_step", "_g.generation", "_g.blocks", "_g.buckets")
-        asked = asked.withColumn("block", _block(keys, F.col("blocks")))
+        asked = hashed.withColumn("_g", F.explode(F.array(*map(F.lit, range(len(some))))))
+        block = F.pmod("_place", _numbered([g.blocks for g in some], "long")).cast("int")
+        asked = asked.select(*keys, "_first", "_step", "_g", block.alias("_block"))
         filters = spark.read.schema("generation string, block int, bits binary").parquet(*(f"{root}/filters/{g.folder}" for g in some))
-        filters = F.broadcast(filters) if small else filters  # fewer than 2 * SMALL_BLOCKS blocks of 4 KB and one a generation
-        a, f = asked.alias("a"), filters.alias("f")
-        same = (F.col("a.generation") == F.col("f.generation")) & (F.col("a.block") == F.col("f.block"))
+        number = F.array_position(F.array(*(F.lit(g.folder) for g in some)), F.col("generation")) - 1
+        filters = filters.select(number.cast("int").alias("_g"), F.col("block").alias("_block"), _words(F.col("bits")).alias("words"))
+        # fewer than 2 * SMALL_BLOCKS blocks of 4 KB and one a generation are sent
+        a, f = asked.alias("a"), filters.hint("broadcast" if small else "shuffle_hash").alias("f")
+        same = (F.col("a._g") == F.col("f._g")) & (F.col("a._block") == F.col("f._block"))
         for i in range(HASHES):
-            same = same & _is_set(F.col("f.bits"), _bit(i))
-        parts.append(a.join(f, same, "left_semi"))
+            same = same & _is_set(F.col("f.words"), _bit(i))
+        bucket = F.pmod(F.shiftright(_place(keys), 32), _numbered([g.buckets for g in some], "long")).cast("int")
+        parts.append(a.join(f, same, "left_semi").select(*keys, _numbered([g.folder for g in some], "string").alias("generation"), bucket.alias("bucket")))
     hits = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    bucket = F.pmod(F.shiftright(_place(keys), 32), F.col("buckets")).cast("int")
-    return hits.select(*keys, "generation", bucket.alias("bucket"))
+    return hits.distinct()
 
 
 def pending(spark: SparkSession, root: str, rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -135,7 +154,7 @@ def pending(spark: SparkSession, root: str, rows: DataFrame, keys: list[str]) ->
         return rows
     path, named = scratch_path(spark, "hits"), _named(keys)
     names = list(named)
-    possible_hits(spark, root, _distinct(rows, keys), names, found).write.parquet(path)
+    possible_hits(spark, root, _keys_in(rows, keys), names, found).write.parquet(path)
     hits = spark.read.parquet(path)
     touched = hits.groupBy("generation").agg(F.collect_set("bucket").alias("buckets")).collect()  # MOST_BUCKETS a generation at most
     if not touched:
@@ -147,6 +166,8 @@ def pending(spark: SparkSession, root: str, rows: DataFrame, keys: list[str]) ->
         part = part.select(*names, F.lit(r["generation"]).alias("generation"))
         known = part if known is None else known.unionByName(part)
     known = known.join(hits.select(*names, "generation"), [*names, "generation"], "left_semi").select(*names).distinct()
+    known.write.parquet(f"{path}-known")  # so that Spark knows its size, and the history is read once
+    known = spark.read.schema(known.schema).parquet(f"{path}-known")
     return spread_join(rows.withColumns(named), known, names, "left_anti").select(*(f"`{c}`" for c in rows.columns))
 
 
@@ -156,7 +177,7 @@ def record(spark: SparkSession, root: str, rows: DataFrame, keys: list[str], bef
     ``before_publish`` is called when an attempt is written, before its marker is.
     """
     staged, names = scratch_path(spark, "processed"), list(_named(keys))
-    _distinct(rows, keys).write.parquet(staged)
+    _keys_in(rows, keys).distinct().write.parquet(staged)
     batch = spark.read.parquet(staged)
     for attempt in range(1, ATTEMPTS + 1):
         version, found = generations(spark, root)

@@ -9,15 +9,21 @@ from trendengine.session import scratch_path
 
 #: Rows of one key that one task may take.
 HOT_ROWS = 1_000_000
+#: Cells that keys are counted in first, by their hash. A cell holds the rows of a hot key and a share of the others.
+CELLS = 1 << 16
 
 
 def hot_keys(rows: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Keys with more than ``hot_rows`` rows and the number of tasks to spread them over.
 
-    Counts are combined before they are shuffled. There are at most rows / hot_rows such keys; they are written to the
-    shared folder, so that Spark knows their size when it plans the joins with them.
+    Rows are counted in `CELLS` cells first, of which each task sends a number or none. Only keys in cells of more than ``hot_rows`` rows,
+    where a hot key must lie, are counted one by one, combined before they are shuffled. There are at most rows / hot_rows hot keys; they
+    are written to the shared folder, so that Spark knows their size when it plans the joins with them.
     """
     spark, path = rows.sparkSession, scratch_path(rows.sparkSession, "hot-keys")
+    cell = F.pmod(F.xxhash64(*keys), F.lit(CELLS)).cast("int")
+    full = rows.groupBy(cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    rows = rows.where(cell.isin([r["_cell"] for r in full.collect()]))  # CELLS numbers at most
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
     hot = counts.select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_tasks"))
     hot.write.parquet(path)
