@@ -92,3 +92,19 @@ def test_damage_is_noticed():
     except ValueError:
         return
     raise AssertionError
+
+
+def test_pages_are_not_shuffled_for_the_few_that_are_revisited(spark, monkeypatch):
+    rows = [(i, f"http://a/{i}", f"h{i}") for i in range(50)] + [(60, "http://a/60", "h3"), (61, "http://a/61", "h3"), (2, "http://a/2", "h3"), (5, "http://a/5", "h5"), (None, "http://a/n", "h7")]
+    pages, plans, real = spark.createDataFrame(rows, "page_id long, url string, html string"), [], warc._write_records
+    monkeypatch.setattr(warc, "_write_records", lambda df, root: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df, root))
+    want = sorted([(60, 2), (61, 2), (3, 2)])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for threshold in (old, "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            found = warc.lookup(spark, warc.write_archive(spark, pages), pages).collect()
+            assert len(found) == len(rows) and sorted((r.page_id, r.refers_to) for r in found if r.record_type == "revisit") == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Exchange hashpartitioning" not in plans[0] and "Exchange hashpartitioning" in plans[1]
